@@ -188,7 +188,7 @@ UNIT_SQL = """case p_type when 'STANDARD' then q when 'SMALL' then q / w when 'M
 @query(f"""
 with r as (select l_orderkey, l_partkey, l_suppkey, l_linenumber, p_type, try_cast(l_quantity as double) as q,
                   coalesce(case when p_size >= 3 then p_size end, 25) as w
-           from lineitem join part on p_partkey = l_partkey where l_returnflag not in ('A') and p_type like '%A%')
+           from lineitem join part on p_partkey = l_partkey where l_returnflag not in ('A'))
 select l_orderkey, l_partkey, l_suppkey, l_linenumber, p_type, round({UNIT_SQL}, 4) as rate from r
 """)
 def rate_unit_normalise(t: Tables) -> DataFrame:
@@ -202,7 +202,7 @@ def rate_unit_normalise(t: Tables) -> DataFrame:
         "ECONOMY": UnitRule(1000.0, by_weight=True, per_hour=True),
         "PROMO": UnitRule(1000.0),
     }
-    sizes = t.part.filter(F.col("p_type").like("%A%")).select("p_partkey", "p_type", "p_size")
+    sizes = t.part.select("p_partkey", "p_type", "p_size")
     given = (
         t.lineitem.filter(~F.col("l_returnflag").isin("A"))
         .join(sizes, F.col("p_partkey") == F.col("l_partkey"))
