@@ -65,9 +65,17 @@ def same_schema(frames: Sequence[DataFrame]) -> bool:
 
 
 def harmonised_union(frames: Sequence[DataFrame], strict: bool = False) -> DataFrame:
-    """Stack sources by column name; ``strict`` insists on equal column lists."""
+    """Stack sources by column name; ``strict`` insists on equal column lists.
+
+    A column that is text in one source becomes text in all.
+    """
     if strict and not same_schema(frames):
         raise ValueError("column lists differ between sources")
+    texts = {c for f in frames for c, kind in f.dtypes if kind == "string"}
+    frames = [
+        f.withColumns({c: F.col(c).cast("string") for c, kind in f.dtypes if c in texts and kind != "string"})
+        for f in frames
+    ]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from curata.operators import harmonise
 from curata.operators.fills import carry_fill
 from curata.operators.intervals import interval_join
 from curata.plans.weights import dosing_weight
@@ -238,6 +237,11 @@ def like_any(column: Column, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [column.like(p) for p in patterns])
 
 
+def four_digits(rate: Column) -> Column:
+    """Rounded as a decimal number with nine places, so that a half always rounds up."""
+    return F.round(rate.cast("decimal(38, 9)"), 4).cast("double")
+
+
 def numeric_rates(infusions: DataFrame, drug: Drug) -> DataFrame:
     """The drug's rows with a charted rate; the text is read after its sentinels are out."""
     rate = F.col("drugrate")
@@ -250,18 +254,20 @@ def numeric_rates(infusions: DataFrame, drug: Drug) -> DataFrame:
 def named_units(rates: DataFrame, drug: Drug, chunk_minutes: float = 1440) -> DataFrame:
     """Rows with the name whose unit applies, blanks filled from their neighbours in time."""
     name = F.col("drugname")
-    blank_stays = rates.filter(name == drug.blank).select("patientunitstayid")
-    on = {"patientunitstayid": "patientunitstayid"}
+    blank_stays = rates.filter(name == drug.blank).select(
+        F.col("patientunitstayid").alias("__stay"), F.lit(True).alias("__blank")
+    ).distinct()
 
     code = F.lit(None).cast("string")
     for pattern, decoded in drug.known_like.items():
         code = F.when(name.like(pattern), F.lit(decoded)).otherwise(code)
     for text, decoded in drug.known.items():
         code = F.when(name == text, F.lit(decoded)).otherwise(code)
+    blank = F.col("__blank").isNotNull()
     coded = (
-        harmonise.members_of(rates, blank_stays, on)
-        .filter(like_any(name, drug.imputed_like))
-        .withColumn("__code", code)
+        rates.join(blank_stays, F.col("patientunitstayid") == F.col("__stay"), "left")
+        .filter((blank & like_any(name, drug.imputed_like)) | (~blank & like_any(name, drug.plain_like)))
+        .withColumn("__code", F.when(blank, code))
         .withColumn("__unknown", F.when(F.col("__code").isNull(), 1).otherwise(0))
     )
     # At one instant the known rows come first, so an unknown one sees them.
@@ -271,9 +277,8 @@ def named_units(rates: DataFrame, drug: Drug, chunk_minutes: float = 1440) -> Da
         order=["infusionoffset", "__unknown", "infusiondrugid"],
         chunk=F.floor(F.col("infusionoffset") / F.lit(chunk_minutes)).cast("long"),
         columns={"__code": "__name"},
-    ).withColumn("drugname", F.col("__name"))
-    plain = harmonise.not_members_of(rates, blank_stays, on).filter(like_any(name, drug.plain_like))
-    return filled.select(*rates.columns).unionByName(plain).distinct()
+    )
+    return filled.withColumn("drugname", F.when(blank, F.col("__name")).otherwise(name)).select(*rates.columns)
 
 
 def infusion_rates(infusions: DataFrame, weights: DataFrame, drug: Drug, orders: DataFrame | None = None) -> DataFrame:
@@ -284,37 +289,40 @@ def infusion_rates(infusions: DataFrame, weights: DataFrame, drug: Drug, orders:
     ).withColumn("__w", F.coalesce("__w", F.lit(80)))
     name, rate, weight = F.col("drugname"), F.col("drugrate"), F.col("__w")
 
-    certain = weighed.filter(name.isin(*drug.units)).withColumn(
-        drug.rate, convert_rates(name, rate, weight, drug.units)
-    )
-    volumes = weighed.filter(name.isin(*drug.volume_names))
+    certain = convert_rates(name, rate, weight, drug.units)
+    out = [*KEYS, drug.rate, *PAYLOAD]
+    is_volume = name.isin(*drug.volume_names)
+    listed = weighed.filter(name.isin(*drug.units) | is_volume)
     if drug.volume_rule is not None:
-        by_volume = volumes.withColumn(drug.rate, drug.volume_rule.convert(rate, weight))
+        value = F.when(is_volume, drug.volume_rule.convert(rate, weight)).otherwise(certain)
+        rated = listed.withColumn(drug.rate, value)
     else:
+        # Only rows in ml/hr look for an order: the others have no time to match on.
         active = orders.filter(
             (F.col("drugordercancelled") == "No") & F.col("drugname").like(drug.order_like)
-        ).withColumnsRenamed({"drugname": "__order"})
+        ).select(
+            "patientunitstayid", "drugstartoffset", "drugstopoffset", F.col("drugname").alias("__order"), "dosage",
+            F.lit(True).alias("__active"),
+        )
         running = interval_join(
-            volumes,
+            listed.withColumn("__at", F.when(is_volume, F.col("infusionoffset"))),
             active,
             keys=["patientunitstayid"],
-            time="infusionoffset",
+            time="__at",
             start="drugstartoffset",
             end="drugstopoffset",
-            right_columns=["__order", "dosage"],
-            how="inner",
-        )
+            right_columns=["__order", "dosage", "__active"],
+            how="left",
+        ).filter(~is_volume | F.col("__active"))
         strength = F.lit(None).cast("double")
         for o in reversed(drug.orders):
             strength = F.when(o.matches(F.col("__order"), F.col("dosage")), o.value(rate, weight)).otherwise(strength)
-        by_volume = running.withColumn(drug.rate, strength)
-    out = [*KEYS, drug.rate, *PAYLOAD]
-    both = certain.select(*out).unionByName(by_volume.select(*out)).distinct()
-    return both.withColumn(drug.rate, F.round(drug.rate, 4))
+        rated = running.withColumn(drug.rate, F.when(is_volume, strength).otherwise(certain))
+    return rated.withColumn(drug.rate, four_digits(F.col(drug.rate))).select(*out).distinct()
 
 
 def dobutamine_rates(infusions: DataFrame) -> DataFrame:
     """Dobutamine counts at any rate, so units are not looked at."""
     given = infusions.filter(like_any(F.col("drugname"), DOBUTAMINE_LIKE) & (F.col("drugrate") != ""))
-    rate = F.round(F.col("drugrate").try_cast("double"), 4)
+    rate = four_digits(F.col("drugrate").try_cast("double"))
     return given.select(*KEYS, rate.alias("rate_dobutamine"), *PAYLOAD)

@@ -42,8 +42,9 @@ def main(folder: str, parts: list[str]) -> int:
             print(f"COLS {name}: {names} vs {want_names}")
         elif rows != want:
             bad += 1
-            extra = [r for r in rows if r not in set(want)][:2] if len(rows) < 200000 else []
-            missing = [r for r in want if r not in set(rows)][:2] if len(rows) < 200000 else []
+            have, need = set(rows), set(want)
+            extra = sorted(have - need, key=repr)[:2]
+            missing = sorted(need - have, key=repr)[:2]
             print(f"DIFF {name}: {len(rows)} vs {len(want)} rows\n  {names}\n  spark {extra}\n  sql   {missing}")
         else:
             print(f"ok   {name}: {len(rows)} rows {took:.1f}s")
