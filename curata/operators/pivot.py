@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -51,6 +51,39 @@ class Measure:
 AGGREGATES = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "any": F.min}
 
 
+# From this many columns on, values combine per column before they are spread out.
+WIDE_PIVOT = 16
+
+
+def rule_table(spark: SparkSession, measures: Sequence[Measure]) -> DataFrame:
+    """The measures as rows, one per (item, column): a table as small as the rules in the code."""
+    kind = "string" if any(isinstance(i, str) for m in measures for i in m.items) else "long"
+    data = [
+        (item, m.name, *[None if b is None else float(b) for b in
+                         (m.valid.above, m.valid.at_least, m.valid.below, m.valid.at_most)],
+         float(m.shift), float(m.scale))
+        for m in measures
+        for item in m.items
+    ]
+    return spark.createDataFrame(
+        data,
+        f"__item {kind}, __measure string, __above double, __at_least double, __below double, __at_most double, "
+        "__shift double, __scale double",
+    )
+
+
+def with_rules(df: DataFrame, item: str, value: str, measures: Sequence[Measure], how: str) -> DataFrame:
+    """Rows with the rules of their item beside them and ``__valid``, whether the value keeps them."""
+    rules = F.broadcast(rule_table(df.sparkSession, measures))
+    v = F.col(value)
+    kept = v.isNotNull()
+    for bound, test in (
+        ("__above", v.__gt__), ("__at_least", v.__ge__), ("__below", v.__lt__), ("__at_most", v.__le__),
+    ):
+        kept = kept & F.coalesce(test(F.col(bound)), F.lit(True))
+    return df.join(rules, F.col(item) == F.col("__item"), how).withColumn("__valid", kept)
+
+
 def pivot_measures(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,17 +95,28 @@ def pivot_measures(
 ) -> DataFrame:
     """One row per key with one column per measure; every key of an input row survives.
 
-    Measures of the same name are alternatives for one column (say two units of one quantity).
-    One filtered aggregate per column, so one shuffle of combined rows however many columns.
+    Measures of the same name are alternatives for one column (say two units of one quantity). A
+    narrow pivot is one filtered aggregate per column. A wide one first combines per (key, column),
+    so that the shuffle carries the few values a key has and not a buffer for every column, and then
+    spreads at most one row per column.
     """
-    by_name: dict[str, list[Measure]] = {}
-    for m in measures:
-        by_name.setdefault(m.name, []).append(m)
-    out = []
-    for name, same in by_name.items():
-        column = AGGREGATES[how](F.coalesce(*[m.values(F.col(item), F.col(value)) for m in same]))
-        out.append((column if digits is None else F.round(column, digits)).alias(name))
-    return df.groupBy(*keys).agg(*out)
+    names = list(dict.fromkeys(m.name for m in measures))
+    if len(names) < WIDE_PIVOT:
+        arms = {n: [m.values(F.col(item), F.col(value)) for m in measures if m.name == n] for n in names}
+        out = {n: AGGREGATES[how](F.coalesce(*a)) for n, a in arms.items()}
+        rows = df
+    else:
+        ruled = with_rules(df.select(*keys, item, value), item, value, measures, "left")
+        converted = (F.col(value) - F.col("__shift")) / F.col("__scale")
+        rows = (
+            ruled.groupBy(*keys, "__measure")
+            .agg(AGGREGATES[how](F.when(F.col("__valid"), converted)).alias("__value"))
+            .repartition(*keys)
+        )
+        out = {n: F.max(F.when(F.col("__measure") == n, F.col("__value"))) for n in names}
+    return rows.groupBy(*keys).agg(
+        *[(c if digits is None else F.round(c, digits)).alias(n) for n, c in out.items()]
+    )
 
 
 def pivot_labels(
@@ -93,6 +137,8 @@ def known_items(measures: Sequence[Measure]) -> list:
 
 
 def valid_rows(df: DataFrame, item: str, value: str, measures: Sequence[Measure]) -> DataFrame:
-    """Rows that satisfy the rule of their item; items without a rule are dropped."""
-    tests = [F.col(item).isin(*m.items) & m.valid.holds(F.col(value)) for m in measures]
-    return df.filter(reduce(lambda a, b: a | b, tests))
+    """Rows that satisfy the rule of their item; items without a rule are dropped.
+
+    Rules of one item must agree on its range, as each would keep the row once.
+    """
+    return with_rules(df, item, value, measures, "inner").filter("__valid").select(*df.columns)
