@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curata.operators import harmonise, pick, pivot
 from curata.operators.asof import asof_join, closest_prior
+from curata.session import settle
 
 # Time windows in minutes and the saturation range of usable pairs.
 LENIENT_MINUTES = 90
@@ -110,9 +111,15 @@ def offset_oximetry(vital_periodic: DataFrame, lab: DataFrame) -> DataFrame:
 
 
 def timed_pairs(gases: DataFrame, oximetry: DataFrame, stay: str) -> DataFrame:
-    """Every gas with the last saturation of the same admission in the lenient window."""
-    candidates = harmonise.members_of(oximetry, gases, {"subject_id": "subject_id"}).select(
-        "hadm_id", stay, F.col("charttime").alias("SpO2_timestamp"), "SpO2"
+    """Every gas with the last saturation of the same admission in the lenient window.
+
+    Both series are written first, so that the event logs behind them are read once.
+    """
+    gases = settle(gases)
+    candidates = settle(
+        harmonise.members_of(oximetry, gases, {"subject_id": "subject_id"}).select(
+            "hadm_id", stay, F.col("charttime").alias("SpO2_timestamp"), "SpO2"
+        )
     )
     return asof_join(
         gases.withColumnRenamed("charttime", "SaO2_timestamp"),
@@ -130,11 +137,12 @@ def timed_pairs(gases: DataFrame, oximetry: DataFrame, stay: str) -> DataFrame:
 def offset_pairs(gases: DataFrame, oximetry: DataFrame, patients: DataFrame) -> DataFrame:
     """Per gas time the last saturation of the stay in the lenient window, with patient ids.
 
-    Of several revisions at one gas time the latest stands.
+    Of several revisions at one gas time the latest stands. Both series are written first, so that the
+    event logs behind them are read once.
     """
     found = closest_prior(
-        gases,
-        oximetry,
+        settle(gases),
+        settle(oximetry),
         keys=["patientunitstayid"],
         left_time="labresultoffset",
         right_time="observationoffset",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from curata.operators.fills import carry_fill
 from curata.operators.intervals import interval_join
 from curata.plans.weights import dosing_weight
+from curata.session import settle
 
 
 @dataclass(frozen=True)
@@ -283,7 +284,7 @@ def named_units(rates: DataFrame, drug: Drug, chunk_minutes: float = 1440) -> Da
 
 def infusion_rates(infusions: DataFrame, weights: DataFrame, drug: Drug, orders: DataFrame | None = None) -> DataFrame:
     """One drug's infusions with their rate in mcg/kg/min, rounded to 4 digits."""
-    given = named_units(numeric_rates(infusions, drug), drug)
+    given = named_units(settle(numeric_rates(infusions, drug)), drug)
     weighed = given.join(
         weights.select("patientunitstayid", dosing_weight().alias("__w")), "patientunitstayid", "left"
     ).withColumn("__w", F.coalesce("__w", F.lit(80)))

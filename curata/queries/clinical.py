@@ -8,7 +8,7 @@ from curata.operators.pivot import Measure, Range
 from curata.operators import harmonise
 from curata.operators.nearest import Covariate
 from curata.plans import (
-    comorbidity, dataset, gases, infusions, labs, patients, pressure, severity, ventilation, vitals, weights,
+    comorbidity, dataset, funnel, gases, infusions, labs, patients, pressure, severity, ventilation, vitals, weights,
 )
 from curata.queries.derived import MINUTES, TABLES, ctes, derived
 from curata.queries.registry import Tables, query, rounded
@@ -695,3 +695,32 @@ def all_pairs_dataset(t: Tables) -> DataFrame:
         {"timed_a": _timed_pairs(t), "offset": _offset_pairs(t)}, [_patients_a(t), _patients_c(t)]
     )
     return table.withColumn("delta_SpO2", rounded("delta_SpO2", 9))
+
+
+_FUNNEL = f"""{_TIMED_PAIRS}, {_PATIENTS_A},
+fs as (select 'original' as stage, subject_id, null::bigint as r from pa group by all
+  union all select 'abgs', subject_id, count(*) from tg group by all
+  union all select 'pairs_lenient', subject_id, count(*) from tp group by all
+  union all select 'pairs_strict', subject_id, count(*) from tp where "delta_SpO2" >= -45 group by all
+  union all select 'pairs_cut', subject_id, count(*) from tp where "delta_SpO2" >= -45 and "SaO2" between 70 and 100
+     and "SpO2" between 70 and 100 group by all
+  union all select 'first_pairs', subject_id, count(distinct hadm_id) from tp where "delta_SpO2" >= -45 and "SaO2" between 70 and 100
+     and "SpO2" between 70 and 100 group by all)"""
+
+
+def _staged(t: Tables) -> DataFrame:
+    return funnel.stage_subjects(_patients_a(t), timed_gas_panel(t), _timed_pairs(t), "hadm_id", strict_minutes=45)
+
+
+@query(f"""with {ctes(*_GAS_TABLES, *_PATIENT_TABLES)}, {_FUNNEL}
+select stage, cast(sum(r) as bigint) as p_rows, count(*) as n_subjects from fs group by 1""")
+def attrition_counts(t: Tables) -> DataFrame:
+    return funnel.stage_counts(_staged(t))
+
+
+@query(f"""with {ctes(*_GAS_TABLES, *_PATIENT_TABLES)}, {_FUNNEL},
+fr as (select subject_id, min(race_ethnicity) as race_ethnicity, min(sex_female) as sex_female from pa group by 1),
+fc as (select stage, race_ethnicity, sex_female, count(*) as n from fs join fr using (subject_id) where race_ethnicity is not null group by all)
+select *, round_even(n * 100.0 / sum(n) over (partition by stage), 2) as pct from fc""")
+def attrition_shares(t: Tables) -> DataFrame:
+    return funnel.stage_shares(_staged(t), _patients_a(t), ["icustay_id"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,10 +48,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from the written copy.
+    """Write ``df`` once as a table in the shared checkpoint folder and go on from it.
 
-    For results that several branches read and that must be identical in all of them, also
-    after an executor was lost.
+    For results that several branches read: they are computed once, are the same in every branch, also
+    after an executor was lost, and come back with a known size and prunable columns.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
