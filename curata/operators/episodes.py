@@ -95,3 +95,11 @@ def with_end_markers(
     later = F.col(time) + F.lit(minutes) if numeric else F.timestamp_add("MINUTE", F.lit(minutes), F.col(time))
     added = ends.withColumns({time: later, flag: F.lit(0).cast(dict(df.dtypes)[flag])})
     return df.withColumn("synthetic", F.lit(0)).unionByName(added.withColumn("synthetic", F.lit(1)))
+
+
+def rows_before_event(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, rows: Column, event: Column
+) -> DataFrame:
+    """Rows that satisfy ``rows`` and are followed, anywhere later in their key, by an ``event`` row."""
+    scan = ordered_scan(df, keys, order, chunk, after={"__event": F.when(event, F.lit(1))})
+    return scan.filter(rows & F.col("__event").isNotNull()).select(*df.columns)

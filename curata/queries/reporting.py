@@ -282,3 +282,28 @@ def quality_checks(t: Tables) -> DataFrame:
     return key_check(t.orders, ["o_custkey", "o_orderdate"], "orders").unionByName(
         key_check(t.lineitem, ["l_orderkey", "l_linenumber"], "lineitem")
     )
+
+
+@query("""select event_type, count(*) as "rows", count(distinct user_id) as n_user_id from events group by 1""")
+def distinct_counts(t: Tables) -> DataFrame:
+    from curata.reports.checks import distinct_counts as counted
+
+    return counted(t.events, ["user_id"], ["event_type"])
+
+
+@query(_WIDE + " select " + ", ".join(f"count(*) - count({c}) as {c}" for c in _COLS) + " from w")
+def null_counts(t: Tables) -> DataFrame:
+    from curata.reports.checks import null_counts as counted
+
+    return counted(pivot_avg_daily(t), _COLS)
+
+
+@query(_WIDE + """ select user_id, day, 'all' as rule from w where views is not null and clicks is not null
+union all select user_id, day, 'any' from w where views is not null or clicks is not null""")
+def null_filters(t: Tables) -> DataFrame:
+    wide = pivot_avg_daily(t)
+    complete = wide.dropna(how="any", subset=["views", "clicks"])
+    partial = wide.dropna(how="all", subset=["views", "clicks"])
+    return complete.select("user_id", "day", F.lit("all").alias("rule")).union(
+        partial.select("user_id", "day", F.lit("any").alias("rule"))
+    )

@@ -295,6 +295,23 @@ def anchor_from_first_on(t: Tables) -> DataFrame:
     return episodes.from_first_on(s, ["user_id"], ["ts", "event_id"], event_chunk(s), "flag")
 
 
+@query("""
+select e.user_id, ts, event_id, value from events e
+join (select user_id, max(ts) as last_buy from events where event_type = 'purchase' group by 1) b on b.user_id = e.user_id
+where event_type = 'view' and ts < last_buy
+""")
+def rows_before_event(t: Tables) -> DataFrame:
+    rows = t.events.select("user_id", "ts", "event_id", "value", "event_type")
+    return episodes.rows_before_event(
+        rows,
+        ["user_id"],
+        ["ts", "event_id"],
+        event_chunk(rows),
+        F.col("event_type") == "view",
+        F.col("event_type") == "purchase",
+    ).drop("event_type")
+
+
 @query(f"""with {STATE_SQL},
 z as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from s)
 select user_id, ts, event_id, flag, 0 as synthetic from s
