@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from curata.functions.clock import Clock
+from curata.operators.pick import last_row
 from curata.operators.scan import ordered_scan
 
 _LEFT, _AXIS, _SIDE, _TIE, _ROW, _MATCH = "__is_left", "__axis", "__side", "__tie", "__row", "__match"
@@ -66,7 +67,7 @@ def asof_join(
 
     ``tolerance`` and ``delta`` are minutes; delta is right time minus left time. Among right rows
     at the same instant the highest ``tie`` wins (forward: the lowest). ``chunk_minutes`` bounds what one
-    task sees of one key.
+    task sees of one key. All columns of ``left`` travel with their row: select the needed ones first.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
@@ -121,11 +122,8 @@ def closest_prior(
     What an inequality join ranked by right time keeps, without building its pairs. Of several
     left rows at one instant the one with the highest ``left_pick`` stands for the instant.
     """
-    instants = left.groupBy(*keys, left_time).agg(
-        F.max_by(F.struct(*left.columns), F.col(left_pick)).alias("__one")
-    )
     return asof_join(
-        instants.select("__one.*"),
+        last_row(left, [*keys, left_time], [left_pick]),
         right,
         left_keys=keys,
         left_time=left_time,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,16 +17,18 @@ def first_nonnull(df: DataFrame, keys: Sequence[str], order: Sequence[str], colu
 
 def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Per key the first whole row."""
-    return _one_row(df, keys, F.min_by(F.struct(*df.columns), F.struct(*order)))
+    return _one_row(df, keys, lambda row: F.min_by(row, F.struct(*order)))
 
 
 def last_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Per key the last whole row (the latest revision, the closest earlier value)."""
-    return _one_row(df, keys, F.max_by(F.struct(*df.columns), F.struct(*order)))
+    return _one_row(df, keys, lambda row: F.max_by(row, F.struct(*order)))
 
 
-def _one_row(df: DataFrame, keys: Sequence[str], pick: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(pick.alias("__row")).select("__row.*").select(*df.columns)
+def _one_row(df: DataFrame, keys: Sequence[str], pick: Callable[[Column], Column]) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(pick(F.struct(*rest)).alias("__row"))
+    return picked.select(*keys, "__row.*").select(*df.columns)
 
 
 def consistent_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -29,13 +29,14 @@ def ordered_scan(
     after: Exprs = None,
     onward: Exprs = None,
     running: Exprs = None,
+    total: Exprs = None,
 ) -> DataFrame:
     """Add columns that look along ``order`` within ``keys``.
 
     ``before`` / ``upto``: the latest non-null value of the expression in earlier rows, without or
     with the current one. ``after`` / ``onward``: the earliest non-null one in later rows.
-    ``running``: the sum up to and including the current row. To see nulls of a neighbour, pass a
-    struct. ``order`` must be total within a key and ``chunk`` must never fall along it; keys are
+    ``running``: the sum up to and including the current row; ``total``: the sum over the key. To see
+    nulls of a neighbour, pass a struct. ``order`` must be total within a key and ``chunk`` must never fall along it; keys are
     non-null.
     """
     back = [("before", n, e) for n, e in (before or {}).items()]
@@ -43,7 +44,8 @@ def ordered_scan(
     forth = [("after", n, e) for n, e in (after or {}).items()]
     forth += [("onward", n, e) for n, e in (onward or {}).items()]
     sums = [("running", n, e) for n, e in (running or {}).items()]
-    asked = back + forth + sums
+    whole = [("total", n, e) for n, e in (total or {}).items()]
+    asked = back + forth + sums + whole
     value = {n: f"__v_{n}" for _, n, _ in asked}
 
     work = df.withColumn(CHUNK, chunk)
@@ -53,7 +55,7 @@ def ordered_scan(
     summary = work.groupBy(*keys, CHUNK).agg(
         *[F.max_by(value[n], F.when(F.col(value[n]).isNotNull(), place)).alias(n) for _, n, _ in back],
         *[F.min_by(value[n], F.when(F.col(value[n]).isNotNull(), place)).alias(n) for _, n, _ in forth],
-        *[F.sum(value[n]).alias(n) for _, n, _ in sums],
+        *[F.sum(value[n]).alias(n) for _, n, _ in sums + whole],
     )
     over_earlier = Window.partitionBy(*keys).orderBy(F.asc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
     over_later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,12 +65,13 @@ def ordered_scan(
         *[F.last(n, ignorenulls=True).over(over_earlier).alias(f"__c_{n}") for _, n, _ in back],
         *[F.sum(n).over(over_earlier).alias(f"__c_{n}") for _, n, _ in sums],
         *[F.last(n, ignorenulls=True).over(over_later).alias(f"__c_{n}") for _, n, _ in forth],
+        *[F.sum(n).over(Window.partitionBy(*keys)).alias(f"__c_{n}") for _, n, _ in whole],
     )
 
     forward = Window.partitionBy(*keys, CHUNK).orderBy(*[F.asc(o) for o in order])
     backward = Window.partitionBy(*keys, CHUNK).orderBy(*[F.desc(o) for o in order])
     local = {}
-    for kind, name, _ in asked:
+    for kind, name, _ in back + forth + sums:
         frame = forward if kind in ("before", "upto", "running") else backward
         frame = frame.rowsBetween(Window.unboundedPreceding, -1 if kind in ("before", "after") else 0)
         source = F.col(value[name])
@@ -79,7 +82,11 @@ def ordered_scan(
     joined = scanned.join(carry, [*keys, CHUNK], "left")
     merged = []
     for kind, name, _ in asked:
-        own, brought = F.col(f"__l_{name}"), F.col(f"__c_{name}")
+        brought = F.col(f"__c_{name}")
+        if kind == "total":
+            merged.append(brought.alias(name))
+            continue
+        own = F.col(f"__l_{name}")
         if kind == "running":
             merged.append((F.coalesce(own, F.lit(0)) + F.coalesce(brought, F.lit(0))).alias(name))
         else:

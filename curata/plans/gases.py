@@ -35,28 +35,43 @@ OFFSET_ANALYTES = {
 GAS_LAB_TYPE = 7
 SATURATION_LAB = "O2 Sat (%)"
 GAS_CATEGORIES = ("Blood Gas", "BLOOD GAS")
-SPECIMEN_LABELS = ("Specimen Type", "SPECIMEN TYPE")
-ARTERIAL = ("ART.", "ART")
 OXIMETRY_LABEL = "O2 saturation pulseoxymetry"
 OXIMETRY_CATEGORIES = ("Respiratory", "Routine Vital Signs")
 CHART_TABLE = "chartevents"
 
 KEY_ANALYTES = ("pH", "pCO2", "pO2", "SaO2")
 
+# How the two timestamped sources spell an arterial gas and what they ask of it.
+FIRST_SOURCE = {
+    "categories": GAS_CATEGORIES[:1],
+    "specimen_label": "Specimen Type",
+    "arterial": "ART.",
+    "charted": ("pH", "pCO2", "SaO2"),
+    "numeric": ("pH", "pCO2", "pO2", "SaO2"),
+}
+SECOND_SOURCE = {
+    "categories": GAS_CATEGORIES,
+    "specimen_label": "SPECIMEN TYPE",
+    "arterial": "ART",
+    "charted": ("pH", "pCO2", "pO2", "SaO2"),
+    "numeric": ("pH", "pO2", "SaO2"),
+}
+
 
 def timed_gases(
     lab_events: DataFrame,
     lab_items: DataFrame,
-    categories: Sequence[str] = GAS_CATEGORIES[:1],
-    specimen_label: str = SPECIMEN_LABELS[0],
-    arterial: str = ARTERIAL[0],
-    charted: Sequence[str] = ("pH", "pCO2", "SaO2"),
-    numeric: Sequence[str] = KEY_ANALYTES,
+    *,
+    categories: Sequence[str],
+    specimen_label: str,
+    arterial: str,
+    charted: Sequence[str],
+    numeric: Sequence[str],
 ) -> DataFrame:
     """One row per subject, admission and time of an arterial gas.
 
     ``charted`` analytes must be there as text, ``numeric`` ones also as a number; values that are
-    no number become null.
+    no number become null. ``FIRST_SOURCE`` and ``SECOND_SOURCE`` hold the options of two sources.
     """
     gas_items = lab_items.filter(F.col("category").isin(*categories)).select("itemid", "label")
     rows = lab_events.join(gas_items, "itemid")

@@ -420,7 +420,7 @@ _GAS_TABLES = ("gas_lab_events", "gas_lab_items", "oximetry_events", "oximetry_i
 
 @query(f"with {ctes('gas_lab_events', 'gas_lab_items')}, {_GAS_SQL} select * from tg")
 def timed_gas_panel(t: Tables) -> DataFrame:
-    return gases.timed_gases(derived(t, "gas_lab_events"), derived(t, "gas_lab_items"))
+    return gases.timed_gases(derived(t, "gas_lab_events"), derived(t, "gas_lab_items"), **gases.FIRST_SOURCE)
 
 
 @query(f"with {ctes('oximetry_events', 'oximetry_items')}, {_OXI_SQL} select * from ox")

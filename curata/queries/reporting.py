@@ -179,6 +179,27 @@ def tableone_categorical(t: Tables) -> DataFrame:
     return out.withColumn("pct", rounded("pct"))
 
 
+@query("""
+with o as (select o_orderstatus, o_totalprice, o_orderpriority,
+   case when o_totalprice > 200000 then '1' when o_totalprice > 50000 then '0' end as big from orders),
+l as (select o_orderstatus, 'o_orderpriority' as variable, o_orderpriority as level from o union all select o_orderstatus, 'big', big from o),
+m as (select variable, o_orderstatus, count(*) - count(level) as missing from l group by 1, 2),
+c as (select variable, o_orderstatus, level, count(*) as n from l where level is not null group by 1, 2, 3)
+select c.*, missing, round(n * 100.0 / sum(n) over (partition by variable, o_orderstatus), 6) as pct,
+  null::double as q1, null::double as median, null::double as q3 from c join m using (variable, o_orderstatus)
+union all by name
+select 'o_totalprice' as variable, o_orderstatus, null as level, count(o_totalprice) as n, count(*) - count(o_totalprice) as missing,
+  round(quantile_cont(o_totalprice, 0.25), 4) as q1, round(quantile_cont(o_totalprice, 0.5), 4) as median,
+  round(quantile_cont(o_totalprice, 0.75), 4) as q3 from o group by o_orderstatus
+""")
+def table_one(t: Tables) -> DataFrame:
+    big = F.when(F.col("o_totalprice") > 200000, 1).when(F.col("o_totalprice") > 50000, 0)
+    out = tableone.table_one(
+        t.orders.withColumn("big", big), "o_orderstatus", ["o_orderpriority", "big"], ["o_totalprice"]
+    )
+    return out.withColumns({c: rounded(c, 4) for c in tableone.QUARTILES}).withColumn("pct", rounded("pct"))
+
+
 @query(_ORDERS_WIDE + " " + " union all ".join(
     f"""select '{c}' as variable, count({c}) as "count", round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std,
     min({c})::double as "min", max({c})::double as "max",

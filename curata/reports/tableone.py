@@ -40,6 +40,40 @@ def describe_categorical(df: DataFrame, stratum: str, columns: Sequence[str]) ->
     return cells.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(known))
 
 
+def table_one(
+    df: DataFrame, stratum: str, categorical: Sequence[str], numbers: Sequence[str], tests: bool = False
+) -> DataFrame:
+    """The whole descriptive table as tidy rows.
+
+    One row per variable, level (null for numbers) and stratum with ``n`` known values (numbers) or rows of
+    the level, ``missing`` values, ``pct`` or ``median`` [``q1``, ``q3``]; with ``tests`` also the p-value
+    of the variable and the test's name.
+    """
+    parts = []
+    if numbers:
+        parts.append(
+            describe_continuous(df, stratum, numbers).withColumn("n", F.col("rows") - F.col("missing")).drop("rows")
+        )
+    if categorical:
+        missing = unpivot(df, [stratum], categorical, "string").groupBy("variable", stratum).agg(
+            F.count(F.when(F.col("value").isNull(), 1)).alias("missing")
+        )
+        parts.append(describe_categorical(df, stratum, categorical).join(missing, ["variable", stratum], "left"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    if not tests:
+        return out
+    tested = []
+    if categorical:
+        tested.append(chi_square(df, stratum, categorical).withColumn("test", F.lit("Chi-squared")))
+    if numbers:
+        tested.append(kruskal_wallis(df, stratum, numbers).withColumn("test", F.lit("Kruskal-Wallis")))
+    values = [t.select("variable", "p_value", "test") for t in tested]
+    both = values[0] if len(values) == 1 else values[0].unionByName(values[1])
+    return out.join(both, "variable", "left")
+
+
 def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per column."""
     long = unpivot(df, [], columns, "double")
@@ -61,11 +95,8 @@ def chi_square(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame
     """
     long = unpivot(df.dropna(subset=[stratum]), [stratum], columns, "string").filter(F.col("value").isNotNull())
     cells = long.groupBy("variable", stratum, "value").agg(F.count(F.lit(1)).alias("n"))
-    by_row, by_column, by_variable = (
-        Window.partitionBy("variable", "value"),
-        Window.partitionBy("variable", stratum),
-        Window.partitionBy("variable"),
-    )
+    # The windows run over counted cells, as many as there are levels and strata.
+    by_row, by_column = Window.partitionBy("variable", "value"), Window.partitionBy("variable", stratum)
     n = F.col("n").cast("double")
     parts = cells.select(
         "variable",

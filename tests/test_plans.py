@@ -221,3 +221,44 @@ def test_report_columns(spark):
     assert dataset.column_groups(df)["sofa_past"] == ["sofa_past_overall_24hr"]
     assert len(dataset.TITLES) == 85 and set(dataset.COMPLETENESS_COLUMNS) <= set(dataset.TITLES)
     assert not dataset.one_row_per_admission(df).first().ok
+
+
+def test_second_source_of_gases(spark):
+    from curata.plans import gases
+
+    items = spark.createDataFrame(
+        [(1, "pH", "Blood Gas"), (2, "pCO2", "BLOOD GAS"), (3, "pO2", "BLOOD GAS"), (4, "Oxygen Saturation", "BLOOD GAS"),
+         (5, "SPECIMEN TYPE", "BLOOD GAS"), (6, "Sodium", "CHEMISTRY")],
+        "itemid long, label string, category string",
+    )
+    charted = {1: "7.4", 2: "x", 3: "80", 4: "97", 5: "ART", 6: "140"}
+    data = [(1, 10, "2024-01-01 00:00:00", i, v) for i, v in charted.items()]
+    data += [(1, 10, "2024-01-01 01:00:00", i, "VEN" if i == 5 else v) for i, v in charted.items()]
+    data += [(1, 10, "2024-01-01 02:00:00", i, v) for i, v in charted.items() if i != 3]
+    data += [(1, None, "2024-01-01 03:00:00", i, v) for i, v in charted.items()]
+    events = spark.createDataFrame(data, "subject_id long, hadm_id long, charttime string, itemid long, value string").withColumn(
+        "charttime", F.col("charttime").cast("timestamp_ntz")
+    )
+    # pCO2 must be charted but need not be a number here; the first source asks for numbers throughout
+    got = gases.timed_gases(events, items, **gases.SECOND_SOURCE).collect()
+    assert [(r.hadm_id, r.pH, r.pCO2, r.pO2, r.SaO2, r.Methemoglobin) for r in got] == [(10, 7.4, None, 80.0, 97.0, None)]
+    first = dict(gases.FIRST_SOURCE, categories=gases.GAS_CATEGORIES, specimen_label="SPECIMEN TYPE", arterial="ART")
+    assert gases.timed_gases(events, items, **first).count() == 0
+
+
+def test_patient_level_mixes_rows(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 2, None, 5.0), ("a", 1, 1, 7.0, None), ("b", 1, 1, None, None)],
+        "subject_id string, hospital_admission_id long, SaO2_timestamp long, x double, y double",
+    )
+    got = dataset.patient_level(df).select("subject_id", "SaO2_timestamp", "x", "y")
+    assert rows(got) == [("a", 1, 7.0, 5.0), ("b", 1, None, None)]
+
+
+def test_settled_tables_live_in_the_shared_folder(spark):
+    from curata.session import ensure_checkpoint_dir, settle
+
+    df = spark.range(5).repartition(2)
+    kept = settle(df)
+    assert rows(kept) == rows(df)
+    assert all(f.startswith("file:") and ensure_checkpoint_dir(spark).removeprefix("file:") in f for f in kept.inputFiles())

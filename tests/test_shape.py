@@ -193,3 +193,13 @@ def test_variable_config_from_csv(spark, tmp_path):
     (tmp_path / "v.csv").write_text(text + "vitals,hr,heart_rate,-24,0,db.vitals,stay_id,charttime\n")
     config = [Covariate.from_config(r) for r in tables.read_csv(spark, str(tmp_path / "v.csv"), CONFIG_SCHEMA).collect()]
     assert config == [Covariate("vitals_heart_rate", "hr", "db.vitals", "stay_id", "charttime", -24.0, 0.0)]
+
+
+def test_table_one_with_tests(spark):
+    df = spark.createDataFrame([("g", 1.0, "x"), ("g", 2.0, None), ("h", 3.0, "y"), ("h", None, "x")], "s string, n double, c string")
+    got = {(r.variable, r.level, r.s): r for r in tableone.table_one(df, "s", ["c"], ["n"], tests=True).collect()}
+    assert set(got) == {("n", None, "g"), ("n", None, "h"), ("c", "x", "g"), ("c", "x", "h"), ("c", "y", "h")}
+    n = got["n", None, "h"]
+    assert (n.n, n.missing, n.median, n.test) == (1, 1, 3.0, "Kruskal-Wallis") and 0 < n.p_value < 1
+    c = got["c", "x", "g"]
+    assert (c.n, c.missing, c.pct, c.test) == (1, 1, 100.0, "Chi-squared")
