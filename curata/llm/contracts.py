@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import mixing
+from curata.llm import mixing, pieces, token_cache
+from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,31 @@ def query(sql: str | None = None):
     return register
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder's path in the session's shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    rows = pieces.encoded(docs, piece_model_path())
+    return rows.select("doc_id", *[c.alias(n) for n, c in pieces.digests(rows).items()])
+
+
+@query()
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    cache = own_folder(spark, "token-counts")  # a new one, so that a run never lives on another run's counts
+    return token_cache.token_counts(docs, token_cache.Tokenizer(piece_model_path()), cache)
+
+
 @query(mixing.MIXING_SQL.format(documents="documents"))
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
