@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import mixing, pieces, token_cache
+from curata.llm import mixing, pieces, token_cache, warc
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -36,6 +36,20 @@ def own_folder(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+@query(warc.WARC_SQL)
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = own_folder(spark, "archives")
+    warc.write_archives(read_table(spark, folder, "pages"), archives)
+    records = warc.read_archives(spark, archives)
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 @query()
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
