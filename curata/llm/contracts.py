@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import mixing, pieces, token_cache, warc
+from curata.llm import mixing, pieces, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -57,6 +57,11 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *[c.alias(n) for n, c in pieces.digests(rows).items()])
 
 
+@query()
+def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.edited_likeness(read_table(spark, folder, "documents"))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
