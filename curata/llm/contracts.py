@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import mixing, pieces, token_cache, warc, winnow
+from curata.llm import line_dedup, mixing, pieces, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -69,6 +69,12 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_cache.token_counts(docs, token_cache.Tokenizer(piece_model_path()), cache)
 
 
+@query()
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_removed", "removed", "text")
+
+
 @query(mixing.MIXING_SQL.format(documents="documents"))
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
