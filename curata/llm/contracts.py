@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import line_dedup, mixing, pieces, token_cache, warc, winnow
+from curata.llm import language, line_dedup, mixing, pieces, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -75,6 +75,14 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_removed", "removed", "text")
 
 
+@query()
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = language.learned(docs, piece_model_path())
+    rows = language.predicted(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query(mixing.MIXING_SQL.format(documents="documents"))
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
