@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import language, line_dedup, mixing, pieces, token_cache, warc, winnow
+from curata.llm import itq, language, line_dedup, mixing, pieces, simhash, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -83,6 +83,16 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query()
+def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return itq.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
 @query(mixing.MIXING_SQL.format(documents="documents"))
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
