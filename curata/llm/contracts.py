@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import itq, language, line_dedup, mixing, pieces, simhash, token_cache, warc, winnow
+from curata.llm import itq, language, line_dedup, mixing, pieces, pseudolikelihood, simhash, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -62,6 +62,11 @@ def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.edited_likeness(read_table(spark, folder, "documents"))
 
 
+@query()
+def op4_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudolikelihood.pseudo_likelihood(read_table(spark, folder, "documents"))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
