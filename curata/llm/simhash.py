@@ -9,7 +9,7 @@ among the index pairs of the other: fingerprints are joined on those keys and ve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curata.llm.components import components
 from curata.llm.pieces import portions
-from curata.llm.texts import need, whole_text
+from curata.llm.texts import free_name, need, whole_text
 from curata.session import settle
 
 SHINGLE = 3
@@ -57,19 +57,24 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``key, bits`` of every row: the fingerprint as a signed long. A null text counts as empty."""
-    need(docs, text, key)
+def fingerprints(
+    docs: DataFrame, *, text: str = "text", keep: Sequence[str] = ("doc_id",), shingle: int = SHINGLE, seed: int = SEED
+) -> DataFrame:
+    """``keep`` columns and ``bits``, the fingerprint as a signed long, of every row. A null text counts as empty."""
+    need(docs, text, *keep)
+    names = [*keep, "bits"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in portions(pa.compute.binary_length(batch.column(1)).to_pylist(), HELD):
-                part = batch.slice(start, end - start)
-                bits = np.array([fingerprint(t.as_py(), shingle, seed) for t in part.column(1)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits)], names=[key, "bits"])
+            texts = batch.column(batch.num_columns - 1)
+            for start, end in portions(pa.compute.binary_length(texts).to_pylist(), HELD):
+                part = texts.slice(start, end - start)
+                bits = np.array([fingerprint(t.as_py(), shingle, seed) for t in part], np.uint64).view(np.int64)
+                kept = [batch.column(i).slice(start, end - start) for i in range(batch.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(bits)], names=names)
 
-    rows = docs.select(docs[key], whole_text(text).alias("__text"))
-    return rows.mapInArrow(work, docs.select(docs[key]).schema.add("bits", "long"))
+    rows = docs.select(*[docs[c] for c in keep], whole_text(text).alias("__text"))
+    return rows.mapInArrow(work, docs.select(*[docs[c] for c in keep]).schema.add("bits", "long"))
 
 
 @lru_cache(maxsize=1)
@@ -207,6 +212,13 @@ def _common_links(members: DataFrame, distance: int) -> DataFrame:
     return both.groupBy("key", "low", "high").applyInArrow(work, "a long, b long")
 
 
+def _rooted(classes: DataFrame, distance: int) -> DataFrame:
+    """``classes`` (distinct ``bits``) with ``root``, the smallest fingerprint that links reach."""
+    roots = components(settle(links(classes, distance)))  # node, root: classes that have links
+    joined = classes.join(roots, classes["bits"] == roots["node"], "left")
+    return settle(joined.select(*classes.columns, F.coalesce("root", "bits").alias("root")))
+
+
 def near_duplicates(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE
 ) -> DataFrame:
@@ -217,12 +229,36 @@ def near_duplicates(
     component of their text; a component of rows without key has a null id. An empty table gives an empty result; other columns
     are not looked at.
     """
-    known = settle(fingerprints(docs, text=text, key=key, shingle=shingle, seed=seed))
-    classes = settle(known.groupBy("bits").agg(F.min(key).alias("first")))
-    roots = components(settle(links(classes, distance)))  # node, root: classes that have links
-    joined = classes.join(roots, classes["bits"] == roots["node"], "left")
-    rooted = settle(joined.select("bits", "first", F.coalesce("root", "bits").alias("root")))
+    need(docs, text, key)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    known = settle(fingerprints(rows, keep=["key"], shingle=shingle, seed=seed))
+    classes = settle(known.groupBy("bits").agg(F.min("key").alias("first")))
+    rooted = _rooted(classes, distance)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = settle(rooted.join(smallest, "root").select(F.col("bits").alias("of"), "component_id"))
-    rows = known.join(ids, F.col("bits") == F.col("of"))
-    return rows.select(key, F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+    met = known.join(ids, F.col("bits") == F.col("of"))
+    return met.select(F.col("key").alias(key), F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(
+    docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE
+) -> DataFrame:
+    """The row of each component with the smallest key, and of equal keys the smallest text hash; columns unchanged.
+
+    A null key counts as larger than any other; of rows that repeat key and text one stays. Otherwise as ``near_duplicates``.
+    """
+    need(docs, text, key)
+    mark = lambda: F.xxhash64(whole_text(text))
+    rows = docs.select(F.col(key).isNull().alias("last"), F.col(key).alias("key"), mark().alias("mark"), F.col(text).alias("text"))
+    known = settle(fingerprints(rows, keep=["last", "key", "mark"], shingle=shingle, seed=seed))
+    rooted = _rooted(settle(known.select("bits").distinct()), distance)
+    firsts = known.groupBy("bits").agg(F.min(F.struct("last", "key", "mark")).alias("first"))
+    chosen = firsts.join(rooted, "bits").groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.mark")
+    chosen = settle(chosen)
+    # merge said to Spark, because what is chosen grows with the rows
+    same = docs[key].eqNullSafe(chosen["key"]) & (mark() == chosen["mark"])
+    kept = docs.join(chosen.hint("merge"), same, "left_semi")
+    if known.groupBy("last", "key", "mark").count().where("count > 1").limit(1).count():
+        name = free_name("__mark", docs)
+        kept = kept.withColumn(name, mark()).dropDuplicates([key, name]).drop(name)
+    return kept
