@@ -79,15 +79,3 @@ def hour_bucket(offset: Column | str) -> Column:
     """The hour h with 60(h-1) < offset <= 60h."""
     offset = F.col(offset) if isinstance(offset, str) else offset
     return F.ceil(offset / F.lit(60)).cast("int")
-
-
-def value_bucket(value: Column | str, per_octave: int = 4096) -> Column:
-    """A bucket number that grows with the value, whatever the scale of the data.
-
-    The value range of a column spans few powers of two, so a column has a bounded number of
-    buckets (some ten thousand) however many rows it has; each bucket covers a relative width
-    of about 1 / per_octave.
-    """
-    value = F.col(value) if isinstance(value, str) else value
-    magnitude = F.floor(F.log2(F.abs(value) + F.lit(1.0)) * F.lit(float(per_octave)))
-    return F.when(value < 0, -magnitude - 1).otherwise(magnitude).cast("long")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from curata.session import settle
+from curata.operators.scan import numbered
 
 # Texts that stand for a missing value.
 MISSING_TEXTS = ("___", "None")
@@ -83,32 +84,17 @@ def harmonised_union(frames: Sequence[DataFrame], strict: bool = False) -> DataF
 
 
 def dense_ids(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, modulo: int | None = 1_000_000
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, modulo: int | None = None
 ) -> DataFrame:
     """Number distinct keys 0, 1, 2 ... in the order of their first appearance along ``order``.
 
-    The distinct keys are sorted in range partitions; a key's number is its place in its partition
-    plus the sizes of the partitions before. The sorted keys are written once, so that sizes and
-    places agree. ``modulo`` wraps the numbers (and makes them collide beyond it).
+    ``modulo`` wraps the numbers, so that keys share them from there on; nothing wraps unless it is asked for. Null keys are keys like others.
     """
-    place = F.struct(*order)
-    distinct = df.groupBy(*keys).agg(F.min(place).alias("__place"))
-    numbered = settle(
-        distinct.orderBy("__place", *keys).select(*keys, F.monotonically_increasing_id().alias("__at"))
-    ).select(
-        *keys,
-        F.shiftright("__at", 33).alias("__part"),
-        F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__local"),
-    )
-    # One row per sort partition: bounded by the number of shuffle partitions.
-    sizes = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    code: Column = F.col("__local") + F.col("__offset")
-    if modulo:
-        code = code % F.lit(modulo)
-    codes = numbered.join(F.broadcast(offsets), "__part").select(*keys, code.alias(name))
-    return df.join(codes, list(keys), "left")
+    distinct = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__place"))
+    code = F.col("__code") % F.lit(modulo) if modulo else F.col("__code")
+    codes = numbered(distinct, ["__place", *keys], "__code").select(*[F.col(k).alias(f"__k_{k}") for k in keys], code.alias(name))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return df.join(codes, same, "left").select(*[df[c] for c in df.columns], name)
 
 
 def attach_attributes(df: DataFrame, attributes: DataFrame, on: Sequence[str]) -> DataFrame:

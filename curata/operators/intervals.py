@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -69,14 +70,21 @@ def interval_join(
 
     ``closed`` is "left" for [start, end) or "both" for [start, end]. The join runs on
     (key, time bucket): an interval is copied to the buckets it touches, a left row has exactly one,
-    so a hot key spreads over its buckets and a left join needs no second pass.
+    so a hot key spreads over its buckets and a left join needs no second pass. Intervals are cut to the
+    time that the key's rows cover, so an open end, whatever far date stands for it, makes no more buckets than there are days
+    of data, and a key without rows none.
     """
     clock = Clock.of(left, time)
     right_clock = Clock.of(right, start)
-    first = clock.bucket(right_clock.axis(start), bucket_minutes)
-    last = clock.bucket(right_clock.axis(end), bucket_minutes)
+    at = clock.axis(time)
+    cover = left.groupBy(*[F.col(k).alias(f"__c_{k}") for k in keys]).agg(F.min(at).alias("__from"), F.max(at).alias("__to"))
+    known = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__c_{k}") for k in keys])
+    begins, ends = right_clock.axis(start), right_clock.axis(end)
+    first = clock.bucket(F.greatest(begins, F.col("__from")), bucket_minutes)
+    last = clock.bucket(F.least(ends, F.col("__to")), bucket_minutes)
     spans = (
         right.filter(F.col(start) <= F.col(end))
+        .join(cover, known & (begins <= F.col("__to")) & (ends >= F.col("__from")))
         .select(
             *[F.col(k).alias(f"__r_{k}") for k in keys],
             F.col(start).alias("__start"),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+BOUNDS = {"above": "__gt__", "at_least": "__ge__", "below": "__lt__", "at_most": "__le__"}
+
+
 @dataclass(frozen=True)
 class Range:
     """A validity range; a bound of None is open-ended. ``above``/``below`` exclude the bound."""
@@ -18,17 +21,11 @@ class Range:
     below: float | None = None
     at_most: float | None = None
 
+
     def holds(self, value: Column) -> Column:
-        tests = [value.isNotNull()]
-        if self.above is not None:
-            tests.append(value > F.lit(float(self.above)))
-        if self.at_least is not None:
-            tests.append(value >= F.lit(float(self.at_least)))
-        if self.below is not None:
-            tests.append(value < F.lit(float(self.below)))
-        if self.at_most is not None:
-            tests.append(value <= F.lit(float(self.at_most)))
-        return reduce(lambda a, b: a & b, tests)
+        bounds = {b: getattr(self, b) for b in BOUNDS}
+        tests = [getattr(value, BOUNDS[b])(F.lit(float(x))) for b, x in bounds.items() if x is not None]
+        return reduce(lambda a, b: a & b, tests, value.isNotNull())
 
 
 @dataclass(frozen=True)
@@ -41,47 +38,36 @@ class Measure:
     scale: float = 1.0
     shift: float = 0.0
 
-    def values(self, item: Column, value: Column) -> Column:
-        converted = value
-        if self.shift or self.scale != 1.0:
-            converted = (value - F.lit(self.shift)) / F.lit(self.scale)
-        return F.when(item.isin(*self.items) & self.valid.holds(value), converted)
+    @property
+    def converts(self) -> bool:
+        return bool(self.shift) or self.scale != 1.0
 
 
 AGGREGATES = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "any": F.min}
 
 
-# From this many columns on, values combine per column before they are spread out.
-WIDE_PIVOT = 16
-
-
 def rule_table(spark: SparkSession, measures: Sequence[Measure]) -> DataFrame:
-    """The measures as rows, one per (item, column): a table as small as the rules in the code."""
+    """The measures as rows, one per (item, column), of which the first given counts: as small as the rules in the code."""
     kind = "string" if any(isinstance(i, str) for m in measures for i in m.items) else "long"
+    first: dict[tuple, Measure] = {}
+    for m in measures:
+        for item in m.items:
+            first.setdefault((item, m.name), m)
     data = [
-        (item, m.name, *[None if b is None else float(b) for b in
-                         (m.valid.above, m.valid.at_least, m.valid.below, m.valid.at_most)],
-         float(m.shift), float(m.scale))
-        for m in measures
-        for item in m.items
+        (item, name, *[None if getattr(m.valid, b) is None else float(getattr(m.valid, b)) for b in BOUNDS], float(m.shift), float(m.scale))
+        for (item, name), m in first.items()
     ]
-    return spark.createDataFrame(
-        data,
-        f"__item {kind}, __measure string, __above double, __at_least double, __below double, __at_most double, "
-        "__shift double, __scale double",
-    )
+    bounds = ", ".join(f"__{b} double" for b in BOUNDS)
+    return spark.createDataFrame(data, f"__item {kind}, __measure string, {bounds}, __shift double, __scale double")
 
 
-def with_rules(df: DataFrame, item: str, value: str, measures: Sequence[Measure], how: str) -> DataFrame:
-    """Rows with the rules of their item beside them and ``__valid``, whether the value keeps them."""
-    rules = F.broadcast(rule_table(df.sparkSession, measures))
-    v = F.col(value)
-    kept = v.isNotNull()
-    for bound, test in (
-        ("__above", v.__gt__), ("__at_least", v.__ge__), ("__below", v.__lt__), ("__at_most", v.__le__),
-    ):
-        kept = kept & F.coalesce(test(F.col(bound)), F.lit(True))
-    return df.join(rules, F.col(item) == F.col("__item"), how).withColumn("__valid", kept)
+def keeps(value: Column, measures: Sequence[Measure]) -> Column:
+    """Whether a value keeps the rule beside it; bounds that no rule has are not asked, so text can go without."""
+    tests = [value.isNotNull()]
+    for bound, test in BOUNDS.items():
+        if any(getattr(m.valid, bound) is not None for m in measures):
+            tests.append(F.coalesce(getattr(value, test)(F.col(f"__{bound}")), F.lit(True)))
+    return reduce(lambda a, b: a & b, tests)
 
 
 def pivot_measures(
@@ -92,31 +78,30 @@ def pivot_measures(
     measures: Sequence[Measure],
     how: str = "avg",
     digits: int | None = None,
+    largest: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per key with one column per measure; every key of an input row survives.
 
-    Measures of the same name are alternatives for one column (say two units of one quantity). A
-    narrow pivot is one filtered aggregate per column. A wide one first combines per (key, column),
-    so that the shuffle carries the few values a key has and not a buffer for every column, and then
-    spreads at most one row per column.
+    A row counts once in every column that has a rule for its item. Measures of the same name feed one column; if they share an item,
+    the first rule counts. A column keeps the value's type unless one of its measures has a scale or shift. Rows combine per
+    (key, column) before columns are spread, so that the shuffle carries the few values a key has and not a
+    buffer for every column. ``largest`` adds, per key, the largest value of other expressions.
     """
+    largest = dict(largest or {})
     names = list(dict.fromkeys(m.name for m in measures))
-    if len(names) < WIDE_PIVOT:
-        arms = {n: [m.values(F.col(item), F.col(value)) for m in measures if m.name == n] for n in names}
-        out = {n: AGGREGATES[how](F.coalesce(*a)) for n, a in arms.items()}
-        rows = df
-    else:
-        ruled = with_rules(df.select(*keys, item, value), item, value, measures, "left")
-        converted = (F.col(value) - F.col("__shift")) / F.col("__scale")
-        rows = (
-            ruled.groupBy(*keys, "__measure")
-            .agg(AGGREGATES[how](F.when(F.col("__valid"), converted)).alias("__value"))
-            .repartition(*keys)
-        )
-        out = {n: F.max(F.when(F.col("__measure") == n, F.col("__value"))) for n in names}
-    return rows.groupBy(*keys).agg(
-        *[(c if digits is None else F.round(c, digits)).alias(n) for n, c in out.items()]
-    )
+    converted = {m.name for m in measures if m.converts}
+    pick, v = AGGREGATES[how], F.col(value)
+    rules = F.broadcast(rule_table(df.sparkSession, measures))  # one row per rule in the code
+    slim = df.select(*keys, item, value, *[c.alias(f"__l_{n}") for n, c in largest.items()])
+    ruled = slim.join(rules, F.col(item) == F.col("__item"), "left").withColumn("__valid", keeps(v, measures))
+    parts = [pick(F.when(F.col("__valid"), v)).alias("__plain")] if len(converted) < len(names) else []
+    if converted:
+        parts.append(pick(F.when(F.col("__valid"), (v - F.col("__shift")) / F.col("__scale"))).alias("__converted"))
+    parts += [F.max(f"__l_{n}").alias(f"__l_{n}") for n in largest]
+    combined = ruled.groupBy(*keys, "__measure").agg(*parts).repartition(*keys)
+    out = {n: F.max(F.when(F.col("__measure") == n, F.col("__converted" if n in converted else "__plain"))) for n in names}
+    rounded = [(c if digits is None else F.round(c, digits)).alias(n) for n, c in out.items()]
+    return combined.groupBy(*keys).agg(*rounded, *[F.max(f"__l_{n}").alias(n) for n in largest])
 
 
 def pivot_labels(
@@ -137,8 +122,6 @@ def known_items(measures: Sequence[Measure]) -> list:
 
 
 def valid_rows(df: DataFrame, item: str, value: str, measures: Sequence[Measure]) -> DataFrame:
-    """Rows that satisfy the rule of their item; items without a rule are dropped.
-
-    Rules of one item must agree on its range, as each would keep the row once.
-    """
-    return with_rules(df, item, value, measures, "inner").filter("__valid").select(*df.columns)
+    """Rows that satisfy a rule of their item, each once; items without a rule are dropped."""
+    rules = F.broadcast(rule_table(df.sparkSession, measures))
+    return df.join(rules, (F.col(item) == F.col("__item")) & keeps(F.col(value), measures), "left_semi")

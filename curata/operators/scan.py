@@ -10,9 +10,12 @@ number of chunks, not the number of rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from curata.session import settle
+
 CHUNK = "__chunk"
 
 Exprs = Mapping[str, Column] | None
@@ -36,8 +39,8 @@ def ordered_scan(
     ``before`` / ``upto``: the latest non-null value of the expression in earlier rows, without or
     with the current one. ``after`` / ``onward``: the earliest non-null one in later rows.
     ``running``: the sum up to and including the current row; ``total``: the sum over the key. To see
-    nulls of a neighbour, pass a struct. ``order`` must be total within a key and ``chunk`` must never fall along it; keys are
-    non-null.
+    nulls of a neighbour, pass a struct. ``order`` must be total within a key and ``chunk`` must never fall along it. A null key is a
+    key like others; a null place comes before all others, and its chunk must be null.
     """
     back = [("before", n, e) for n, e in (before or {}).items()]
     back += [("upto", n, e) for n, e in (upto or {}).items()]
@@ -51,7 +54,7 @@ def ordered_scan(
     work = df.withColumn(CHUNK, chunk)
     work = work.withColumns({value[n]: e for _, n, e in asked})
 
-    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    place = F.struct(*order)  # a struct also of one column: a null place is still a place, before all others
     summary = work.groupBy(*keys, CHUNK).agg(
         *[F.max_by(value[n], F.when(F.col(value[n]).isNotNull(), place)).alias(n) for _, n, _ in back],
         *[F.min_by(value[n], F.when(F.col(value[n]).isNotNull(), place)).alias(n) for _, n, _ in forth],
@@ -79,7 +82,10 @@ def ordered_scan(
         local[name] = seen.over(frame)
     scanned = work.select(*df.columns, CHUNK, *[c.alias(f"__l_{n}") for n, c in local.items()])
 
-    joined = scanned.join(carry, [*keys, CHUNK], "left")
+    sides = [*keys, CHUNK]
+    carry = carry.withColumnsRenamed({c: f"__r_{c}" for c in sides})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in sides])
+    joined = scanned.join(carry, same, "left")
     merged = []
     for kind, name, _ in asked:
         brought = F.col(f"__c_{name}")
@@ -92,3 +98,21 @@ def ordered_scan(
         else:
             merged.append(F.coalesce(own, brought).alias(name))
     return joined.select(*df.columns, *merged)
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """``df`` with its place, from 0, along ``order``, which must be total.
+
+    Rows are sorted in range partitions and written once; a place is that in the partition plus the sizes of the
+    partitions before, which are one row each.
+    """
+    sorted_rows = settle(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()))
+    placed = sorted_rows.select(
+        *df.columns,
+        F.shiftright("__at", 33).alias("__part"),
+        F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__local"),
+    )
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, (F.col("__local") + F.col("__offset")).alias(name))

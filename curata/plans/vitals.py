@@ -46,13 +46,9 @@ def vital_signs(chart_events: DataFrame) -> DataFrame:
     keys = ["subject_id", "stay_id", "charttime"]
     items = [*known_items(VITALS), TEMPERATURE_SITE]
     rows = chart_events.filter(F.col("stay_id").isNotNull() & F.col("itemid").isin(*items))
-    columns = {}
-    for m in VITALS:
-        columns.setdefault(m.name, []).append(m.values(F.col("itemid"), F.col("valuenum")))
-    means = {n: F.avg(F.coalesce(*v)) for n, v in columns.items()}
-    means["temperature"] = F.round(means["temperature"], TEMPERATURE_DIGITS)
-    site = F.max(F.when(F.col("itemid") == TEMPERATURE_SITE, F.col("value")))
-    return rows.groupBy(*keys).agg(*[c.alias(n) for n, c in means.items()], site.alias("temperature_site"))
+    site = {"temperature_site": F.when(F.col("itemid") == TEMPERATURE_SITE, F.col("value"))}
+    means = pivot_measures(rows, keys, "itemid", "valuenum", VITALS, largest=site)
+    return means.withColumn("temperature", F.round("temperature", TEMPERATURE_DIGITS))
 
 
 def blood_pressures(chart_events: DataFrame) -> DataFrame:

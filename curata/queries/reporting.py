@@ -76,7 +76,7 @@ def labelled(t: Tables) -> DataFrame:
               sum(case when status = 'O' then 1 else 0 end) as o, sum(case when status = 'P' then 1 else 0 end) as p
        from l group by 1)
 select level, round_even(f * 100.0 / sum(n) over (), 2) as "pct_F", round_even(o * 100.0 / sum(n) over (), 2) as "pct_O",
-  round_even(p * 100.0 / sum(n) over (), 2) as "pct_P",
+  round_even(p * 100.0 / sum(n) over (), 2) as "pct_P", 0.0 as pct_other,
   cast(row_number() over (order by case when level = 'Unknown' then 1 else 0 end, n desc, level) as integer) as place
 from c
 """)
@@ -84,6 +84,17 @@ def crosstab_table(t: Tables) -> DataFrame:
     return crosstab.crosstab_wide(labelled(t), "level", "status", ["F", "O", "P"])
 
 
+@query(_LABELLED + """,
+ c as (select level, count(*) as n, sum(case when status = 'P' then 1 else 0 end) as p from l group by 1)
+select level, round_even(p * 100.0 / sum(n) over (), 2) as "pct_P", round_even((n - p) * 100.0 / sum(n) over (), 2) as pct_other,
+  cast(row_number() over (order by case when level = 'Unknown' then 1 else 0 end, n desc, level) as integer) as place
+from c
+""")
+def crosstab_other(t: Tables) -> DataFrame:
+    """Categories that are not named keep their share."""
+    return crosstab.crosstab_wide(labelled(t), "level", "status", ["P"])
+
+
 @query(_LABELLED + " select status, cast(count(*) as bigint) as total_n from l group by 1")
 def crosstab_totals(t: Tables) -> DataFrame:
     return crosstab.cell_totals(crosstab.crosstab_percent(labelled(t), "level", "status"), ["status"], "n")
@@ -247,15 +258,45 @@ def kruskal_wallis_h(t: Tables) -> DataFrame:
     return tested.select("variable", rounded("h").alias("h"), "dof")
 
 
-@query()
+# Upper tail of chi-square for an even number of degrees of freedom, a finite sum.
+_TAIL = """select test, variable, round((select sum(exp(-s / 2 + i * ln(s / 2) - lgamma(i + 1)))
+   from range(cast(dof // 2 as bigint)) as t(i)), 9) as p_value from stats"""
+
+_CHI = """
+l as (select 'o_orderpriority' as variable, o_orderstatus as g, o_orderpriority as v from orders
+      union all select 'ring', o_orderstatus, cast(o_custkey % 4 as varchar) from orders
+      union all select 'many', o_orderstatus, cast(o_custkey % 700 as varchar) from orders),
+cc as (select variable, g, v, count(*)::double as n from l group by 1, 2, 3),
+cr as (select variable, g, sum(n) as rn from cc group by 1, 2),
+ck as (select variable, v, sum(n) as kn from cc group by 1, 2),
+chi as (select variable, sum(n) * (sum(n * n / (rn * kn)) - 1) as s,
+          (count(distinct v) - 1) * (count(distinct g) - 1) as dof
+        from cc join cr using (variable, g) join ck using (variable, v) group by 1)"""
+
+
+@query("with " + _CHI + ", kw as (" + _KW.replace("round(raw / (1 - ties / (n_all * n_all * n_all - n_all)), 6)", "raw / (1 - ties / (n_all * n_all * n_all - n_all))") + """),
+stats as (select 'Chi-squared' as test, variable, s, dof from chi
+          union all select 'Kruskal-Wallis', variable, h, dof from kw where variable = 'o_totalprice')
+""" + _TAIL)
 def group_test_p_values(t: Tables) -> DataFrame:
-    """The tail probabilities beside both statistics; SQL has no chi-square distribution."""
-    rows = t.orders.withColumn("ring", F.col("o_custkey") % 4)
-    chi = tableone.chi_square(rows, "o_orderstatus", ["o_orderpriority", "ring"])
+    """The tail probabilities beside both statistics, one of them with over a thousand degrees of freedom."""
+    rows = t.orders.withColumns({"ring": F.col("o_custkey") % 4, "many": F.col("o_custkey") % 700})
+    chi = tableone.chi_square(rows, "o_orderstatus", ["o_orderpriority", "ring", "many"])
     ranks = tableone.kruskal_wallis(rows, "o_orderstatus", ["o_totalprice"])
-    return chi.select(F.lit("Chi-squared").alias("test"), "variable", "p_value").unionByName(
+    both = chi.select(F.lit("Chi-squared").alias("test"), "variable", "p_value").unionByName(
         ranks.select(F.lit("Kruskal-Wallis").alias("test"), "variable", "p_value")
     )
+    return both.withColumn("p_value", rounded("p_value", 9))
+
+
+@query("""
+select 'o_orderkey' as variable, count(*) as "count", round(quantile_cont((1000000000 + o_orderkey)::double, 0.5), 4) as median,
+  round(quantile_cont((1000000000 + o_orderkey)::double, 0.25), 4) as q1 from orders
+""")
+def narrow_range_quantiles(t: Tables) -> DataFrame:
+    """A column whose values all lie within a millionth of each other."""
+    out = tableone.describe_numbers(t.orders.select((F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey")), ["o_orderkey"])
+    return out.select("variable", "count", rounded("median", 4).alias("median"), rounded("q1", 4).alias("q1"))
 
 
 @query("""select o_orderkey, o_custkey, count(*) over (partition by o_custkey) as n_pairs from orders""")

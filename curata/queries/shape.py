@@ -78,6 +78,38 @@ def pivot_max_text(t: Tables) -> DataFrame:
     return pivot.pivot_labels(daily(t), ["user_id", "day"], "event_type", "props", {"error": "site"}, "max")
 
 
+_SHARED = [
+    Measure("either", ("view", "click"), Range(above=10)),
+    Measure("view_id", ("view",)),
+    Measure("scaled", ("view", "error"), scale=2.0),
+    Measure("either", ("view",), Range(above=500)),  # a second rule of one column for one item does not count
+]
+_SHARED_SQL = """
+select user_id, cast(ts as date) as day, max(case when event_type in ('view', 'click') and event_id > 10 then event_id end) as either,
+  max(case when event_type = 'view' then event_id end) as view_id,
+  max(case when event_type in ('view', 'error') then event_id / 2.0 end) as scaled{more} from events group by 1, 2
+"""
+
+
+@query(_SHARED_SQL.format(more=""))
+def pivot_shared_items(t: Tables) -> DataFrame:
+    """Columns that share items, and whole numbers that stay whole unless they are scaled."""
+    return pivot.pivot_measures(daily(t), ["user_id", "day"], "event_type", "event_id", _SHARED, "max")
+
+
+@query(_SHARED_SQL.format(more="".join(f", max(case when event_type = 'click' and event_id >= {i} then event_id end) as from_{i}" for i in range(20))))
+def pivot_shared_items_wide(t: Tables) -> DataFrame:
+    more = [Measure(f"from_{i}", ("click",), Range(at_least=i)) for i in range(20)]
+    return pivot.pivot_measures(daily(t), ["user_id", "day"], "event_type", "event_id", [*_SHARED, *more], "max")
+
+
+@query("select * from events where (event_type = 'view' and value > 20) or (event_type = 'click' and (value < 5 or value > 90))")
+def valid_rows_shared(t: Tables) -> DataFrame:
+    """An item in several measures keeps each row once."""
+    rules = [Measure("a", ("view", "click"), Range(above=90)), Measure("b", ("view",), Range(above=20)), Measure("c", ("click",), Range(below=5))]
+    return pivot.valid_rows(t.events, "event_type", "value", rules)
+
+
 @query("""
 select * from events where
    (event_type = 'view' and value > 0 and value <= 100) or (event_type = 'click' and value >= 1 and value <= 80)
@@ -303,7 +335,7 @@ select 'events' as source_db, cast(user_id as varchar) as subject_id, ts as at,
        case when event_type not in ('error') then event_type end as label, cast(null as bigint) as rank from events
 union all
 select 'orders', cast(o_custkey as varchar), timestamp '2014-01-01' + to_minutes(o_orderkey * 7), o_totalprice,
-       case when o_orderstatus not in ('P') then o_orderstatus end, cast(left(o_orderpriority, 1) as bigint) from orders
+       case when o_orderstatus not in ('P') then o_orderstatus end, cast(split_part(o_orderpriority, '-', 1) as bigint) from orders
 union all
 select 'suppliers', cast(s_suppkey as varchar), timestamp '2014-01-01' + to_minutes(s_nationkey * 60), s_acctbal, s_name, null from supplier
 """)
@@ -325,7 +357,7 @@ def harmonised_union(t: Tables) -> DataFrame:
             minutes_to_timestamp(F.col("o_orderkey") * 7).alias("at"),
             F.col("o_totalprice").cast("string").alias("reading"),
             F.col("o_orderstatus").alias("label"),
-            F.substring("o_orderpriority", 1, 1).alias("rank"),
+            F.substring_index("o_orderpriority", "-", 1).alias("rank"),
         ),
         ["P"],
     )
@@ -344,21 +376,33 @@ def harmonised_union(t: Tables) -> DataFrame:
     return harmonise.cast_columns(stacked, {"reading": "double", "rank": "bigint"})
 
 
-@query("""
+_SURROGATE = """
 with u as (select 'events' as source_db, user_id as subject_id, event_id as admission from events
            union all select 'orders', o_custkey, o_orderkey from orders),
 k as (select source_db, cast(subject_id as varchar) as s, min(admission) as a from u group by all)
-select u.source_db, u.subject_id, u.admission, c.code % 1000000 as unique_subject_id
+select u.source_db, u.subject_id, u.admission, {code} as unique_subject_id
 from u join (select source_db, s, row_number() over (order by source_db, s) - 1 as code from k) c
   on c.source_db = u.source_db and c.s = cast(u.subject_id as varchar)
-""")
+"""
+
+
+@query(_SURROGATE.format(code="c.code"))
 def surrogate_ids(t: Tables) -> DataFrame:
+    return _numbered_subjects(t, None)
+
+
+@query(_SURROGATE.format(code="c.code % 1000"))
+def surrogate_ids_wrapped(t: Tables) -> DataFrame:
+    return _numbered_subjects(t, 1000)
+
+
+def _numbered_subjects(t: Tables, modulo: int | None) -> DataFrame:
     rows = t.events.select(
         F.lit("events").alias("source_db"), F.col("user_id").alias("subject_id"), F.col("event_id").alias("admission")
     ).union(t.orders.select(F.lit("orders"), "o_custkey", "o_orderkey"))
     keyed = rows.withColumn("__text", F.col("subject_id").cast("string"))
     return harmonise.dense_ids(
-        keyed, ["source_db", "subject_id"], ["source_db", "__text", "admission"], "unique_subject_id"
+        keyed, ["source_db", "subject_id"], ["source_db", "__text", "admission"], "unique_subject_id", modulo
     ).drop("__text")
 
 

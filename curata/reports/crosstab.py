@@ -3,39 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from curata.operators.scan import numbered
 
 
 def crosstab_percent(df: DataFrame, rows: str, columns: str, within: Sequence[str] = (), digits: int = 2) -> DataFrame:
     """Share of each cell in the total of its ``within`` group, in percent.
 
-    Rows with a null category count neither as cells nor in the total. The window runs over
-    the counted cells, whose number is that of the category pairs.
+    Rows with a null category count neither as cells nor in the total. Totals are aggregates of the counted cells.
     """
     cells = df.dropna(subset=[rows, columns]).groupBy(*within, rows, columns).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-    share = F.bround(F.col("n") * 100.0 / F.sum("n").over(everything), digits)
-    return cells.withColumn("pct", share)
+    share = lambda total: F.bround(F.col("n") * 100.0 / total, digits).alias("pct")
+    if not within:
+        return cells.select(*cells.columns, share(cells.agg(F.sum("n")).scalar()))
+    totals = cells.groupBy(*[F.col(w).alias(f"__w_{w}") for w in within]).agg(F.sum("n").alias("__total"))
+    same = reduce(lambda a, b: a & b, [F.col(w).eqNullSafe(F.col(f"__w_{w}")) for w in within])
+    return cells.join(totals, same).select(*cells.columns, share(F.col("__total")))
 
 
 def crosstab_wide(df: DataFrame, rows: str, columns: str, values: Sequence, digits: int = 2) -> DataFrame:
     """The same as a table with one column per value and 0 in empty cells, largest row first and
-    "Unknown" last (``place`` is the row's position)."""
-    both = df.filter(F.col(columns).isin(*values)).dropna(subset=[rows])
-    counts = both.groupBy(rows).agg(
-        *[F.sum(F.when(F.col(columns) == v, 1).otherwise(0)).alias(f"__{v}") for v in values],
+    "Unknown" last (``place`` is the row's position).
+
+    Categories that are not among ``values`` share the column ``pct_other`` and count in the total.
+    """
+    named = F.col(columns).isin(*values)
+    counts = df.dropna(subset=[rows, columns]).groupBy(rows).agg(
+        *[F.count_if(F.col(columns) == v).alias(f"__{v}") for v in values],
+        F.count_if(~named).alias("__other"),
         F.count(F.lit(1)).alias("n"),
     )
-    everything = Window.partitionBy(F.lit(0))
-    by_size = everything.orderBy(
-        F.when(F.col(rows) == "Unknown", 1).otherwise(0), F.desc("n"), F.asc(rows)
-    )
-    grand = F.sum("n").over(everything)
-    return counts.select(
+    grand = counts.agg(F.sum("n")).scalar()
+    by_size = [F.when(F.col(rows) == "Unknown", 1).otherwise(0), F.desc("n"), F.asc(rows)]
+    return numbered(counts, by_size, "place").select(
         rows,
-        *[F.bround(F.col(f"__{v}") * 100.0 / grand, digits).alias(f"pct_{v}") for v in values],
-        F.row_number().over(by_size).alias("place"),
+        *[F.bround(F.col(f"__{v}") * 100.0 / grand, digits).alias(f"pct_{v}") for v in [*values, "other"]],
+        (F.col("place") + 1).cast("int").alias("place"),
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curata.reports.quantiles import exact_quantiles, value_counts_in_order
@@ -14,10 +13,11 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str], kind: str) -> DataFrame:
-    """``variable`` and ``value`` rows of the named columns."""
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("variable"), F.col(c).cast(kind).alias("value")) for c in columns]
-    )
+    """``variable`` and ``value`` rows of the named columns; a number that is NaN is missing."""
+    values = {c: F.col(c).cast(kind) for c in columns}
+    if kind == "double":
+        values = {c: F.when(~F.isnan(v), v) for c, v in values.items()}
+    entries = F.array(*[F.struct(F.lit(c).alias("variable"), v.alias("value")) for c, v in values.items()])
     return df.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.variable", "e.value")
 
 
@@ -116,53 +116,76 @@ def kruskal_wallis(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataF
     """Kruskal-Wallis H with tie correction for each variable across the strata.
 
     Distinct values carry one count per stratum; their mean rank follows from the running count,
-    which is taken in value buckets, never over a whole variable in one task.
+    which is taken in range partitions, never over a whole variable in one task. Ranks are
+    centred before they are squared.
     """
     long = unpivot(df.dropna(subset=[stratum]), [stratum], columns, "double").filter(F.col("value").isNotNull())
-    ranked = value_counts_in_order(long, ["variable"], "value", {}).select(
+    ranked = value_counts_in_order(long, ["variable"], "value").select(
         "variable", "value", F.col("n").cast("double").alias("t"), (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank")
     )
     ties = ranked.groupBy("variable").agg(
-        F.sum("t").alias("N"), F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("ties")
+        F.sum("t").alias("everything"), F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("ties")
     )
     per_value = long.groupBy("variable", "value", stratum).agg(F.count(F.lit(1)).cast("double").alias("c"))
-    sums = (
+    strata = (
         per_value.join(ranked, ["variable", "value"])
         .groupBy("variable", stratum)
         .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("rank")).alias("r"))
-        .groupBy("variable")
-        .agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), (F.count(F.lit(1)) - 1).alias("dof"))
     )
-    total = F.col("N")
-    raw = F.lit(12.0) / (total * (total + 1)) * F.col("s") - F.lit(3.0) * (total + 1)
+    total = F.col("everything")
+    apart = F.col("r") / F.col("n") - (total + 1) / 2.0  # mean rank against the mean of all ranks
+    sums = strata.join(ties, "variable").groupBy("variable", "everything", "ties").agg(
+        F.sum(F.col("n") * apart * apart).alias("s"), (F.count(F.lit(1)) - 1).alias("dof")
+    )
+    raw = F.lit(12.0) / (total * (total + 1)) * F.col("s")
     correction = F.lit(1.0) - F.col("ties") / (total * total * total - total)
-    tested = sums.join(ties, "variable").select("variable", F.try_divide(raw, correction).alias("h"), "dof")
+    tested = sums.select("variable", F.try_divide(raw, correction).alias("h"), "dof")
     return tested.withColumn("p_value", chi2_tail("h", "dof"))
 
 
 def chi2_tail(statistic: Column | str, dof: Column | str) -> Column:
-    """Upper tail of the chi-square distribution, for the few rows of a test table."""
-
-    @F.pandas_udf("double")
-    def tail(x: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([_upper_tail(a, b) for a, b in zip(x, k)])
-
-    return tail(statistic, dof)
+    """Upper tail of the chi-square distribution for whole degrees of freedom; null below one.
 
-
-def _upper_tail(x: float, k: float) -> float | None:
-    if x is None or k is None or math.isnan(x) or k < 1:
-        return None
-    half = max(x, 0.0) / 2.0
-    if int(k) % 2 == 0:
-        term, out, steps = math.exp(-half), 0.0, int(k) // 2
-        for i in range(steps):
-            out += term
-            term *= half / (i + 1)
-        return out
-    out = math.erfc(math.sqrt(half))
-    term = math.exp(-half) * math.sqrt(half) / math.gamma(1.5)
-    for i in range((int(k) - 1) // 2):
-        out += term
-        term *= half / (i + 1.5)
-    return out
+    A finite sum of positive terms, each got from the one before, in logarithms, so that neither large statistics nor many degrees
+    leave the range of a double.
+    """
+    x = F.col(statistic) if isinstance(statistic, str) else statistic
+    k = (F.col(dof) if isinstance(dof, str) else dof).cast("long")
+    half = F.greatest(x.cast("double"), F.lit(0.0)) / 2.0
+    odd = k % 2
+    steps = F.floor(k / 2).cast("int")
+
+    def summed(h: Column) -> Column:
+        shift = odd / 2.0
+        # half a step on, the first term is divided by gamma(3/2) = sqrt(pi) / 2
+        first = -h + shift * F.log(h) - odd * math.log(math.sqrt(math.pi) / 2)
+        start = F.struct(first.alias("term"), F.lit(None).cast("double").alias("total"))
+
+        def add(seen: Column, i: Column) -> Column:
+            term, total = seen["term"], seen["total"]
+            high, low = F.greatest(total, term), F.least(total, term)
+            both = F.when(total.isNull(), term).otherwise(high + F.log1p(F.exp(low - high)))
+            return F.struct((term + F.log(h) - F.log(i + shift)).alias("term"), both.alias("total"))
+
+        terms = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+        logs = F.aggregate(terms, start, add, lambda seen: seen["total"])
+        return F.when(odd == 1, _erfc(F.sqrt(h))).otherwise(0.0) + F.coalesce(F.exp(logs), F.lit(0.0))
+
+    tail = F.when(half == 0, 1.0).otherwise(F.least(F.transform(F.array(half), summed)[0], F.lit(1.0)))
+    return F.when((k >= 1) & x.isNotNull() & ~F.isnan(x.cast("double")), tail)
+
+
+def _erfc(x: Column) -> Column:
+    """Complementary error function of positive numbers: a series below 2, a continued fraction above."""
+    scale = F.exp(-x * x) / math.sqrt(math.pi)
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)),
+        F.struct(x.alias("term"), x.alias("total")),
+        lambda seen, i: F.struct(
+            (seen["term"] * x * x * 2.0 / (i * 2 + 1)).alias("term"),
+            (seen["total"] + seen["term"] * x * x * 2.0 / (i * 2 + 1)).alias("total"),
+        ),
+        lambda seen: seen["total"],
+    )
+    fraction = F.aggregate(F.sequence(F.lit(120), F.lit(1)), x, lambda below, i: x + i / 2.0 / below)
+    return F.when(x < 2, 1.0 - 2.0 * scale * series).otherwise(scale / fraction)

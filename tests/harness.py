@@ -21,7 +21,7 @@ def duck(folder: str):
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else value
+        return "NaN" if math.isnan(value) else value
     return value
 
 
