@@ -1,4 +1,4 @@
-"""Attrition funnel of one source: patients, gases, pairs and the cuts on pairs."""
+"""Attrition funnels: patients, gases, pairs and the cuts on pairs."""
 
 from __future__ import annotations
 
@@ -47,9 +47,9 @@ def stage_subjects(
     )
 
 
-def stage_counts(staged: DataFrame, subject: str = "subject_id") -> DataFrame:
-    """Rows (``p_rows``, null for the original stage) and subjects (``n_subjects``) per stage."""
-    return staged.groupBy("stage").agg(F.sum("rows").alias("p_rows"), F.count(subject).alias("n_subjects"))
+def stage_counts(staged: DataFrame, subject: str = "subject_id", within: Sequence[str] = ()) -> DataFrame:
+    """Rows (``p_rows``, null for the original stage) and subjects (``n_subjects``) per stage, and per source if ``within`` names it."""
+    return staged.groupBy(*within, "stage").agg(F.sum("rows").alias("p_rows"), F.count(subject).alias("n_subjects"))
 
 
 def stage_shares(
@@ -59,7 +59,8 @@ def stage_shares(
     subject: str = "subject_id",
     race: str = "race_ethnicity",
     sex: str = "sex_female",
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Race by sex in percent of each stage's subjects; subjects without a race do not count."""
-    people = pick.first_nonnull(patients, [subject], order, [race, sex])
-    return crosstab_percent(staged.join(people, subject), race, sex, ["stage"])
+    people = pick.first_nonnull(patients, [*within, subject], order, [race, sex])
+    return crosstab_percent(staged.join(people, [*within, subject]), race, sex, [*within, "stage"])

@@ -12,6 +12,7 @@ from curata.plans import (
 )
 from curata.queries.derived import MINUTES, TABLES, ctes, derived
 from curata.queries.registry import Tables, query, rounded
+from curata.session import settle
 
 
 def _holds(r: Range, v: str) -> str:
@@ -437,8 +438,47 @@ tp as (select tg.subject_id, tg.hadm_id, tg.charttime as "SaO2_timestamp", "pH",
   where date_diff('microsecond', ox.charttime, tg.charttime) <= 90 * 60000000::bigint)"""
 
 
-def _timed_pairs(t: Tables) -> DataFrame:
-    return gases.timed_pairs(timed_gas_panel(t), timed_oximetry_series(t), "stay_id")
+def _timed_pairs(t: Tables, panel: DataFrame | None = None) -> DataFrame:
+    return gases.timed_pairs(timed_gas_panel(t) if panel is None else panel, timed_oximetry_series(t), "stay_id")
+
+
+# The second source: the same steps with its spellings, its own identifiers and what it asks of a gas.
+_GAS_SQL_B = """gxb as (select subject_id, hadm_id, charttime, min(case when label = 'pH' then value end) as ph0,
+   min(case when label = 'pCO2' then value end) as pc0, min(case when label = 'pO2' then value end) as po0,
+   min(case when label = 'Oxygen Saturation' then value end) as sa0,
+   min(case when label = 'Carboxyhemoglobin' then value end) as "Carboxyhemoglobin",
+   min(case when label = 'Methemoglobin' then value end) as "Methemoglobin",
+   min(case when label = 'SPECIMEN TYPE' then value end) as sp
+  from gas_lab_events_b e join gas_lab_items_b i on i.itemid = e.itemid where category in ('Blood Gas', 'BLOOD GAS') group by 1, 2, 3),
+tgb as (select subject_id, hadm_id, charttime, try_cast(ph0 as double) as "pH", try_cast(pc0 as double) as "pCO2",
+   try_cast(po0 as double) as "pO2", try_cast(sa0 as double) as "SaO2", "Carboxyhemoglobin", "Methemoglobin"
+  from gxb where hadm_id is not null and sp = 'ART' and try_cast(ph0 as double) is not null and pc0 is not null
+   and try_cast(po0 as double) is not null and try_cast(sa0 as double) is not null)"""
+_OXI_SQL_B = _OXI_SQL.replace("ox as", "oxb as").replace("stay_id", "icustay_id").replace("oximetry_events", "oximetry_events_b")
+_GAS_TABLES_B = ("gas_lab_events_b", "gas_lab_items_b", "oximetry_events_b")
+_TIMED_PAIRS_B = f"""{_GAS_SQL_B}, {_OXI_SQL_B},
+tpb as (select tgb.subject_id, tgb.hadm_id, tgb.charttime as "SaO2_timestamp", "pH", "pCO2", "pO2", "SaO2", "Carboxyhemoglobin",
+   "Methemoglobin", o.icustay_id, o."SpO2", o.charttime as "SpO2_timestamp",
+   date_diff('microsecond', tgb.charttime, o.charttime) / 60000000.0 as "delta_SpO2"
+  from tgb asof join (select * from oxb where subject_id in (select subject_id from tgb)) o
+    on o.hadm_id = tgb.hadm_id and tgb.charttime >= o.charttime
+  where date_diff('microsecond', o.charttime, tgb.charttime) <= 90 * 60000000::bigint)"""
+
+
+@query(f"with {ctes('gas_lab_events_b', 'gas_lab_items_b')}, {_GAS_SQL_B} select * from tgb")
+def timed_gas_panel_b(t: Tables) -> DataFrame:
+    return gases.timed_gases(derived(t, "gas_lab_events_b"), derived(t, "gas_lab_items_b"), **gases.SECOND_SOURCE)
+
+
+def _timed_pairs_b(t: Tables, panel: DataFrame | None = None) -> DataFrame:
+    series = gases.timed_oximetry(derived(t, "oximetry_events_b"), derived(t, "oximetry_items"), "icustay_id")
+    return gases.timed_pairs(timed_gas_panel_b(t) if panel is None else panel, series, "icustay_id")
+
+
+@query(f"""with {ctes(*_GAS_TABLES, *_GAS_TABLES_B)}, {_OXI_SQL}, {_TIMED_PAIRS_B}
+select * replace (round("delta_SpO2", 9) + 0.0 as "delta_SpO2") from tpb""")
+def timed_pairs_b(t: Tables) -> DataFrame:
+    return _timed_pairs_b(t).withColumn("delta_SpO2", rounded("delta_SpO2", 9))
 
 
 @query(f"""with {ctes(*_GAS_TABLES)}, {_TIMED_PAIRS}
@@ -449,15 +489,13 @@ def timed_pairs_lenient(t: Tables) -> DataFrame:
 
 @query(f"""with {ctes(*_GAS_TABLES)}, {_TIMED_PAIRS},
 q as (select *, row_number() over (partition by hadm_id order by "SaO2_timestamp") as rn from tp
-      where "delta_SpO2" >= -90 and "SaO2" between 70 and 100 and "SpO2" between 70 and 100)
+      where "delta_SpO2" >= -5 and "SaO2" between 70 and 100 and "SpO2" between 70 and 100)
 select hadm_id, count(*) as n, max(case when rn = 1 then subject_id end) as subject_id,
   max(case when rn = 1 then "SaO2" end) as "SaO2", max(case when rn = 1 then "SpO2" end) as "SpO2",
   arg_min("Methemoglobin", rn) filter ("Methemoglobin" is not null) as "Methemoglobin" from q group by 1""")
 def timed_pairs_first(t: Tables) -> DataFrame:
-    """The first usable pair per admission; the fixture is sparse, so the lenient window stands in for the strict one."""
-    cut = _timed_pairs(t)
-    for c in ("SaO2", "SpO2"):
-        cut = cut.filter(F.col(c).between(gases.LOWEST_SATURATION, gases.HIGHEST_SATURATION))
+    """The first usable pair per admission."""
+    cut = gases.usable_pairs(_timed_pairs(t))
     sizes = cut.groupBy("hadm_id").agg(F.count(F.lit(1)).alias("n"))
     firsts = gases.first_pairs(cut, "hadm_id", ["SaO2_timestamp", "SpO2_timestamp"])
     return firsts.join(sizes, "hadm_id").select("hadm_id", "n", "subject_id", "SaO2", "SpO2", "Methemoglobin")
@@ -595,14 +633,15 @@ _TIMED_CONFIG = [
     ("vitals", "resp_rate", "resp_rate", -24, 0, "vitals", "stay_id", "charttime"),
     ("bmp", "sodium", "sodium", 0, 48, "labs", "subject_id", "charttime"),
 ]
+_TIMED_CONFIG_B = [(*row[:6], "icustay_id" if row[6] == "stay_id" else row[6], row[7]) for row in _TIMED_CONFIG]
 _OFFSET_CONFIG = [
     ("vitals", "heart_rate", "heart_rate", -24, 24, "vitals", "patientunitstayid", "chartoffset"),
     ("vitals", "resp_rate", "resp_rate", -24, 0, "vitals", "patientunitstayid", "chartoffset"),
     ("bmp", "sodium", "sodium", 0, 48, "labs", "patientunitstayid", "chartoffset"),
 ]
 _COVARIATE_TABLES = {
-    "cov_vitals": f"""select user_id as patientunitstayid, user_id * 10 as stay_id, ts as charttime, {MINUTES} as chartoffset,
-  case when event_type = 'click' then value end as heart_rate, case when event_type = 'error' then value end as resp_rate from {{events}}""",
+    "cov_vitals": f"""select user_id as patientunitstayid, user_id * 10 as stay_id, user_id * 10 as icustay_id,
+  ts as charttime, {MINUTES} as chartoffset, case when event_type = 'click' then value end as heart_rate, case when event_type = 'error' then value end as resp_rate from {{events}}""",
     "cov_labs": f"""select user_id as patientunitstayid, user_id as subject_id, ts as charttime, {MINUTES} as chartoffset,
   case when event_type = 'signup' then value end as sodium from {{events}}""",
 }
@@ -636,18 +675,22 @@ def _final_sql() -> str:
            "comorbidity_score_name", "comorbidity_score_value", "in_hospital_mortality", "race_ethnicity")]
     common = ", ".join(pat) + """, cast(p.subject_id as varchar) as subject_id, try_cast(p.admission_age as double) as admission_age,
   round(p."BMI_admission", 6) as "BMI_admission", round(p."los_ICU", 6) as "los_ICU", """ + ", ".join(
-        f"strftime(p.{c}, '%Y-%m-%d %H:%M:%S') as {c}" for c in _TEXTS)
+        f"strftime(p.{c}, '%Y-%m-%d %H:%M:%S.%f') as {c}" for c in _TEXTS)
     gases_out = _GASES_OUT.replace('"Carboxyhemoglobin", "Methemoglobin"',
         'try_cast("Carboxyhemoglobin" as double) as "Carboxyhemoglobin", try_cast("Methemoglobin" as double) as "Methemoglobin"').replace(
         '"delta_SpO2"', 'round("delta_SpO2", 9) + 0.0 as "delta_SpO2"')
     code = "dense_rank() over (order by {o}) - 1"
-    return f"""with {ctes(*_GAS_TABLES, *_OFFSET_TABLES, *_PATIENT_TABLES, 'offset_details', 'hospitals', 'offset_scores', 'cov_vitals', 'cov_labs')},
-{_TIMED_PAIRS}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_C},
+    return f"""with {ctes(*_GAS_TABLES, *_GAS_TABLES_B, *_OFFSET_TABLES, *_PATIENT_TABLES, 'offset_details', 'hospitals', 'offset_scores', 'cov_vitals', 'cov_labs')},
+{_TIMED_PAIRS}, {_TIMED_PAIRS_B}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_B}, {_PATIENTS_C},
 {_attached('tp', '"SaO2_timestamp"', _TIMED_CONFIG, 'ta', True)},
+{_attached('tpb', '"SaO2_timestamp"', _TIMED_CONFIG_B, 'tb', True)},
 {_attached('op', '"SaO2_offset"', _OFFSET_CONFIG, 'oa', False)},
 u as (select {common}, w."SaO2_timestamp", w."SpO2_timestamp", {gases_out}
       from ta_wide w join pa p on p.hospital_admission_id = w.hadm_id and p.icustay_id = w.stay_id
       union all by name
+      select {common}, w."SaO2_timestamp", w."SpO2_timestamp", {gases_out}
+      from tb_wide w join pb p on p.hospital_admission_id = w.hadm_id and p.icustay_id = w.icustay_id
+      union all by name
       select {common}, timestamp '2014-01-01' + to_minutes("SaO2_offset") as "SaO2_timestamp",
         timestamp '2014-01-01' + to_minutes("SpO2_offset") as "SpO2_timestamp", {gases_out}
       from oa_wide w join pc p on p.hospital_admission_id = w.patienthealthsystemstayid and p.icustay_id = w.patientunitstayid),
@@ -660,8 +703,8 @@ select * exclude (h0, s1, s2), {code.format(o='source_db, subject_id')} as uniqu
 from f"""
 
 
-@query(_final_sql())
-def final_dataset(t: Tables) -> DataFrame:
+def _final(t: Tables) -> DataFrame:
+    """The final table over all three sources."""
     vital, lab = derived(t, "cov_vitals"), derived(t, "cov_labs")
     sources = {"vitals": vital, "labs": lab}
 
@@ -669,58 +712,113 @@ def final_dataset(t: Tables) -> DataFrame:
         return [Covariate(f"{r[0]}_{r[2]}", r[1], r[5], r[6], r[7], r[3], r[4]) for r in rows]
 
     timed = dataset.pairs_with_covariates(_timed_pairs(t), "SaO2_timestamp", config(_TIMED_CONFIG), sources)
+    second = dataset.pairs_with_covariates(_timed_pairs_b(t), "SaO2_timestamp", config(_TIMED_CONFIG_B), sources)
     offset = dataset.pairs_with_covariates(_offset_pairs(t), "SaO2_offset", config(_OFFSET_CONFIG), sources)
-    people = [dataset.with_characteristics(_patients_a(t), timed), dataset.with_characteristics(
-        _patients_c(t), offset.drop("uniquepid"))]
-    final = dataset.final_table(people)
+    people = [
+        dataset.with_characteristics(_patients_a(t), timed),
+        dataset.with_characteristics(_patients_b(t), second),
+        dataset.with_characteristics(_patients_c(t), offset.drop("uniquepid")),
+    ]
+    return dataset.final_table(people)
+
+
+@query(_final_sql())
+def final_dataset(t: Tables) -> DataFrame:
+    final = _final(t)
     return final.withColumns(
         {"BMI_admission": rounded("BMI_admission"), "los_ICU": rounded("los_ICU"), "delta_SpO2": rounded("delta_SpO2", 9)}
-        | {c: F.substring(c, 1, 19) for c in _TEXTS}
+        | {c: F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in _TEXTS}
     )
 
 
-@query(f"""with {ctes(*_GAS_TABLES, *_OFFSET_TABLES, *_PATIENT_TABLES, 'offset_details', 'hospitals', 'offset_scores')},
-{_TIMED_PAIRS}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_C},
+@query(f"""with {ctes(*_GAS_TABLES, *_GAS_TABLES_B, *_OFFSET_TABLES, *_PATIENT_TABLES, 'offset_details', 'hospitals', 'offset_scores')},
+{_TIMED_PAIRS}, {_TIMED_PAIRS_B}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_B}, {_PATIENTS_C},
 ap as (select 'timed_a' as source_db, subject_id, hadm_id as hospital_admission_id, stay_id as icustay_id, "pH", "pCO2", "pO2", "SaO2", "SpO2",
    try_cast("Carboxyhemoglobin" as double) as "Carboxyhemoglobin", try_cast("Methemoglobin" as double) as "Methemoglobin",
    round("delta_SpO2", 9) + 0.0 as "delta_SpO2" from tp
+  union all select 'timed_b', subject_id, hadm_id, icustay_id, "pH", "pCO2", "pO2", "SaO2", "SpO2", try_cast("Carboxyhemoglobin" as double),
+   try_cast("Methemoglobin" as double), round("delta_SpO2", 9) + 0.0 from tpb
   union all select 'offset', try_cast(replace(uniquepid, '-', '') as bigint), patienthealthsystemstayid, patientunitstayid, "pH", "pCO2", "pO2",
    "SaO2", "SpO2", "Carboxyhemoglobin", "Methemoglobin", "delta_SpO2" from op),
 pp as (select source_db, hospital_admission_id, race_ethnicity, sex_female from pa
+       union all select source_db, hospital_admission_id, race_ethnicity, sex_female from pb
        union all select source_db, hospital_admission_id, race_ethnicity, sex_female from pc)
 select distinct ap.*, race_ethnicity, sex_female from ap left join pp
   on pp.source_db = ap.source_db and pp.hospital_admission_id = ap.hospital_admission_id""")
 def all_pairs_dataset(t: Tables) -> DataFrame:
     table = dataset.all_pairs_table(
-        {"timed_a": _timed_pairs(t), "offset": _offset_pairs(t)}, [_patients_a(t), _patients_c(t)]
+        {"timed_a": _timed_pairs(t), "timed_b": _timed_pairs_b(t), "offset": _offset_pairs(t)},
+        [_patients_a(t), _patients_b(t), _patients_c(t)],
     )
     return table.withColumn("delta_SpO2", rounded("delta_SpO2", 9))
 
 
-_FUNNEL = f"""{_TIMED_PAIRS}, {_PATIENTS_A},
-fs as (select 'original' as stage, subject_id, null::bigint as r from pa group by all
-  union all select 'abgs', subject_id, count(*) from tg group by all
-  union all select 'pairs_lenient', subject_id, count(*) from tp group by all
-  union all select 'pairs_strict', subject_id, count(*) from tp where "delta_SpO2" >= -45 group by all
-  union all select 'pairs_cut', subject_id, count(*) from tp where "delta_SpO2" >= -45 and "SaO2" between 70 and 100
-     and "SpO2" between 70 and 100 group by all
-  union all select 'first_pairs', subject_id, count(distinct hadm_id) from tp where "delta_SpO2" >= -45 and "SaO2" between 70 and 100
-     and "SpO2" between 70 and 100 group by all)"""
-
-
-def _staged(t: Tables) -> DataFrame:
-    return funnel.stage_subjects(_patients_a(t), timed_gas_panel(t), _timed_pairs(t), "hadm_id", strict_minutes=45)
+def _stages_sql(source: str, subjects: str, gas: str, pairs: str, admission: str) -> str:
+    strict = '"delta_SpO2" >= -5'
+    cut = strict + ' and "SaO2" between 70 and 100 and "SpO2" between 70 and 100'
+    return f"""select '{source}' as source_db, 'original' as stage, subject_id, null::bigint as r from ({subjects}) group by all
+  union all select '{source}', 'abgs', subject_id, count(*) from ({gas}) group by all
+  union all select '{source}', 'pairs_lenient', subject_id, count(*) from ({pairs}) group by all
+  union all select '{source}', 'pairs_strict', subject_id, count(*) from ({pairs}) where {strict} group by all
+  union all select '{source}', 'pairs_cut', subject_id, count(*) from ({pairs}) where {cut} group by all
+  union all select '{source}', 'first_pairs', subject_id, count(distinct {admission}) from ({pairs}) where {cut} group by all"""
+
+
+_SUBJECT = "cast(subject_id as varchar) as subject_id"
+_FUNNEL_TABLES = ctes(*_GAS_TABLES, *_GAS_TABLES_B, *_OFFSET_TABLES, *_PATIENT_TABLES, "offset_details", "hospitals", "offset_scores")
+_FUNNEL = f"""{_TIMED_PAIRS}, {_TIMED_PAIRS_B}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_B}, {_PATIENTS_C},
+fs as ({_stages_sql("timed_a", f"select {_SUBJECT} from pa", f"select {_SUBJECT} from tg", f"select * replace ({_SUBJECT}) from tp", "hadm_id")}
+  union all {_stages_sql("timed_b", f"select {_SUBJECT} from pb", f"select {_SUBJECT} from tgb", f"select * replace ({_SUBJECT}) from tpb", "hadm_id")}
+  union all {_stages_sql("offset", "select subject_id from pc",
+    "select uniquepid as subject_id from oc join (select distinct patientunitstayid, uniquepid from offset_patients) i on i.patientunitstayid = oc.k",
+    "select *, uniquepid as subject_id from op", "patienthealthsystemstayid")})"""
+
+
+def _staged(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Stages of all three sources, and their patients; each gas panel is written once."""
+    subject = F.col("subject_id").cast("string")
+    people, staged = [], []
+    for patients_of, panel_of, pairs_of in (
+        (_patients_a, timed_gas_panel, _timed_pairs), (_patients_b, timed_gas_panel_b, _timed_pairs_b),
+    ):
+        panel = settle(panel_of(t))
+        people.append(patients_of(t).withColumn("subject_id", subject))
+        staged.append(
+            funnel.stage_subjects(
+                people[-1], panel.withColumn("subject_id", subject), pairs_of(t, panel).withColumn("subject_id", subject), "hadm_id"
+            )
+        )
+    lab = derived(t, "offset_lab")
+    panel, ids = settle(gases.offset_gases(lab)), derived(t, "offset_patients")
+    pairs = gases.offset_pairs(panel, gases.offset_oximetry(derived(t, "offset_saturation"), lab), ids)
+    named = panel.join(ids.select("patientunitstayid", F.col("uniquepid").alias("subject_id")).distinct(), "patientunitstayid")
+    people.append(_patients_c(t))
+    staged.append(
+        funnel.stage_subjects(people[-1], named, pairs.withColumnRenamed("uniquepid", "subject_id"), "patienthealthsystemstayid")
+    )
+    tags = ("timed_a", "timed_b", "offset")
+    stacked = [s.withColumn("source_db", F.lit(tag)) for s, tag in zip(staged, tags)]
+    columns = ["source_db", "subject_id", "icustay_id", "race_ethnicity", "sex_female"]
+    everyone = [p.select(*columns) for p in people]
+    return harmonise.harmonised_union(stacked), harmonise.harmonised_union(everyone)
 
 
-@query(f"""with {ctes(*_GAS_TABLES, *_PATIENT_TABLES)}, {_FUNNEL}
-select stage, cast(sum(r) as bigint) as p_rows, count(*) as n_subjects from fs group by 1""")
+@query(f"""with {_FUNNEL_TABLES}, {_FUNNEL}
+select source_db, stage, cast(sum(r) as bigint) as p_rows, count(*) as n_subjects from fs group by 1, 2""")
 def attrition_counts(t: Tables) -> DataFrame:
-    return funnel.stage_counts(_staged(t))
-
-
-@query(f"""with {ctes(*_GAS_TABLES, *_PATIENT_TABLES)}, {_FUNNEL},
-fr as (select subject_id, min(race_ethnicity) as race_ethnicity, min(sex_female) as sex_female from pa group by 1),
-fc as (select stage, race_ethnicity, sex_female, count(*) as n from fs join fr using (subject_id) where race_ethnicity is not null group by all)
-select *, round_even(n * 100.0 / sum(n) over (partition by stage), 2) as pct from fc""")
+    return funnel.stage_counts(_staged(t)[0], within=["source_db"])
+
+
+@query(f"""with {_FUNNEL_TABLES}, {_FUNNEL},
+everyone as (select source_db, cast(subject_id as varchar) as subject_id, icustay_id, race_ethnicity, sex_female from pa
+  union all select source_db, cast(subject_id as varchar), icustay_id, race_ethnicity, sex_female from pb
+  union all select source_db, subject_id, icustay_id, race_ethnicity, sex_female from pc),
+fr as (select source_db, subject_id, (min(place) filter (race_ethnicity is not null)).b as race_ethnicity,
+         (min(place) filter (sex_female is not null)).c as sex_female
+       from (select *, struct_pack(a := icustay_id, b := race_ethnicity, c := sex_female) as place from everyone) group by 1, 2),
+fc as (select source_db, stage, race_ethnicity, sex_female, count(*) as n from fs join fr using (source_db, subject_id)
+       where race_ethnicity is not null group by all)
+select *, round_even(n * 100.0 / sum(n) over (partition by source_db, stage), 2) as pct from fc""")
 def attrition_shares(t: Tables) -> DataFrame:
-    return funnel.stage_shares(_staged(t), _patients_a(t), ["icustay_id"])
+    staged, everyone = _staged(t)
+    return funnel.stage_shares(staged, everyone, ["icustay_id", "race_ethnicity", "sex_female"], within=["source_db"])

@@ -132,7 +132,7 @@ from {{events}} group by user_id"""
 _history = [p for _, paths in comorbidity.CATEGORIES.values() for p in paths] + ["notes/none"]
 TABLES["past_history"] = f"""
 select o_custkey as patientunitstayid, {choose('o_orderkey', _history, text=True)} as pasthistorypath
-from {{orders}} where o_orderstatus = 'P'"""
+from {{orders}}"""
 TABLES["aged_patients"] = """
 select c_custkey as patientunitstayid,
   case c_custkey % 12 when 0 then '> 89' when 1 then '' when 2 then 'unknown' else cast(c_custkey % 100 as string) end as age
@@ -179,7 +179,23 @@ TABLES["oximetry_events"] = """
 select user_id as subject_id, case when event_id % 37 = 0 then null else user_id * 100 end as hadm_id, user_id * 10 as stay_id,
   {minute_of_ts} as charttime, case event_id % 11 when 0 then cast(2 as bigint) when 1 then 3 else 220277 end as itemid,
   case when event_id % 41 = 0 then null else 65.0e0 + event_id % 40 end as valuenum
-from {events} where event_type <> 'purchase'"""
+from {events} where event_type <> 'purchase'
+union all select user_id, user_id * 100, user_id * 10, {minutes_back}, 220277, 65.0e0 + event_id % 40
+from {events} where event_type = 'purchase' and event_id % 2 = 0"""
+
+# The second timed source: other spellings, other identifiers, a gas for every error.
+TABLES["gas_lab_items_b"] = """
+select cast(1 as bigint) as itemid, 'pH' as label, 'Blood Gas' as category
+union all select 2, 'pCO2', 'BLOOD GAS' union all select 3, 'pO2', 'BLOOD GAS'
+union all select 4, 'Oxygen Saturation', 'Blood Gas' union all select 5, 'Carboxyhemoglobin', 'BLOOD GAS'
+union all select 6, 'Methemoglobin', 'Blood Gas' union all select 7, 'SPECIMEN TYPE', 'BLOOD GAS'
+union all select 8, 'Sodium', 'Chemistry'"""
+TABLES["gas_lab_events_b"] = (
+    TABLES["gas_lab_events"].replace("'VEN.'", "'VEN'").replace("'ART.'", "'ART'").replace("event_type = 'purchase'", "event_type = 'error'")
+)
+TABLES["oximetry_events_b"] = (
+    TABLES["oximetry_events"].replace("as stay_id", "as icustay_id").replace("<> 'purchase'", "<> 'error'").replace("= 'purchase'", "= 'error'")
+)
 
 TABLES["offset_lab"] = f"""
 select user_id as patientunitstayid, {MINUTES} as labresultoffset, {MINUTES} + event_id % 3 * 10 as labresultrevisedoffset,
@@ -191,7 +207,8 @@ where event_type = 'purchase'"""
 TABLES["offset_saturation"] = f"""
 select user_id as patientunitstayid, {MINUTES} as observationoffset,
   case when event_id % 41 = 0 then null else 65.0e0 + event_id % 40 end as sao2
-from {{events}} where event_type <> 'purchase'"""
+from {{events}} where event_type <> 'purchase'
+union all select user_id, {MINUTES} - event_id % 12, 65.0e0 + event_id % 40 from {{events}} where event_type = 'purchase' and event_id % 2 = 0"""
 TABLES["offset_patients"] = """
 select distinct user_id as patientunitstayid, concat('00-', cast(user_id as string)) as uniquepid,
   user_id - user_id % 2 as patienthealthsystemstayid, user_id % 25 as hospitalid,
@@ -222,23 +239,26 @@ select user_id as subject_id, user_id * 100 as hadm_id, user_id * 10 as stay_id,
   case user_id % 5 when 0 then 'WHITE' when 1 then 'BLACK' when 2 then 'ASIAN' when 3 then 'OTHER' end as ethnicity
 from {events} group by user_id"""
 TABLES["timed_body"] = """
-select distinct user_id * 10 as stay_id, user_id * 10 as icustay_id, 50.0e0 + user_id % 60 as weight_admit,
-  150.0e0 + user_id % 45 as height, 50.0e0 + user_id % 60 as weight_first, 150.0e0 + user_id % 45 as height_first
-from {events} where event_type = 'signup' and value > 60"""
+select distinct user_id * 10 as stay_id, user_id * 10 as icustay_id,
+  case when user_id % 6 > 0 then 50.0e0 + user_id % 60 end as weight_admit, case when user_id % 8 > 0 then 150.0e0 + user_id % 45 end as height,
+  case when user_id % 6 > 0 then 50.0e0 + user_id % 60 end as weight_first, case when user_id % 8 > 0 then 150.0e0 + user_id % 45 end as height_first
+from {events}"""
 TABLES["timed_scores"] = """
 select distinct user_id * 100 as hadm_id, user_id % 15 as charlson_comorbidity_index, user_id % 20 - 3 as elixhauser_vanwalraven,
-  user_id % 8 as hospital_expire_flag from {events} where event_type = 'error' and value > 80"""
+  user_id % 8 as hospital_expire_flag from {events}"""
 
 
 # Where the engines spell the same thing differently.
 SPARK_WORDS = {
     "hour_of_ts": "cast(date_trunc('hour', ts) as timestamp_ntz)",
     "minute_of_ts": "cast(date_trunc('minute', ts) as timestamp_ntz)",
+    "minutes_back": "timestampadd(MINUTE, cast(0 - event_id % 12 as int), ts)",
     "per_item": "lateral view explode(sequence(1, 8)) i as item",
 }
 DUCK_WORDS = {
     "hour_of_ts": "date_trunc('hour', ts)",
     "minute_of_ts": "date_trunc('minute', ts)",
+    "minutes_back": "ts - to_minutes(event_id % 12)",
     "per_item": "cross join (select unnest(range(1, 9)) as item) i",
 }
 

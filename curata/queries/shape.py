@@ -250,12 +250,12 @@ def rate_unit_normalise(t: Tables) -> DataFrame:
     )
 
 
-# Flag weights by order priority, one point for each further class.
+# Flag weights by the priority of pending orders.
 PRIORITY_WEIGHTS = {
-    "urgent6": (6, ("1-URGENT",)),
-    "high3": (3, ("2-HIGH",)),
-    "medium2": (2, ("3-MEDIUM",)),
-    "low1": (1, ("4-NOT SPECIFIED", "5-LOW")),
+    "urgent6": (6, ("1-URGENT/P",)),
+    "high3": (3, ("2-HIGH/P",)),
+    "medium2": (2, ("3-MEDIUM/P",)),
+    "low1": (1, ("4-NOT SPECIFIED/P", "5-LOW/P")),
 }
 BALANCE_POINTS = [(">=", 8000.0, 4), (">=", 6000.0, 3), (">=", 4000.0, 2), (">=", 2000.0, 1)]
 
@@ -272,7 +272,8 @@ a as (select *, case when c_acctbal >= 8000 then 4 when c_acctbal >= 6000 then 3
 select *, urgent6 + high3 + medium2 + low1 + age_points as score from a
 """)
 def weighted_flag_score(t: Tables) -> DataFrame:
-    facts = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    fact = F.concat_ws("/", "o_orderpriority", "o_orderstatus")
+    facts = t.orders.select(F.col("o_custkey").alias("c_custkey"), fact.alias("o_orderpriority"))
     people = t.customer.select("c_custkey", "c_acctbal")
     flagged = rules.weighted_flags(people, facts, "c_custkey", "o_orderpriority", PRIORITY_WEIGHTS)
     scored = flagged.withColumn("age_points", rules.bands(F.col("c_acctbal"), BALANCE_POINTS))
