@@ -123,7 +123,8 @@ def edited_likeness(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     whole = whole_text(text)
     before = settle(neighbours(docs, key, F.char_length(whole)))
     repeated = docs.groupBy(key).count().where("count > 1").limit(1).count()
-    rows = docs.select(F.col(key).alias("key"), whole.alias("text"), winnowed(whole, k, w).alias("kept"))
+    all_rows = docs.select(F.col(key).alias("key"), whole.alias("text"), winnowed(whole, k, w).alias("kept"))
+    rows = all_rows.where("key is not null")  # said here for both joins, so that they read one and the same shuffle
     given = rows.join(before.withColumnRenamed("key", "own"), F.col("key") == F.col("own")).select(
         F.col("prev").alias("to"),
         F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev_size") / 2).cast("int")).alias("head"),
@@ -131,7 +132,8 @@ def edited_likeness(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     )
     if repeated:
         given = given.groupBy("to").agg(F.min(F.struct("head", "next_hashes")).alias("g")).select("to", "g.*")
-    met = rows.join(given, F.col("key") == F.col("to"), "left")
+    alone = all_rows.where("key is null").withColumns({"head": F.lit(None).cast("string"), "next_hashes": F.lit(None).cast("array<int>")})
+    met = rows.join(given, F.col("key") == F.col("to"), "left").drop("to").unionByName(alone)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("head"), F.lit(1), half))
