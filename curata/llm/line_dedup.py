@@ -156,13 +156,14 @@ def deduplicated(docs: DataFrame, *, text: str = "text", key: str = "doc_id", le
     Columns of ``docs`` that have one of the three names are replaced. Key and text hash order the documents: a null key comes last,
     rows equal in both are one document and lose nothing to each other. A null text stays null and has 0 lines; an empty one has one
     line; a document without ``least`` words keeps all lines, however often they occur. What repeats within one document, also
-    overlapping itself, keeps its first occurrence. An empty table stays empty. Runs jobs while it is built. Texts move
-    once, to meet the runs, and not even then if those are few.
+    overlapping itself, keeps its first occurrence. An empty table stays empty. Runs jobs while it is built. Texts move once, to
+    meet the runs.
     """
     need(docs, text, key)
     k, d = free_name("__k", docs), free_name("__d", docs)
     runs = settle(later_runs(docs, text=text, key=key, least=least)).toDF(k, d, "__runs")
-    met = docs.join(runs, (_place(key) == F.col(k)) & (F.xxhash64(whole_text(text)) == F.col(d)), "left")
+    # said to Spark, because the runs grow with the texts: broadcast on small tables, they would not be on large ones
+    met = docs.join(runs.hint("merge"), (_place(key) == F.col(k)) & (F.xxhash64(whole_text(text)) == F.col(d)), "left")
     lines = F.split(docs[text], "\n", -1)
     inside = lambda i: F.exists("__runs", lambda r: (r["first"] <= i) & (r["last"] >= i))
     rest = F.array_join(F.filter(lines, lambda _, i: ~inside(i)), "\n")
