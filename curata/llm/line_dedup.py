@@ -129,7 +129,7 @@ def later_runs(docs: DataFrame, *, text: str = "text", key: str = "doc_id", leas
     near = known.join(places, ["k", "d"]).select("k", "d", "digests", "words", "places")
     found = settle(near.mapInArrow(around, "k long, d long, window binary, first int, last int").distinct())
     firsts = found.groupBy("window").agg(F.min(F.struct("k", "d", "first", "last")).alias("source"), F.count("*").alias("n"))
-    firsts = firsts.where("n > 1").select("window", "source")
+    firsts = settle(firsts.where("n > 1").select("window", "source"))  # so that the join below can split a frequent window
     mine = F.struct("k", "d", "first", "last")
     later = found.join(firsts, "window").where(mine != F.col("source"))
     own = (F.col("k") == F.col("source.k")) & (F.col("d") == F.col("source.d"))
