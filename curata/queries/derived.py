@@ -180,7 +180,8 @@ select user_id as subject_id, case when event_id % 37 = 0 then null else user_id
   {minute_of_ts} as charttime, case event_id % 11 when 0 then cast(2 as bigint) when 1 then 3 else 220277 end as itemid,
   case when event_id % 41 = 0 then null else 65.0e0 + event_id % 40 end as valuenum
 from {events} where event_type <> 'purchase'
-union all select user_id, user_id * 100, user_id * 10, {minutes_back}, 220277, 65.0e0 + event_id % 40
+union all select user_id, user_id * 100, user_id * 10, {minutes_back},
+  case when event_id % 47 = 0 then cast(2 as bigint) else 220277 end, 65.0e0 + event_id % 40
 from {events} where event_type = 'purchase' and event_id % 2 = 0"""
 
 # The second timed source: other spellings, other identifiers, a gas for every error.

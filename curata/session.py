@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +49,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
+_tracked: list[list[tuple[SparkSession, str]]] = []
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and go on from it.
 
     For results that several branches read: they are computed once, are the same in every branch, also
-    after an executor was lost, and come back with a known size and prunable columns.
+    after an executor was lost, and come back with a known size and prunable columns. Runs a job at once. The table stays
+    until the folder is cleared, or until the end of the ``stages`` block it was written in.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for block in _tracked:
+        block.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stages() -> Iterator[None]:
+    """Drop the tables settled inside the block at its end; results must be written by then."""
+    block: list[tuple[SparkSession, str]] = []
+    _tracked.append(block)
+    try:
+        yield
+    finally:
+        _tracked.remove(block)
+        for spark, path in block:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
