@@ -143,12 +143,12 @@ _WEIGHT_RULES = """
   case when d >= 300 and ratio <= 0.15 then d / 10 when d <= 20 and ratio > 6.9 then null else d end as d2"""
 
 
-def _weights_sql(source: str) -> str:
+def _weights_sql(source: str, swapped: str = "1355321, 2387379") -> str:
     return f"""
 w as (select k, a, d, case when d > 0 then round(a / d, 2) end as ratio from {source}
       where (a > 0 and d > 0) or a is null or d is null),
 f as (select k, {_WEIGHT_RULES} from w)
-select distinct k, round(case when k in (1355321, 2387379) then d2 when a2 < 2.5 then null else a2 end, 6) as a,
+select distinct k, round(case when k in ({swapped}) then d2 when a2 < 2.5 then null else a2 end, 6) as a,
   round(d2, 6) as d from f"""
 
 
@@ -171,6 +171,18 @@ def stay_weights_repaired(t: Tables) -> DataFrame:
     return six_digits(weights.clean_weights(derived(t, "stay_weights")), set())
 
 
+_SWAPPED = (4, 5, 17, 32)
+
+
+@query(f"""with {ctes('stay_weights')},
+x as (select patientunitstayid as k, admissionweight as a, dischargeweight as d from stay_weights),
+g as ({'with ' + _weights_sql('x', ', '.join(map(str, _SWAPPED))).lstrip()})
+select k as patientunitstayid, a as admissionweight, d as dischargeweight from g""")
+def stay_weights_swapped(t: Tables) -> DataFrame:
+    """Named stays, all of them in the fixture, get their discharge weight as admission weight."""
+    return six_digits(weights.clean_weights(derived(t, "stay_weights"), swapped=_SWAPPED), {"patientunitstayid"})
+
+
 def _unit_sql(drug: infusions.Drug) -> str:
     arms = []
     for name, u in drug.units.items():
