@@ -237,6 +237,27 @@ def assign_to_stay(t: Tables) -> DataFrame:
     )
 
 
+_OPEN = "case when o_orderkey % 40 = 0 then timestamp '9999-12-31 00:00:00' else o_orderdate + interval 3 day end"
+
+
+@query(f"""with s as (select o_custkey as subject, o_orderkey as stay, o_orderdate as intime, {_OPEN} as outtime from orders),
+m as (select o_custkey as subject, l_orderkey, l_linenumber, l_shipdate from lineitem join orders on o_orderkey = l_orderkey)
+select m.*, s.stay from m left join s on s.subject = m.subject and m.l_shipdate between s.intime and s.outtime
+""")
+def open_ended_stays(t: Tables) -> DataFrame:
+    """Stays that have not ended carry a far date, which must not become a bucket a day until then."""
+    far = F.expr("TIMESTAMP_NTZ'9999-12-31 00:00:00'")
+    ends = F.when(F.col("o_orderkey") % 40 == 0, far).otherwise(F.timestamp_add("DAY", F.lit(3), F.col("o_orderdate")))
+    open_stays = t.orders.select(
+        F.col("o_custkey").alias("subject"), F.col("o_orderkey").alias("stay"), F.col("o_orderdate").alias("intime"), ends.alias("outtime")
+    )
+    owners = t.orders.select(F.col("o_custkey").alias("subject"), F.col("o_orderkey").alias("l_orderkey"))
+    measured = t.lineitem.join(owners, "l_orderkey").select("subject", "l_orderkey", "l_linenumber", "l_shipdate")
+    return intervals.interval_join(
+        measured, open_stays, keys=["subject"], time="l_shipdate", start="intime", end="outtime", right_columns=["stay"]
+    )
+
+
 def states(t: Tables) -> DataFrame:
     """Events as on/off states: views and clicks are on."""
     return t.events.select(
