@@ -38,30 +38,38 @@ MARK = "▁"
 
 
 class Pieces:
-    """The vocabulary as a dictionary of all pieces and their prefixes; prefixes that are no piece have -1."""
+    """The vocabulary as a trie over code points, in arrays: sorted (node, code point) keys, the node each leads to, its piece."""
 
     def __init__(self, path: str):
         texts = piece_model.load(path).texts
-        self.ids: dict[str, int] = {}
-        self.bytes = np.zeros(256, np.int64)
+        self.size, self.bytes, pieces = len(texts), np.zeros(256, np.int64), {}
         for i, text in enumerate(texts):
             shown = text.decode()
             if shown.startswith("<0x") and shown.endswith(">"):
                 self.bytes[int(shown[3:5], 16)] = i
             elif not (shown.startswith("<") and shown.endswith(">") and len(shown) > 2):
-                self.ids[shown] = i
-        for shown in list(self.ids):
-            for n in range(1, len(shown)):
-                self.ids.setdefault(shown[:n], -1)
-        self.size = len(texts)
-        self.single: dict[str, int] = {}  # characters without a piece get rows behind the pieces: their bytes
+                pieces[shown] = i
+        nodes: dict[tuple[int, str], int] = {}
+        self.ids = pieces
+        ends = {}
+        for shown, i in pieces.items():
+            node = 0
+            for character in shown:
+                node = nodes.setdefault((node, character), len(nodes) + 1)
+            ends[node] = i
+        keys = np.array([node << 21 | ord(c) for node, c in nodes])
+        order = np.argsort(keys)
+        self.keys, self.next = keys[order], np.fromiter(nodes.values(), np.int64, len(nodes))[order]
+        self.piece = np.array([ends.get(n, -1) for n in range(len(nodes) + 1)])
+        self.longest = max(map(len, pieces))
+        self.single: dict[int, int] = {}  # characters without a piece get rows behind the pieces: their bytes
         self.spelled: list[np.ndarray] = []
 
-    def by_bytes(self, character: str) -> int:
+    def by_bytes(self, character: int) -> int:
         row = self.single.get(character)
         if row is None:
             row = self.single[character] = self.size + len(self.spelled)
-            self.spelled.append(self.bytes[list(character.encode("utf-8", "replace"))])
+            self.spelled.append(self.bytes[list(chr(character).encode("utf-8", "replace"))])
         return row
 
     def table(self, logs: np.ndarray) -> np.ndarray:
@@ -70,23 +78,36 @@ class Pieces:
         return np.exp(np.concatenate(rows))
 
     def edges(self, words: list[str]) -> np.ndarray:
-        """(end, length, word, piece) of every piece that stands in a word, ordered by end and length."""
-        ids, found = self.ids, []
-        add = found.append
-        for m, word in enumerate(words):
-            n = len(word)
-            for i in range(n):
-                for end in range(i + 1, n + 1):
-                    piece = ids.get(word[i:end])
-                    if piece is None or (piece < 0 and end == i + 1):
-                        if end == i + 1:
-                            add((end, 1, m, self.by_bytes(word[i])))
-                        if piece is None:
-                            break
-                    elif piece >= 0:
-                        add((end, end - i, m, piece))
-        edges = np.array(found, np.int64).reshape(-1, 4)
-        return edges[np.lexsort((edges[:, 1], edges[:, 0]))]
+        """(end, length, word, piece) of every piece that stands in a word, ordered by end and length.
+
+        All places of all words walk down the trie at once. A character that is no piece is spelled in bytes.
+        """
+        sizes = np.array([len(w) for w in words])
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        start = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        room = np.repeat(sizes, sizes) - start
+        place, node, found = np.arange(len(points)), np.zeros(len(points), np.int64), []
+        for length in range(1, self.longest + 1):
+            keys = node << 21 | points[place + length - 1]
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[at] == keys
+            node = np.where(hit, self.next[at], 0)
+            piece = self.piece[node]
+            if length == 1:
+                bare = np.flatnonzero(piece < 0)
+                piece[bare] = [self.by_bytes(c) for c in points[bare].tolist()]
+            stands = piece >= 0
+            some = place[stands]
+            found.append((start[some] + length, np.full(len(some), length), word[some], piece[stands]))
+            on = hit & (room[place] > length)
+            place, node = place[on], node[on]
+            if not len(place):
+                break
+        edges = np.stack([np.concatenate(x) for x in zip(*found)], axis=1)
+        # found by length, so a stable sort by end leaves lengths in order; small numbers are sorted by digits
+        ends = edges[:, 0].astype(np.int16) if sizes.max(initial=0) < 1 << 15 else edges[:, 0]
+        return edges[np.argsort(ends, kind="stable")]
 
 
 @lru_cache(maxsize=2)
@@ -265,13 +286,14 @@ class Scorer:
     def __call__(self, texts: list[str]) -> np.ndarray:
         split = [t.split() for t in texts]
         words = set().union(*split)
-        new = words.difference(self.rows)
-        if len(self.rows) + len(new) > CACHED:
-            self.rows, self.scores, new = {}, self.scores[:0], words
+        new = list(words.difference(self.rows))
+        if len(self.rows) + len(new) > CACHED:  # words of these texts stay
+            kept = list(words.intersection(self.rows))
+            self.scores = self.scores[[self.rows[w] for w in kept]]
+            self.rows = dict(zip(kept, range(len(kept))))
         if new:
-            listed = list(new)
-            self.rows.update(zip(listed, range(len(self.rows), len(self.rows) + len(listed))))
-            found = word_scores([MARK + w for w in listed], self.pieces, self.model.logs)
+            self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
+            found = word_scores([MARK + w for w in new], self.pieces, self.model.logs)
             self.scores = np.concatenate([self.scores, found])
         out = np.zeros((len(texts), len(self.model.languages)))
         for i, ws in enumerate(split):
