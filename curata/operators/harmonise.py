@@ -84,13 +84,15 @@ def harmonised_union(frames: Sequence[DataFrame], strict: bool = False) -> DataF
 
 
 def dense_ids(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, modulo: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, modulo: int | None = None, source: DataFrame | None = None
 ) -> DataFrame:
     """Number distinct keys 0, 1, 2 ... in the order of their first appearance along ``order``.
 
     ``modulo`` wraps the numbers, so that keys share them from there on; nothing wraps unless it is asked for. Null keys are keys like others.
+    ``source`` is where keys and order are read, if not ``df``: a written table that ``df`` has grown from.
     """
-    distinct = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__place"))
+    source = df if source is None else source
+    distinct = source.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__place"))
     code = F.col("__code") % F.lit(modulo) if modulo else F.col("__code")
     codes = numbered(distinct, ["__place", *keys], "__code").select(*[F.col(k).alias(f"__k_{k}") for k in keys], code.alias(name))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
