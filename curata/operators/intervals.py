@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curata.functions.clock import Clock, shift_seconds
 from curata.operators.scan import ordered_scan
+from curata.session import once
 
 
 def fuzzy_bounds(
@@ -74,6 +75,7 @@ def interval_join(
     time that the key's rows cover, so an open end, whatever far date stands for it, makes no more buckets than there are days
     of data, and a key without rows none.
     """
+    left = once(left)  # read for its rows and for what they cover
     clock = Clock.of(left, time)
     right_clock = Clock.of(right, start)
     at = clock.axis(time)

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from curata.session import settle
+from curata.session import once, settle
 
 CHUNK = "__chunk"
 
@@ -51,7 +51,7 @@ def ordered_scan(
     asked = back + forth + sums + whole
     value = {n: f"__v_{n}" for _, n, _ in asked}
 
-    work = df.withColumn(CHUNK, chunk)
+    work = once(df).withColumn(CHUNK, chunk)
     work = work.withColumns({value[n]: e for _, n, e in asked})
 
     place = F.struct(*order)  # a struct also of one column: a null place is still a place, before all others

@@ -83,7 +83,7 @@ class Drug:
     name last known before, else the next known one; other patients keep their names if these
     match ``plain_like``. ``units`` lists the names whose unit is certain; ``volume_names`` are in
     ml/hr and need an order (``orders``, found by ``order_like``) or have one strength
-    (``volume_rule``).
+    (``volume_rule``). ``never_fires`` names a unit that stands in the conversion rules but is selected by none.
     """
 
     rate: str
@@ -100,6 +100,7 @@ class Drug:
     order_like: str | None = None
     orders: Sequence[Order] = field(default_factory=tuple)
     volume_rule: UnitRule | None = None
+    never_fires: Mapping[str, UnitRule] = field(default_factory=dict)
 
 
 # Drug names, texts that are no rate, units and order strengths as charted.
@@ -195,6 +196,7 @@ EPINEPHRINE = Drug(
         Order(ml_per_hour(8, 250), names=("EPINEPHrine 8 MG in 250 mL NS",)),
         Order(ml_per_hour(4, 250), pattern="%"),
     ),
+    never_fires={"EPINEPHrine(Adrenalin)STD 4 mg Sodium Chloride 0.9% 250 ml (mcg/min)": MCG_MIN},
 )
 
 DOPAMINE = Drug(

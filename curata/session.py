@@ -67,6 +67,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(df: DataFrame) -> DataFrame:
+    """``df``, settled if its plan shuffles; for a frame that is about to be read twice.
+
+    Reading and filtering a table again costs less than writing it; joins and aggregates cost more, and doubling them
+    at every step of a plan multiplies.
+    """
+    return settle(df) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 @contextmanager
 def stages() -> Iterator[None]:
     """Drop the tables settled inside the block at its end; results must be written by then."""
