@@ -50,7 +50,7 @@ class Tokenizer:
     def normalised(self, text: Column) -> Column:
         """What two texts of equal counts may differ in is levelled: behind an idle normaliser, a space and its mark."""
         if self.kind == "sentencepiece" and (model := piece_model.load(self.path)).idle and model.escape:
-            return F.translate(text, " ", piece_model.SPACE.decode())
+            return F.replace(text, F.lit(" "), F.lit(piece_model.SPACE.decode()))
         return text
 
 
