@@ -133,13 +133,6 @@ def test_kruskal_and_chi(spark):
     assert c.p_value == pytest.approx(math.erfc(math.sqrt(want / 2)))
 
 
-def test_tail():
-    assert tableone._upper_tail(3.841458820694124, 1) == pytest.approx(0.05)
-    assert tableone._upper_tail(7.814727903251179, 3) == pytest.approx(0.05)
-    assert tableone._upper_tail(18.307038053275146, 10) == pytest.approx(0.05)
-    assert tableone._upper_tail(0.0, 4) == pytest.approx(1.0)
-
-
 def test_tables_of_strata(spark):
     df = spark.createDataFrame([("g", 1.0, "x"), ("g", None, "x"), ("g", 3.0, None), ("h", None, "y")], "s string, n double, c string")
     cont = {r.s: r for r in tableone.describe_continuous(df, "s", ["n"]).collect()}
