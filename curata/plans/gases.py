@@ -125,7 +125,7 @@ def offset_oximetry(vital_periodic: DataFrame, lab: DataFrame) -> DataFrame:
     return harmonise.members_of(series, with_gas, {"patientunitstayid": "patientunitstayid"})
 
 
-def timed_pairs(gases: DataFrame, oximetry: DataFrame, stay: str) -> DataFrame:
+def timed_pairs(gases: DataFrame, oximetry: DataFrame, stay: str, chunk_minutes: float = 1440) -> DataFrame:
     """Every gas with the last saturation of the same admission in the lenient window.
 
     Both series are written first, so that the event logs behind them are read once.
@@ -146,10 +146,11 @@ def timed_pairs(gases: DataFrame, oximetry: DataFrame, stay: str) -> DataFrame:
         tie=stay,
         tolerance=LENIENT_MINUTES,
         delta="delta_SpO2",
+        chunk_minutes=chunk_minutes,
     )
 
 
-def offset_pairs(gases: DataFrame, oximetry: DataFrame, patients: DataFrame) -> DataFrame:
+def offset_pairs(gases: DataFrame, oximetry: DataFrame, patients: DataFrame, chunk_minutes: float = 1440) -> DataFrame:
     """Per gas time the last saturation of the stay in the lenient window, with patient ids.
 
     Of several revisions at one gas time the latest stands. Both series are written first, so that the
@@ -166,6 +167,7 @@ def offset_pairs(gases: DataFrame, oximetry: DataFrame, patients: DataFrame) ->
         right_columns=["observationoffset", "SpO2"],
         tolerance=LENIENT_MINUTES,
         delta="delta_SpO2",
+        chunk_minutes=chunk_minutes,
     )
     ids = patients.select("patientunitstayid", "uniquepid", "patienthealthsystemstayid").distinct()
     return (

@@ -284,9 +284,11 @@ def named_units(rates: DataFrame, drug: Drug, chunk_minutes: float = 1440) -> Da
     return filled.withColumn("drugname", F.when(blank, F.col("__name")).otherwise(name)).select(*rates.columns)
 
 
-def infusion_rates(infusions: DataFrame, weights: DataFrame, drug: Drug, orders: DataFrame | None = None) -> DataFrame:
+def infusion_rates(
+    infusions: DataFrame, weights: DataFrame, drug: Drug, orders: DataFrame | None = None, chunk_minutes: float = 1440
+) -> DataFrame:
     """One drug's infusions with their rate in mcg/kg/min, rounded to 4 digits."""
-    given = named_units(settle(numeric_rates(infusions, drug)), drug)
+    given = named_units(settle(numeric_rates(infusions, drug)), drug, chunk_minutes)
     weighed = given.join(
         weights.select("patientunitstayid", dosing_weight().alias("__w")), "patientunitstayid", "left"
     ).withColumn("__w", F.coalesce("__w", F.lit(80)))
