@@ -184,6 +184,14 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["file", "block", "local", "piece"])
 
 
+def _bases(sizes: DataFrame) -> DataFrame:
+    """``file, block, base, file_end``: where the pieces of each block begin, from the sizes of all pieces before them."""
+    blocks = sizes.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("length"))
+    along = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    file_end = F.sum("length").over(Window.partitionBy("file")) - len(MAGIC)
+    return blocks.select("file", "block", F.coalesce(F.sum("length").over(along), F.lit(0)).alias("base"), file_end.alias("file_end"))
+
+
 def reachable(links: DataFrame) -> DataFrame:
     """``file, at`` of the offsets that the chain from offset 0 passes in each file.
 
@@ -210,13 +218,9 @@ def read_archives(spark: SparkSession, path: str, *, payloads: bool = False) ->
     header states, of other records those of the payload read. One record must fit a task's memory.
     """
     pieces = settle(_pieces(spark, path).mapInArrow(_candidates, PIECE_SCHEMA))
-    step = F.col("size") + len(MAGIC)
-    blocks = pieces.groupBy("file", "block").agg(F.sum(step).alias("length"))
-    along = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    file_end = F.sum("length").over(Window.partitionBy("file")) - len(MAGIC)
-    bases = blocks.select("file", "block", F.coalesce(F.sum("length").over(along), F.lit(0)).alias("base"), file_end.alias("file_end"))
-    placed = pieces.join(bases, ["file", "block"]).withColumn("at", F.col("base") + F.col("local") - len(MAGIC))
-    placed = settle(placed.withColumn("to", F.col("at") + F.col("span")).drop("base", "span"))
+    placed = pieces.join(_bases(pieces.select("file", "block", "size")), ["file", "block"])
+    placed = placed.withColumn("at", F.col("base") + F.col("local") - len(MAGIC))
+    placed = settle(placed.withColumn("to", F.col("at") + F.col("span")).drop("block", "local", "base", "span"))
 
     opens = placed.where("at >= 0 and to is not null")
     starts = opens.select(F.col("file").alias("f"), F.col("at").alias("a"))
@@ -232,28 +236,37 @@ def read_archives(spark: SparkSession, path: str, *, payloads: bool = False) ->
 
 
 def _joined(spark: SparkSession, path: str, placed: DataFrame, cut: DataFrame) -> DataFrame:
-    """The records ``file, at, to`` put together from all pieces within their spans."""
+    """The records ``file, at, to`` put together from all pieces within their spans.
+
+    The archives are read again and their pieces placed anew, since Spark may split files differently this time.
+    """
     strides = F.sequence(F.floor(F.col("at") / STRIDE), F.floor((F.col("to") - 1) / STRIDE))
     spans = cut.select(F.col("file").alias("f"), F.col("at").alias("record"), "to", F.explode(strides).alias("stride"))
-    parts = placed.select("file", "block", "local", "at", F.floor(F.col("at") / STRIDE).alias("s"))
+    parts = placed.select("file", "at", F.floor(F.col("at") / STRIDE).alias("s"))
     inside = (F.col("file") == F.col("f")) & (F.col("s") == F.col("stride")) & (F.col("at") >= F.col("record")) & (F.col("at") < F.col("to"))
-    wanted = settle(parts.join(spans, inside).select("file", "block", "local", "at", "record"))
+    wanted = settle(parts.join(spans, inside).select("file", "at", "record", "to"))
     texts = _pieces(spark, path).mapInArrow(_located, "file string, block long, local long, piece binary")
-    whole = texts.join(wanted, ["file", "block", "local"]).groupBy("file", "record").agg(
+    bases = _bases(_pieces(spark, path).select("file", "block", F.octet_length("piece").alias("size")))
+    texts = texts.join(bases, ["file", "block"]).withColumn("at", F.col("base") + F.col("local") - len(MAGIC))
+    whole = texts.select("file", "at", "piece").join(wanted, ["file", "at"]).groupBy("file", "record", "to").agg(
         F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("parts")
     )
     joined = F.array_join(F.transform("parts", lambda p: p["piece"].cast("string")), MAGIC).cast("binary")
+    span = F.col("to") - F.col("record") - len(MAGIC)
     schema = "file string, at long, record_type string, record_id string, target_uri string, refers_to string, payload_bytes long, payload_digest string, payload binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
-            for file, at, piece in zip(*(batch.column(i) for i in range(3))):
-                _, payload, fields = parse(piece.as_py())
-                row = dict(zip(names, [file.as_py(), at.as_py(), *described(payload, fields), payload]))
+            for file, at, piece, size in zip(*(batch.column(i) for i in range(4))):
+                found = parse(piece.as_py())
+                # the next record's magic was cut off with the last piece, its end was not
+                if found is None or len(piece.as_py()) != size.as_py():
+                    raise ValueError(f"{file.as_py()} changed between two readings")
+                row = dict(zip(names, [file.as_py(), at.as_py(), *described(found[1], found[2]), found[1]]))
                 yield pa.RecordBatch.from_pylist([row], pa.schema([*RECORD_ARROW, pa.field("payload", pa.binary())]))
 
-    return whole.select("file", F.col("record").alias("at"), joined.alias("piece")).mapInArrow(work, schema)
+    return whole.select("file", F.col("record").alias("at"), joined.alias("piece"), span.alias("size")).mapInArrow(work, schema)
 
 
 RECORD_ARROW = [pa.field("file", pa.string()), pa.field("at", pa.int64()), *[PIECE_ARROW.field(c) for c in RECORD_COLUMNS]]
