@@ -118,7 +118,8 @@ def token_counts(
         needed = texts.dropDuplicates(["content"]).join(misses, "content", "left_semi")
     new = encode_misses(needed, tokenizer).withColumn("tokenizer", F.lit(version))
     new.write.mode("append").partitionBy("tokenizer").parquet(cache)
-    counted = known.join(stored(spark, cache, version), "content")
+    counts = settle(stored(spark, cache, version))  # written, so that the join can split a content with very many copies
+    counted = known.join(counts, "content")
     return counted.select(
         F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
