@@ -190,12 +190,14 @@ def links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
         raise ValueError("three segments with one error each guarantee a distance of 3 at most")
     own, near = _keyed(codes, own_keys), _keyed(codes, near_keys)
     common = settle(own.groupBy("key").count().where(F.col("count") > COMMON).select("key"))
-    rare = own.join(common, "key", "left_anti").withColumnRenamed("bits", "other")
+    holders = own.join(common, "key", "left_anti").withColumnRenamed("bits", "other")
+    holders = holders.union(common.select("key", F.lit(None).cast("long")))  # a null stands for all under a frequent key
     close = F.bit_count(F.col("bits").bitwiseXOR(F.col("other"))) <= distance
-    met = near.join(rare, (near["key"] == rare["key"]) & (F.col("bits") > F.col("other")) & close)
-    found = met.select(F.col("bits").alias("a"), F.col("other").alias("b"))
+    meets = (near["key"] == holders["key"]) & (F.col("other").isNull() | ((F.col("bits") > F.col("other")) & close))
+    met = settle(near.join(holders, meets).select(near["key"], "bits", "other"))
+    found = met.where("other is not null").select(F.col("bits").alias("a"), F.col("other").alias("b"))
     if common.limit(1).count():
-        found = found.union(_common_links(near.join(common, "key", "left_semi"), distance))
+        found = found.union(_common_links(met.where("other is null").select("key", "bits"), distance))
     return found.distinct()
 
 
