@@ -13,12 +13,12 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges``: two columns of nodes that can be ordered; loops, repeated edges and nulls are allowed and add nothing. Alternates stars towards the
     smallest neighbour over larger neighbours and over smaller ones until only stars are left, in a number of rounds
     that grows with the logarithm of the size. Each round is written, so a lost executor costs one round; minima are
-    combined before they are shuffled, so a node with very many edges is no large group.
+    combined before they are shuffled and written before they are joined, so the join can split a node with very many edges.
     """
     a, b = edges.columns
     state = settle(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     while not _only_stars(state):
-        state = settle(_small_star(_large_star(state)))
+        state = settle(_small_star(settle(_large_star(state))))
     return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
@@ -32,11 +32,11 @@ def _only_stars(state: DataFrame) -> bool:
 
 def _large_star(state: DataFrame) -> DataFrame:
     both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+    least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m")))
     return both.join(least, F.col("u") == F.col("n")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(state: DataFrame) -> DataFrame:
-    least = state.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m")
+    least = settle(state.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m"))
     others = state.join(least, F.col("u") == F.col("n")).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.union(least.select(F.col("n"), F.col("m"))).distinct()
