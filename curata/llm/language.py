@@ -29,9 +29,9 @@ PER_LANGUAGE = 1_500
 ROUNDS = 3
 #: Count that smoothing spreads over all pieces of a language.
 SMOOTHING = 1_000.0
-HELD = 1 << 22
+HELD = 1 << 20
 CACHED = 300_000
-CHUNK = 20_000
+CHUNK = 8_000
 #: Longer words are scored one at a time, and learned from in pieces of this length.
 LONG = 32
 MARK = "▁"
