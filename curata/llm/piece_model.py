@@ -125,6 +125,7 @@ class PieceModel:
         self.decoder = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.length = np.array([1 if k == BYTE else len(t) for t, k in zip(texts, kinds)], np.int64)
         self.unknown = self.encoder.unk_id()
+        self.spells = BYTE in kinds  # characters without a piece become bytes, so none is unknown
 
     @property
     def idle(self) -> bool:
@@ -193,17 +194,17 @@ class PieceModel:
             kept, end, starts = kept[:-size], starts[-size], starts[:-size]
         return kept, np.append(starts, end)
 
-    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """Ids, and for each of them the first and the end byte of its span in the UTF-8 text."""
+    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, the same as an array, and for each of them the first and the end byte of its span in the UTF-8 text."""
         normal, origin = self.normalise(text.encode())
         ids = self.encoder.encode(normal.decode())
         at = np.array(ids, np.int64)
         sizes = self.length[at]
-        if self.unknown in ids:
+        if not self.spells and (at == self.unknown).any():  # an unknown piece has no length of its own
             parts = self.encoder.encode(normal.decode(), out_type="immutable_proto").pieces
             sizes = np.array([len(p.surface.encode()) for p in parts], np.int64)
         ends = np.cumsum(sizes)
-        return ids, origin[ends - sizes], origin[ends]
+        return ids, at, origin[ends - sizes], origin[ends]
 
 
 @lru_cache(maxsize=4)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
@@ -54,7 +55,6 @@ def encoded(docs: DataFrame, model: str, *, text: str = "text", keep: Sequence[s
     clash = set(names) & {f.name for f in PIECES}
     if clash:
         raise ValueError(f"columns to keep have names of the result: {sorted(clash)}")
-    ints = pa.list_(pa.int32())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model.load(model)
@@ -64,9 +64,9 @@ def encoded(docs: DataFrame, model: str, *, text: str = "text", keep: Sequence[s
             for start, end in portions(sizes, HELD):
                 part = batch.slice(start, end - start)
                 out = [pieces.encode(t) for t in column.slice(start, end - start).to_pylist()]
-                decoded = [pieces.decoder.decode(ids) for ids, _, _ in out]
-                columns = [pa.array([x[0] for x in out], ints), pa.array([x[1] for x in out], ints)]
-                columns += [pa.array([x[2] for x in out], ints), pa.array(decoded, pa.string())]
+                ends_at = np.cumsum([0, *(len(x[0]) for x in out)]).astype(np.int32)
+                columns = [pa.ListArray.from_arrays(ends_at, np.concatenate([x[i] for x in out]).astype(np.int32)) for i in (1, 2, 3)]
+                columns.append(pa.array([pieces.decoder.decode(x[0]) for x in out], pa.string()))
                 kept = [part.column(i) for i in range(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays(kept + columns, names=[*names, *(f.name for f in PIECES)])
 
