@@ -74,7 +74,8 @@ def interval_join(
     (key, time bucket): an interval is copied to the buckets it touches, a left row has exactly one,
     so a hot key spreads over its buckets and a left join needs no second pass. Intervals are cut to the
     time that the key's rows cover, so an open end, whatever far date stands for it, makes no more buckets than there are days
-    of data, and a key without rows none. ``cover_of`` is a frame with the same keys and times that is cheaper to read than ``left``.
+    of data, and a key without rows none. ``cover_of`` is a frame with the same keys and times, or more, that is
+    cheaper to read than ``left``: the log that it was made from.
     """
     if cover_of is None:
         cover_of = left = once(left)  # read for its rows and for what they cover

@@ -318,6 +318,7 @@ def infusion_rates(
             end="drugstopoffset",
             right_columns=["__order", "dosage", "__active"],
             how="left",
+            cover_of=infusions.withColumn("__at", F.col("infusionoffset")),
         ).filter(~is_volume | F.col("__active"))
         strength = F.lit(None).cast("double")
         for o in reversed(drug.orders):

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from curata.operators import pick
 from curata.operators.intervals import fuzzy_bounds, interval_join
 from curata.operators.pivot import Measure, Range, known_items, pivot_measures, valid_rows
-from curata.session import once
 
 # Item ids of the timestamped source, the column each feeds and its upper bound.
 # 50885 is listed once: of the two labels it carries only the first can apply, so the column
@@ -104,8 +103,7 @@ def timed_labs(lab_events: DataFrame, icu_stays: DataFrame, admissions: DataFram
         "valuenum",
         TIMED_LABS,
     )
-    wide = once(wide)
-    within = dict(keys=["subject_id"], time="charttime", start="data_start", end="data_end", closed="left", cover_of=wide)
+    within = dict(keys=["subject_id"], time="charttime", start="data_start", end="data_end", closed="left", cover_of=lab_events)
     hospital = fuzzy_bounds(admissions, subject="subject_id", stay="hadm_id", start="admittime", end="dischtime")
     unit = fuzzy_bounds(icu_stays, subject="subject_id", stay="icustay_id", start="intime", end="outtime")
     tagged = interval_join(wide, hospital, right_columns=["hadm_id"], **within)
