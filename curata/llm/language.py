@@ -34,6 +34,8 @@ CACHED = 300_000
 CHUNK = 8_000
 #: Longer words are scored one at a time, and learned from in pieces of this length.
 LONG = 32
+#: Words less probable than this are computed in logs, so that no float gets too small. A float loses nothing of what is above it.
+TINY = 1e-200
 MARK = "▁"
 
 
@@ -72,10 +74,12 @@ class Pieces:
             self.spelled.append(self.bytes[list(chr(character).encode("utf-8", "replace"))])
         return row
 
+    def log_table(self, logs: np.ndarray) -> np.ndarray:
+        """Log-probabilities of pieces and of the characters spelled in bytes so far."""
+        return np.concatenate([logs, *[logs[s].sum(0, keepdims=True) for s in self.spelled]])
+
     def table(self, logs: np.ndarray) -> np.ndarray:
-        """Probabilities of pieces and of the characters spelled in bytes so far."""
-        rows = [logs, *[logs[s].sum(0, keepdims=True) for s in self.spelled]]
-        return np.exp(np.concatenate(rows))
+        return np.exp(self.log_table(logs))
 
     def edges(self, words: list[str]) -> np.ndarray:
         """(end, length, word, piece) of every piece that stands in a word, ordered by end and length.
@@ -142,30 +146,46 @@ def word_scores(words: list[str], pieces: Pieces, logs: np.ndarray) -> np.ndarra
         some = [words[i] for i in at]
         steps, lengths = _steps(pieces.edges(some)), np.array([len(w) for w in some])
         alpha = forward(steps, lengths, pieces.table(logs))
-        out[at] = np.log(alpha[np.arange(len(some)), lengths])
+        found = alpha[np.arange(len(some)), lengths]
+        out[at] = np.log(np.maximum(found, TINY))
+        for i in np.flatnonzero((found < TINY).any(1)):
+            out[at[i]] = _long_score(some[i], pieces, logs)
     for i, word in enumerate(words):
         if len(word) > LONG:
             out[i] = _long_score(word, pieces, logs)
     return out
 
 
+def _log_sums(edges: np.ndarray, values: np.ndarray, length: int) -> np.ndarray:
+    """Log-probability of every beginning of one word, (end, language); ``edges`` by end, ``values`` are their log-probabilities."""
+    alpha = np.zeros((length + 1, values.shape[1]))
+    at = np.searchsorted(edges[:, 0], np.arange(1, length + 2))
+    for end in range(1, length + 1):
+        a, b = at[end - 1], at[end]
+        alpha[end] = np.logaddexp.reduce(alpha[end - edges[a:b, 1]] + values[a:b], axis=0)
+    return alpha
+
+
 def _long_score(word: str, pieces: Pieces, logs: np.ndarray) -> np.ndarray:
-    """The same for one word of any length, scaled as it goes."""
+    """The same for one word of any length and probability."""
     edges = pieces.edges([word])
-    table = pieces.table(logs)
-    values = table[edges[:, 3]]
-    alpha = np.zeros((len(word) + 1, logs.shape[1]))
-    alpha[0], scale, reach = 1, np.zeros(logs.shape[1]), int(edges[:, 1].max())
-    at = np.searchsorted(edges[:, 0], np.arange(1, len(word) + 2))
-    for end in range(1, len(word) + 1):
-        a, b = at[end - 1], at[end]
-        alpha[end] = (alpha[end - edges[a:b, 1]] * values[a:b]).sum(0)
-        if end % 8 == 0:
-            window = slice(max(0, end - reach), end + 1)
-            most = alpha[window].max(0)
-            alpha[window] /= most
-            scale += np.log(most)
-    return np.log(alpha[-1]) + scale
+    known = edges[:, 3] < pieces.size
+    values = np.empty((len(edges), logs.shape[1]))
+    values[known] = logs[edges[known, 3]]
+    for i in np.flatnonzero(~known):
+        values[i] = logs[pieces.spelled[edges[i, 3] - pieces.size]].sum(0)
+    return _log_sums(edges, values, len(word))[-1]
+
+
+def _masses(word: str, edges: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Posterior probability of every edge of one word of any probability, one language."""
+    n = len(word)
+    alpha = _log_sums(edges, values, n)[:, 0]
+    turned = edges.copy()  # the word read from its end: an edge ends where it started
+    turned[:, 0] = n - (edges[:, 0] - edges[:, 1])
+    order = np.argsort(turned[:, 0], kind="stable")
+    beta = _log_sums(turned[order], values[order], n)[::-1, 0]
+    return np.exp(alpha[edges[:, 0] - edges[:, 1]] + values[:, 0] + beta[edges[:, 0]] - alpha[n])
 
 
 def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probabilities: np.ndarray) -> np.ndarray:
@@ -174,23 +194,33 @@ def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probab
     for start in range(0, len(words), CHUNK):
         some, n = words[start : start + CHUNK], counts[start : start + CHUNK]
         steps, lengths = _steps(pieces.edges(some)), np.array([len(w) for w in some])
-        table = pieces.table(np.log(probabilities)[:, None])
+        log_table = pieces.log_table(np.log(probabilities)[:, None])
+        table = np.exp(log_table)
         alpha = forward(steps, lengths, table)[:, :, 0]
         beta = np.zeros_like(alpha)
         beta[np.arange(len(some)), lengths] = 1
-        weight = n / alpha[np.arange(len(some)), lengths]
+        found = alpha[np.arange(len(some)), lengths]
+        weight = np.where(found < TINY, 0, n / np.maximum(found, TINY))
         for step in reversed(steps):
             end, size, at = step[0, 0], step[0, 1], step[:, 2]
             through = beta[at, end] * table[step[:, 3], 0]
             beta[at, end - size] += through
             mass = alpha[at, end - size] * through * weight[at]
-            whole = step[:, 3] < pieces.size
-            total += np.bincount(step[whole, 3], mass[whole], pieces.size)
-            for row, value in zip(step[~whole, 3], mass[~whole]):
-                np.add.at(total, pieces.spelled[row - pieces.size], value)
+            _add(total, step[:, 3], mass, pieces)
+        for i in np.flatnonzero(found < TINY):
+            edges = pieces.edges([some[i]])
+            _add(total, edges[:, 3], n[i] * _masses(some[i], edges, log_table[edges[:, 3]]), pieces)
     return total
 
 
+def _add(total: np.ndarray, rows: np.ndarray, mass: np.ndarray, pieces: Pieces) -> None:
+    """Add the mass of pieces, and that of characters spelled in bytes to each of their bytes."""
+    whole = rows < pieces.size
+    total += np.bincount(rows[whole], mass[whole], pieces.size)
+    for row, value in zip(rows[~whole], mass[~whole]):
+        np.add.at(total, pieces.spelled[row - pieces.size], value)
+
+
 def marked(text: str) -> list[str]:
     return [MARK + w for w in text.split()]
 

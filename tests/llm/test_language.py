@@ -60,6 +60,30 @@ def test_expected_counts(logs):
     assert np.allclose(got, want)
 
 
+def test_characters_without_a_piece(spark, logs):
+    pieces = language.vocabulary(PATH)
+    low = logs - 12
+    for word in ("▁" + "𓀀" * 30, "▁information" + "\u1201" * 20, "▁" + "𓀀" * 31, "▁information" + "𓀀" * 60):
+        spelled = [sum(low[pieces.bytes[b]] for b in c.encode()) for c in word if c in "𓀀\u1201"]
+        plain = word.rstrip("𓀀\u1201")
+        want = np.log(sum(np.exp(low[s].sum(0)) for s in segmentations(plain, pieces))) + sum(spelled)
+        assert np.allclose(language.word_scores([word], pieces, low)[0], want), word
+    p = np.exp(low[:, 0])
+    n = np.array([2.0, 3.0])
+    got = language.expected_counts(["▁" + "𓀀" * 30, "▁thing"], n, pieces, p)
+    want = language.expected_counts(["▁", "▁thing"], n, pieces, p)
+    np.add.at(want, pieces.bytes[list("𓀀".encode() * 30)], 2.0)
+    assert np.allclose(got, want)
+    rows = [(1, "the cat and the dog", "en"), (3, "le chat " + "𓀀" * 30, "fr"), (4, "the dog", "en"), (5, "le chien", "fr"), (7, "le chat", "fr"), (8, "a cat", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learned(docs, PATH)
+    assert "fr" in model.languages and np.isfinite(model.logs).all()
+    odd = docs.select("doc_id", "text").union(spark.createDataFrame([(9, "the cat " + "ሁ" * 30)], "doc_id long, text string"))
+    found = {r.doc_id: r for r in language.predicted(odd, model).collect()}
+    assert all(0 < r.score <= 1 for r in found.values())
+    assert found[1].lang_pred == found[9].lang_pred == "en" and found[7].lang_pred == "fr"
+
+
 def test_accuracy_and_labels_are_not_looked_at(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.learned(docs, PATH, per_language=100)
