@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import itq, language, line_dedup, mixing, pieces, pseudolikelihood, simhash, token_cache, warc, winnow
+from curata.llm import itq, language, line_dedup, mixing, pieces, pseudolikelihood, resampling, simhash, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -102,3 +102,9 @@ def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return mixing.mixture(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(resampling.RESAMPLING_SQL)
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return resampling.resampled(docs, read_table(spark, folder, "benchmark"))
