@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import itq, language, line_dedup, mixing, pieces, pseudolikelihood, resampling, simhash, token_cache, warc, winnow
+from curata.llm import byte_pairs, itq, language, line_dedup, mixing, pieces, pseudolikelihood, resampling, simhash, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -31,6 +31,13 @@ def piece_model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_ranks() -> tuple[str, str]:
+    """Path of a rank file and the pattern that splits texts before it is used."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def own_folder(spark: SparkSession, kind: str) -> str:
     """A new folder's path in the session's shared folder."""
     return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
@@ -108,3 +115,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return resampling.resampled(docs, read_table(spark, folder, "benchmark"))
+
+
+@query()
+def op12_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = byte_pairs.encoded(read_table(spark, folder, "documents"), *byte_ranks())
+    return rows.select("doc_id", *[c.alias(n) for n, c in byte_pairs.digests(rows).items()])
