@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curata.llm import byte_pairs, itq, language, line_dedup, mixing, pieces, pseudolikelihood, resampling, simhash, token_cache, warc, winnow
+from curata.llm import byte_pairs, itq, language, line_dedup, mixing, phrases, pieces, pseudolikelihood, resampling, simhash, token_cache, warc, winnow
 from curata.session import ensure_checkpoint_dir
 from curata.sources.tables import read_table
 
@@ -121,3 +121,8 @@ def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
 def op12_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     rows = byte_pairs.encoded(read_table(spark, folder, "documents"), *byte_ranks())
     return rows.select("doc_id", *[c.alias(n) for n, c in byte_pairs.digests(rows).items()])
+
+
+@query(phrases.PHRASE_SQL)
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, folder, "documents"))
