@@ -464,15 +464,15 @@ def hourly_grid_score(t: Tables) -> DataFrame:
         [signals],
         {"view_min": "min", "click_max": "max", "error_sum": "sum"},
     )
-    w = grid.rolling("user_id")
-    scored = hourly.withColumn("error_24", F.sum("error_sum").over(w)).select(
+    dealt = grid.in_chunks(hourly, ["user_id"], "hr", looks=2)
+    scored = grid.rolled(dealt, ["user_id"], "hr", {"error_24": ("error_sum", "sum", "back")}).select(
         "*",
         rules.bands(F.col("view_min"), LOW_VIEW).alias("a"),
         rules.bands(F.col("click_max"), HIGH_CLICK).alias("b"),
         rules.bands(F.col("error_24"), LOW_ERRORS).alias("e"),
     )
-    worst = scored.select("*", *[F.coalesce(F.max(c).over(w), F.lit(0)).alias(f"{c}_24") for c in ("a", "b", "e")])
-    return worst.filter("hr >= 0").withColumns(
+    worst = grid.own_rows(grid.rolled(scored, ["user_id"], "hr", {f"{c}_24": (c, "max", "back") for c in ("a", "b", "e")}))
+    return worst.filter("hr >= 0").withColumns({f"{c}_24": F.coalesce(f"{c}_24", F.lit(0)) for c in ("a", "b", "e")}).withColumns(
         {
             "error_sum": rounded("error_sum"),
             "error_24": rounded("error_24"),

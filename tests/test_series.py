@@ -237,3 +237,31 @@ def test_clock(spark):
     assert df.select(offset.exact_minutes(offset.axis("b"))).first()[0] == 90
     with pytest.raises(TypeError):
         Clock.of(spark.createDataFrame([("x",)], "a string"), "a")
+
+
+@pytest.mark.parametrize("rows,blocks", [(1, 1), (3, 1), (4, 2), (24, 30)])
+def test_windows_over_blocks_equal_sliding_windows(spark, rows, blocks):
+    rng = random.Random(rows)
+    data = []
+    for key, (first, n) in enumerate([(-24, 90), (0, 1), (5, rows), (-1, 2), (7, 40)]):
+        data += [(key, first + i, rng.choice([None, *range(50)]), None if key == 4 else rng.randrange(9)) for i in range(n)]
+    df = spark.createDataFrame(data, "k long, p int, v int, u int")
+    wanted = {f"{how}_{side}": ("v", how, side) for how in ("max", "min", "sum") for side in ("back", "ahead")} | {"u_sum": ("u", "sum", "back")}
+    out = grid.own_rows(grid.rolled(grid.in_chunks(df, ["k"], "p", rows, chunk_blocks=blocks), ["k"], "p", wanted, rows)).collect()
+    assert len(out) == len(data)
+    pick = {"max": max, "min": min, "sum": sum}
+    for r in out:
+        for name, (column, how, side) in wanted.items():
+            lo, hi = (r.p - rows + 1, r.p) if side == "back" else (r.p, r.p + rows - 1)
+            seen = [row[2 if column == "v" else 3] for row in data if row[0] == r.k and lo <= row[1] <= hi]
+            seen = [x for x in seen if x is not None]
+            assert r[name] == (pick[how](seen) if seen else None), (r, name)
+
+
+def test_chained_windows_see_far_enough(spark):
+    rows = [(1, p, (p * 7) % 11) for p in range(-10, 60)]
+    dealt = grid.in_chunks(spark.createDataFrame(rows, "k long, p int, v int"), ["k"], "p", 4, looks=2, chunk_blocks=2)
+    sums = grid.rolled(dealt, ["k"], "p", {"s": ("v", "sum", "back")}, 4)
+    out = grid.own_rows(grid.rolled(sums, ["k"], "p", {"b": ("s", "max", "back"), "a": ("s", "max", "ahead")}, 4)).collect()
+    s = {p: sum(v for _, q, v in rows if p - 4 < q <= p) for _, p, _ in rows}
+    assert {(r.p, r.b, r.a) for r in out} == {(p, max(s[q] for q in s if p - 4 < q <= p), max(s[q] for q in s if p <= q < p + 4)) for p in s}
