@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from curata.operators.pivot import Measure, Range
 from curata.operators import harmonise
-from curata.operators.nearest import Covariate
 from curata.plans import (
     comorbidity, dataset, funnel, gases, infusions, labs, patients, pressure, severity, ventilation, vitals, weights,
 )
-from curata.queries.derived import MINUTES, TABLES, ctes, derived
+from curata.queries.derived import ctes, derived
 from curata.queries.registry import Tables, query, rounded
 from curata.session import settle
 
@@ -347,7 +346,8 @@ uo as (select patientunitstayid as k, cast(ceil(chartoffset / 60.0) as bigint) a
 )
 
 
-def _severity_sql() -> str:
+def severity_ctes() -> str:
+    """The hours of each stay with points, in ``wo``: worst of the 24 hours up to each, and of the 24 from it on."""
     nested = ",\n".join(
         f"{alias} as ({_nested(name)})"
         for alias, name in (
@@ -356,9 +356,9 @@ def _severity_sql() -> str:
         )
     )
     joins = " ".join(f"left join {s} on {s}.k = gr.k and {s}.hr = gr.hr" for s in "sg gc lb pf uo ne ep dp db".split())
-    worst = ", ".join(f"coalesce(max({c}) over w, 0) as {c}_24hours" for c in severity.COMPONENTS)
-    total = " + ".join(f"{c}_24hours" for c in severity.COMPONENTS)
-    ints = ", ".join(f"cast({c} as integer) as {c}, cast({c}_24hours as integer) as {c}_24hours" for c in severity.COMPONENTS)
+    worst = ", ".join(
+        f"coalesce(max({c}) over w, 0) as {c}_24hours, coalesce(max({c}) over f, 0) as {c}_next24" for c in severity.COMPONENTS
+    )
     return f"""with {ctes('unit_stays', 'gas_panel', 'coma_scores', 'narrow_labs', 'urine')},
 {nested}, {_SIGNALS},
 gr as (select patientunitstayid as k, unnest(generate_series(-24, cast(ceil(unitdischargeoffset / 60.0) as bigint))) as hr
@@ -383,7 +383,14 @@ sc as (select *,
   case when creatinine_max >= 5 then 4 when u24 < 200 then 4 when creatinine_max >= 3.5 and creatinine_max < 5 then 3 when u24 < 500 then 3
        when creatinine_max >= 2 and creatinine_max < 3.5 then 2 when creatinine_max >= 1.2 and creatinine_max < 2 then 1
        when coalesce(u24, creatinine_max) is null then null else 0 end as renal from hx),
-wo as (select *, {worst} from sc window w as (partition by k order by hr rows between 23 preceding and current row))
+wo as (select *, {worst} from sc window w as (partition by k order by hr rows between 23 preceding and current row),
+  f as (partition by k order by hr rows between current row and 23 following))"""
+
+
+def _severity_sql() -> str:
+    total = " + ".join(f"{c}_24hours" for c in severity.COMPONENTS)
+    ints = ", ".join(f"cast({c} as integer) as {c}, cast({c}_24hours as integer) as {c}_24hours" for c in severity.COMPONENTS)
+    return f"""{severity_ctes()}
 select k as patientunitstayid, cast(hr as integer) as hr, meanbp_min, gcs_min, bilirubin_max, creatinine_max, platelet_min,
   pao2fio2_novent, pao2fio2_vent, rate_norepinephrine, rate_epinephrine, rate_dopamine, rate_dobutamine,
   round(urineoutput, 6) as urineoutput, {ints}, cast({total} as integer) as sofa_24hours
@@ -639,110 +646,6 @@ def patients_by_offset(t: Tables) -> DataFrame:
     return six_digits(_patients_c(t), set())
 
 
-# The variable config of the final table: one vital sign and one lab around, before and after the gas.
-_TIMED_CONFIG = [
-    ("vitals", "heart_rate", "heart_rate", -24, 24, "vitals", "stay_id", "charttime"),
-    ("vitals", "resp_rate", "resp_rate", -24, 0, "vitals", "stay_id", "charttime"),
-    ("bmp", "sodium", "sodium", 0, 48, "labs", "subject_id", "charttime"),
-]
-_TIMED_CONFIG_B = [(*row[:6], "icustay_id" if row[6] == "stay_id" else row[6], row[7]) for row in _TIMED_CONFIG]
-_OFFSET_CONFIG = [
-    ("vitals", "heart_rate", "heart_rate", -24, 24, "vitals", "patientunitstayid", "chartoffset"),
-    ("vitals", "resp_rate", "resp_rate", -24, 0, "vitals", "patientunitstayid", "chartoffset"),
-    ("bmp", "sodium", "sodium", 0, 48, "labs", "patientunitstayid", "chartoffset"),
-]
-_COVARIATE_TABLES = {
-    "cov_vitals": f"""select user_id as patientunitstayid, user_id * 10 as stay_id, user_id * 10 as icustay_id,
-  ts as charttime, {MINUTES} as chartoffset, case when event_type = 'click' then value end as heart_rate, case when event_type = 'error' then value end as resp_rate from {{events}}""",
-    "cov_labs": f"""select user_id as patientunitstayid, user_id as subject_id, ts as charttime, {MINUTES} as chartoffset,
-  case when event_type = 'signup' then value end as sodium from {{events}}""",
-}
-TABLES.update(_COVARIATE_TABLES)
-
-
-def _attached(pairs: str, key_time: str, config: list, prefix: str, wall: bool) -> str:
-    parts, columns, joins = [], [], []
-    for kind, column, name, low, high, source, key, time in config:
-        v = f"{prefix}_{kind}_{name}"
-        d = f"datesub('minute', p.a, e.{time})" if wall else f"e.{time} - p.a"
-        far = f"abs(date_diff('microsecond', p.a, e.{time}))" if wall else f"abs(e.{time} - p.a)"
-        parts.append(f"""{v} as (select p.k, p.a, {d} as d, e.{column} as x,
-   row_number() over (partition by p.k, p.a order by {far}, e.{time}, e.{column}) as rn
-  from (select distinct {key} as k, {key_time} as a from {pairs}) p join cov_{source} e on e.{key} = p.k and e.{column} is not null
-   and {d} between {low * 60} and {high * 60})""")
-        columns.append(f"{v}.d as delta_{kind}_{name}, {v}.x as {kind}_{name}")
-        joins.append(f"left join {v} on {v}.k = {pairs}.{key} and {v}.a = {pairs}.{key_time} and {v}.rn = 1")
-    return ",\n".join(parts) + f""",
-{prefix}_wide as (select {pairs}.*, {', '.join(columns)} from {pairs} {' '.join(joins)})"""
-
-
-_GASES_OUT = """"pH", "pCO2", "pO2", "SaO2", "SpO2", "Carboxyhemoglobin", "Methemoglobin", "delta_SpO2",
-  delta_vitals_heart_rate, vitals_heart_rate, delta_vitals_resp_rate, vitals_resp_rate, delta_bmp_sodium, bmp_sodium"""
-_TEXTS = ("datetime_hospital_admit", "datetime_hospital_discharge", "datetime_icu_admit", "datetime_icu_discharge")
-
-
-def _final_sql() -> str:
-    pat = [f"p.{c}" for c in ("hospital_admission_id", "icustay_id", "source_db", "hospitalid", "numbedscategory",
-           "teachingstatus", "region", "sex_female", "weight_admission", "height_admission", "los_hospital",
-           "comorbidity_score_name", "comorbidity_score_value", "in_hospital_mortality", "race_ethnicity")]
-    common = ", ".join(pat) + """, cast(p.subject_id as varchar) as subject_id, try_cast(p.admission_age as double) as admission_age,
-  round(p."BMI_admission", 6) as "BMI_admission", round(p."los_ICU", 6) as "los_ICU", """ + ", ".join(
-        f"strftime(p.{c}, '%Y-%m-%d %H:%M:%S.%f') as {c}" for c in _TEXTS)
-    gases_out = _GASES_OUT.replace('"Carboxyhemoglobin", "Methemoglobin"',
-        'try_cast("Carboxyhemoglobin" as double) as "Carboxyhemoglobin", try_cast("Methemoglobin" as double) as "Methemoglobin"').replace(
-        '"delta_SpO2"', 'round("delta_SpO2", 9) + 0.0 as "delta_SpO2"')
-    code = "dense_rank() over (order by {o}) - 1"
-    return f"""with {ctes(*_GAS_TABLES, *_GAS_TABLES_B, *_OFFSET_TABLES, *_PATIENT_TABLES, 'offset_details', 'hospitals', 'offset_scores', 'cov_vitals', 'cov_labs')},
-{_TIMED_PAIRS}, {_TIMED_PAIRS_B}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_B}, {_PATIENTS_C},
-{_attached('tp', '"SaO2_timestamp"', _TIMED_CONFIG, 'ta', True)},
-{_attached('tpb', '"SaO2_timestamp"', _TIMED_CONFIG_B, 'tb', True)},
-{_attached('op', '"SaO2_offset"', _OFFSET_CONFIG, 'oa', False)},
-u as (select {common}, w."SaO2_timestamp", w."SpO2_timestamp", {gases_out}
-      from ta_wide w join pa p on p.hospital_admission_id = w.hadm_id and p.icustay_id = w.stay_id
-      union all by name
-      select {common}, w."SaO2_timestamp", w."SpO2_timestamp", {gases_out}
-      from tb_wide w join pb p on p.hospital_admission_id = w.hadm_id and p.icustay_id = w.icustay_id
-      union all by name
-      select {common}, timestamp '2014-01-01' + to_minutes("SaO2_offset") as "SaO2_timestamp",
-        timestamp '2014-01-01' + to_minutes("SpO2_offset") as "SpO2_timestamp", {gases_out}
-      from oa_wide w join pc p on p.hospital_admission_id = w.patienthealthsystemstayid and p.icustay_id = w.patientunitstayid),
-f as (select *, min(hospital_admission_id) over (partition by source_db, subject_id) as h0,
-        min(subject_id) over (partition by source_db, hospital_admission_id) as s1,
-        min(struct_pack(a := subject_id, b := hospital_admission_id)) over (partition by source_db, icustay_id) as s2 from u)
-select * exclude (h0, s1, s2), {code.format(o='source_db, subject_id')} as unique_subject_id,
-  {code.format(o='source_db, s1, hospital_admission_id')} as unique_hospital_admission_id,
-  {code.format(o='source_db, s2, icustay_id')} as unique_icustay_id
-from f"""
-
-
-def _final(t: Tables) -> DataFrame:
-    """The final table over all three sources."""
-    vital, lab = derived(t, "cov_vitals"), derived(t, "cov_labs")
-    sources = {"vitals": vital, "labs": lab}
-
-    def config(rows: list) -> list[Covariate]:
-        return [Covariate(f"{r[0]}_{r[2]}", r[1], r[5], r[6], r[7], r[3], r[4]) for r in rows]
-
-    timed = dataset.pairs_with_covariates(_timed_pairs(t), "SaO2_timestamp", config(_TIMED_CONFIG), sources)
-    second = dataset.pairs_with_covariates(_timed_pairs_b(t), "SaO2_timestamp", config(_TIMED_CONFIG_B), sources)
-    offset = dataset.pairs_with_covariates(_offset_pairs(t), "SaO2_offset", config(_OFFSET_CONFIG), sources)
-    people = [
-        dataset.with_characteristics(_patients_a(t), timed),
-        dataset.with_characteristics(_patients_b(t), second),
-        dataset.with_characteristics(_patients_c(t), offset.drop("uniquepid")),
-    ]
-    return dataset.final_table(people)
-
-
-@query(_final_sql())
-def final_dataset(t: Tables) -> DataFrame:
-    final = _final(t)
-    return final.withColumns(
-        {"BMI_admission": rounded("BMI_admission"), "los_ICU": rounded("los_ICU"), "delta_SpO2": rounded("delta_SpO2", 9)}
-        | {c: F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in _TEXTS}
-    )
-
-
 @query(f"""with {ctes(*_GAS_TABLES, *_GAS_TABLES_B, *_OFFSET_TABLES, *_PATIENT_TABLES, 'offset_details', 'hospitals', 'offset_scores')},
 {_TIMED_PAIRS}, {_TIMED_PAIRS_B}, {_OFFSET_PAIRS}, {_PATIENTS_A}, {_PATIENTS_B}, {_PATIENTS_C},
 ap as (select 'timed_a' as source_db, subject_id, hadm_id as hospital_admission_id, stay_id as icustay_id, "pH", "pCO2", "pO2", "SaO2", "SpO2",

@@ -51,9 +51,8 @@ def table_one(
     """
     parts = []
     if numbers:
-        parts.append(
-            describe_continuous(df, stratum, numbers).withColumn("n", F.col("rows") - F.col("missing")).drop("rows")
-        )
+        described = describe_continuous(df, stratum, numbers).withColumn("n", F.col("rows") - F.col("missing")).drop("rows")
+        parts.append(described.withColumns({"level": F.lit(None).cast("string"), "pct": F.lit(None).cast("double")}))
     if categorical:
         missing = unpivot(df, [stratum], categorical, "string").groupBy("variable", stratum).agg(
             F.count(F.when(F.col("value").isNull(), 1)).alias("missing")
