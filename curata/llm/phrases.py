@@ -6,15 +6,16 @@ than a group may hold is extended by a word until its parts fit; prefixes that f
 each group builds its subtree by itself: leaves in order, and a node's count is the total of its leaves. Prefixes that were
 extended are the nodes above the subtrees, and their counts are the totals that showed them to be too large.
 
-A suffix is cut where it can no longer be a frequent phrase. A sketch of fixed size tells: one counter per hash of a word or a pair of
-neighbours, never too low, so what it rules out is certain and what it lets through is counted exactly.
+A suffix is cut where it can no longer be a frequent phrase. Two sketches of fixed size tell: one counter per hash of a word or a
+pair of neighbours, then one per hash of a longer run of words whose neighbours may all be frequent pairs. Counters are never too low, so
+what they rule out is certain, and what they let through is counted exactly.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ SHARE = 100
 TOP = 2000
 #: Leaves a group may have, up to twice that: a group is filled past its end by one prefix at most.
 GROUP = 1 << 18
-#: Counters of the sketch, in ranges that are summed by themselves.
-SLOTS, RANGES = 1 << 22, 256
+#: Counters of a sketch, in ranges that are summed by themselves.
+SLOTS, RANGES = 1 << 23, 256
 #: Bytes of text whose words are held at a time (a longer text is held alone), and distinct words a task remembers.
 HELD, REMEMBERED = 1 << 22, 1 << 18
 
@@ -86,25 +87,50 @@ def runs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[str,
                 words.forget()
 
 
-def slots_of(lang: str, numbers: np.ndarray, hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """The counter of every word, and of every word with the next; those of no word mean nothing."""
+def hashed_runs(lang: str, numbers: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """For 1, 2 ... ``longest`` words a hash of the run that begins at each place; where none does it means nothing."""
     seed = np.uint64(xxhash.xxh64_intdigest(lang.encode(), seed=1))
-    if not len(hashes):
-        return np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     own = (hashes[numbers] ^ seed) * np.uint64(0x9E3779B97F4A7C15)
-    following = np.roll(own, -1)
-    pair = ((own >> np.uint64(7)) + following) * np.uint64(0xC2B2AE3D27D4EB4F)
-    shift = np.uint64(64 - (slots - 1).bit_length())
-    return (own >> shift).astype(np.int64), (pair >> shift).astype(np.int64)
+    run = own
+    for k in range(longest):
+        if k:
+            run = ((run >> np.uint64(7)) + np.roll(own, -k)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        yield run
 
 
-def in_a_piece(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which places hold a word, and which of those have a next word in the same piece."""
-    there = numbers != NO_WORD
-    joined = there.copy()
-    joined[:-1] &= there[1:]
-    joined[-1:] = False
-    return there, joined
+class Filter:
+    """Which runs of words may be frequent, by the sketches made so far: of words and pairs, and of longer runs."""
+
+    def __init__(self, short: np.ndarray | None = None, long: np.ndarray | None = None):
+        self.bits = [None if b is None else np.packbits(b) for b in (short, long)]
+        self.slots = [0 if b is None else len(b) for b in (short, long)]
+
+    def __getstate__(self):
+        return self.bits, self.slots
+
+    def __setstate__(self, state):
+        self.bits, self.slots = state
+
+    @cached_property
+    def allowed(self) -> list[np.ndarray | None]:
+        return [None if b is None else np.unpackbits(b, count=n).astype(bool) for b, n in zip(self.bits, self.slots)]
+
+    def runs(self, lang: str, numbers: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each length the hashes of the runs, and which places begin one that no sketch rules out in any of its parts."""
+        fits = numbers != NO_WORD
+        for k, hashed in enumerate(hashed_runs(lang, numbers, hashes, longest)):
+            if k:
+                after = np.roll(fits, -1)
+                after[-1:] = False
+                fits = fits & after
+            bits = self.allowed[0 if k < 2 else 1]
+            if bits is not None:
+                fits = fits & bits[slot(hashed, len(bits))]
+            yield hashed, fits
+
+
+def slot(hashed: np.ndarray, slots: int) -> np.ndarray:
+    return (hashed >> np.uint64(64 - (slots - 1).bit_length())).astype(np.int64)
 
 
 def counter_type(least: int) -> type:
@@ -112,23 +138,24 @@ def counter_type(least: int) -> type:
     return np.uint8 if 2 * least < 256 else np.uint16
 
 
-def sketched(texts: DataFrame, least: int, slots: int, ranges: int) -> DataFrame:
-    """Of every task of ``lang, text``: the words of each language, and counters in ranges, stopped at ``least``."""
+def sketched(texts: DataFrame, known: Filter, lengths: range, least: int, slots: int, ranges: int) -> DataFrame:
+    """Of every task of ``lang, text``: the words of each language, and counters of the runs of these lengths, in ranges, stopped at ``least``."""
     size = slots // ranges
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, n = Words(), Counter()
-        counters = np.zeros(slots, counter_type(least))
+        counters = np.zeros(slots, np.int32)
         for lang, numbers in runs(batches, words):
-            there, joined = in_a_piece(numbers)
-            n[lang] += int(there.sum())
-            single, pair = slots_of(lang, numbers, words.hashed(), slots)
-            for some in (single[there], pair[joined]):
-                hit, times = np.unique(some, return_counts=True)
-                counters[hit] = np.minimum(counters[hit] + times, least)
-        parts = [(r, counters[r * size : (r + 1) * size]) for r in range(ranges) if n]
+            n[lang] += int((numbers != NO_WORD).sum())
+            for k, (hashed, fits) in enumerate(known.runs(lang, numbers, words.hashed(), lengths.stop - 1), 1):
+                if k in lengths:
+                    np.add.at(counters, slot(hashed[fits], slots), 1)
+        stopped = np.minimum(counters, least).astype(counter_type(least))
         rows = [(lang, total, None, None) for lang, total in n.items()]
-        rows += [(None, None, r, part.tobytes()) for r, part in parts if part.any()]
+        for r in range(ranges):
+            part = stopped[r * size : (r + 1) * size]
+            if part.any():
+                rows.append((None, None, r, part.tobytes()))
         columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int32(), pa.binary()))]
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "range", "counters"])
 
@@ -155,24 +182,20 @@ def summed(sketches: DataFrame, least: int, slots: int, ranges: int) -> np.ndarr
     return out
 
 
-def suffixes(texts: DataFrame, may: np.ndarray, longest: int) -> DataFrame:
-    """``lang, leaf, n``: the suffix that begins at each word, cut where ``may`` rules it out, words joined by spaces; every one once."""
-    slots, bits = len(may), np.packbits(may)
+def suffixes(texts: DataFrame, known: Filter, longest: int) -> DataFrame:
+    """``lang, leaf, n``: the suffix that begins at each word, cut where ``known`` rules it out, words joined by spaces; every one once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = np.unpackbits(bits, count=slots).astype(bool)
         words = Words()
         for lang, numbers in runs(batches, words):
-            there, joined = in_a_piece(numbers)
-            single, pair = slots_of(lang, numbers, words.hashed(), slots)
-            begins, goes_on = there & allowed[single], joined & allowed[pair]
-            goes_on[:-1] &= begins[1:]
+            found = known.runs(lang, numbers, words.hashed(), longest)
+            _, begins = next(found)
             at = np.flatnonzero(begins)
             leaf = np.full((len(at), longest), NO_WORD, np.int32)
-            open_ = np.ones(len(at), bool)
-            for k in range(longest):
-                leaf[open_, k] = numbers[at[open_] + k]
-                open_[open_] = goes_on[at[open_] + k]
+            leaf[:, 0] = numbers[at]
+            for k, (_, fits) in enumerate(found, 1):
+                on = fits[at]
+                leaf[on, k] = numbers[at[on] + k]
             leaf, n = distinct_rows(leaf, np.ones(len(leaf), np.int64))
             spelled = joined_words(leaf, pa.array(list(words.places), pa.large_binary()).cast(pa.large_string()))
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(leaf), pa.string()), spelled.cast(pa.string()), pa.array(n)], names=["lang", "leaf", "n"])
@@ -275,9 +298,13 @@ def frequent(
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), whole_text(text).alias("text"))
     stop = min(least, np.iinfo(np.uint16).max // 2)
     ranges = min(RANGES, max(1, slots // 8))
-    sketches = settle(sketched(texts, stop, slots, ranges))
-    sizes = settle(sketches.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")))
-    leaves = settle(suffixes(texts, summed(sketches, stop, slots, ranges), longest))
+    first = settle(sketched(texts, Filter(), range(1, 3), stop, slots, ranges))
+    sizes = settle(first.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")))
+    known = Filter(summed(first, stop, slots, ranges))
+    if longest > 2:
+        second = settle(sketched(texts, known, range(3, longest + 1), stop, slots, ranges))
+        known = Filter(known.allowed[0], summed(second, stop, slots, ranges))
+    leaves = settle(suffixes(texts, known, longest))
     grouped, above = partitioned(leaves, longest, group)
     nodes = grouped.groupBy("group").applyInArrow(lambda t: subtree(t, least), "lang string, phrase string, words int, n long")
     return settle(nodes.unionByName(above.where(F.col("n") >= least))), sizes

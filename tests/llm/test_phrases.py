@@ -93,7 +93,7 @@ def test_all_nodes(spark):
 def test_groups_hold_twice_their_size_at_most(spark):
     rows = made(150, 6)
     texts = spark.createDataFrame([(x or "und", t or "") for x, t in rows], "lang string, text string")
-    leaves = phrases.settle(phrases.suffixes(texts, np.ones(64, bool), 5))
+    leaves = phrases.settle(phrases.suffixes(texts, phrases.Filter(np.ones(64, bool), np.ones(8, bool)), 5))
     grouped, above = phrases.partitioned(leaves, 5, 20)
     sizes = [r["count"] for r in grouped.groupBy("group").count().collect()]
     assert max(sizes) <= 40 and sum(sizes) == leaves.count()
