@@ -78,6 +78,29 @@ def paired_endpoints(
     )
 
 
+def ranked_endpoints(
+    df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], chunk: Column, flag: str
+) -> DataFrame:
+    """Episodes by pairing two streams from their ends: the last start with the last end, the one before with the one before.
+
+    Starts are the first times of the runs of on-rows, ends the last times of the runs of off-rows. Both are numbered from the end of the
+    key, as the total less what runs up to a row, in one scan; a number without a partner in the other stream is left out. A key that ends on
+    pairs its open start with an earlier end: the literal form, which ``run_episodes`` replaces.
+    """
+    row = F.struct(F.col(flag).alias("flag"))
+    edges = ordered_scan(df, keys, order, chunk, before={"__was": row}, after={"__then": row})
+    first_on = (F.col(flag) == 1) & (F.col("__was").isNull() | (F.col("__was.flag") == 0))
+    last_off = (F.col(flag) == 0) & (F.col("__then").isNull() | (F.col("__then.flag") == 1))
+    edges = edges.filter(first_on | last_off).select(*df.columns)
+    streams = {f"__{flag_}": F.when(F.col(flag) == flag_, F.lit(1)).otherwise(0) for flag_ in (0, 1)}
+    numbered = ordered_scan(edges, keys, order, chunk, running=streams, total={f"{n}_of": e for n, e in streams.items()})
+    rank = F.when(F.col(flag) == 1, F.col("__1_of") - F.col("__1")).otherwise(F.col("__0_of") - F.col("__0"))
+    pairs = numbered.withColumn("__rank", rank).groupBy(*keys, "__rank").agg(
+        F.max(F.when(F.col(flag) == 1, F.col(time))).alias("start"), F.max(F.when(F.col(flag) == 0, F.col(time))).alias("end")
+    )
+    return pairs.filter(F.col("start").isNotNull() & F.col("end").isNotNull()).drop("__rank")
+
+
 def with_end_markers(
     df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], flag: str, minutes: int
 ) -> DataFrame:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from curata.functions.clock import Clock, shift_seconds
 from curata.operators.scan import ordered_scan
-from curata.session import once
+from curata.session import once, settle
+
+#: Intervals of 2 ** 36 minutes or more share a level, where they may touch more cells than two.
+MOST_LEVEL = 36
 
 
 def fuzzy_bounds(
@@ -54,6 +58,92 @@ def fuzzy_bounds(
     )
 
 
+@dataclass(frozen=True)
+class Spans:
+    """Intervals of one kind: a frame, the columns of their bounds, and the columns a row inside takes over.
+
+    ``closed`` is "left" for [start, end) or "both" for [start, end]. Intervals that end before they start hold nothing.
+    """
+
+    frame: DataFrame
+    start: str
+    end: str
+    columns: Sequence[str]
+    closed: str = "both"
+
+
+def _levelled(kinds: Sequence[Spans], keys: Sequence[str], clock: Clock) -> DataFrame:
+    """All intervals in the cells of their level.
+
+    The level of an interval is the smallest power of two of minutes above its length, so it touches two cells of that width at
+    most, also if its end is a far date that stands for an open one.
+    """
+    parts = []
+    for i, kind in enumerate(kinds):
+        at = Clock.of(kind.frame, kind.start)
+        low, high = at.axis(kind.start), at.axis(kind.end)
+        high = high - 1 if kind.closed == "left" else high
+        taken = [F.struct(*k.columns).alias(f"__in{j}") for j, k in enumerate(kinds) if j == i]
+        parts.append(
+            kind.frame.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.lit(i).alias("__kind"), low.alias("__low"), high.alias("__high"), *taken)
+            .filter(F.col("__low") <= F.col("__high"))
+        )
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    minutes = F.floor((F.col("__high") - F.col("__low")) / F.lit(clock.units_per_minute)).cast("long")
+    level = F.least(F.length(F.bin(minutes)), F.lit(MOST_LEVEL))
+    levelled = stacked.withColumn("__level", level)
+    cells = F.sequence(_cell(clock, F.col("__low"), F.col("__level")), _cell(clock, F.col("__high"), F.col("__level")))
+    return levelled.withColumn("__r_cell", F.explode(cells)).withColumnRenamed("__level", "__r_level")
+
+
+def _cell(clock: Clock, axis: Column, level: Column) -> Column:
+    width = F.call_function("shiftleft", F.lit(clock.units_per_minute).cast("long"), level)
+    return F.floor(axis / width).cast("long")
+
+
+def _at_levels(rows: DataFrame, axis: Column, clock: Clock, levels: Sequence[int]) -> DataFrame:
+    """A copy of each row for every level that occurs, with its cell there."""
+    places = [F.struct(F.lit(n).alias("level"), _cell(clock, axis, F.lit(n)).alias("cell")) for n in levels]
+    if len(places) == 1:
+        return rows.withColumn("__p", places[0])
+    return rows.withColumn("__p", F.explode(F.array(*places)))
+
+
+def attach_intervals(left: DataFrame, kinds: Sequence[Spans], *, keys: Sequence[str], time: str, how: str = "left") -> DataFrame:
+    """Rows of ``left`` with the intervals of every kind that contain their time.
+
+    A row inside several intervals comes once for each, and once for each pair if they are of two kinds; with "left" a row inside none
+    keeps nulls, with "inner" (one kind) it goes. All kinds share one equi-join on (key, level, cell) between the instants that
+    occur and the intervals; what it finds comes back to the rows on (key, time), where ``left`` moves once for all kinds. With "inner" rows go into the
+    join themselves. Runs a job for the levels that occur (64 at most).
+    """
+    if how == "inner" and len(kinds) != 1:
+        raise ValueError("an inner join takes one kind of intervals")
+    clock = Clock.of(left, time)
+    spans = settle(_levelled(kinds, keys, clock))
+    levels = sorted(r[0] for r in spans.select("__r_level").distinct().collect()) or [1]
+    inside = F.col("__axis").between(F.col("__low"), F.col("__high"))
+    match = inside & (F.col("__p.level") == F.col("__r_level")) & (F.col("__p.cell") == F.col("__r_cell"))
+    match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__r_{k}") for k in keys], match)
+    taken = [F.col(f"__in{i}.{c}").alias(c) for i, kind in enumerate(kinds) for c in kind.columns]
+    if how == "inner" or (len(kinds) == 1 and len(levels) == 1):
+        placed = _at_levels(left.withColumn("__axis", clock.axis(time)), F.col("__axis"), clock, levels)
+        return placed.join(spans, match, how).select(*left.columns, *taken)
+
+    left = once(left)  # read for its rows and for its instants
+    instants = left.select(*keys, clock.axis(time).alias("__axis")).dropna().distinct()
+    found = _at_levels(instants, F.col("__axis"), clock, levels).join(spans, match)
+    hits = [F.col(f"__in{i}") for i in range(len(kinds))]
+    found = found.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col("__axis").alias("__r_axis"), "__kind", *hits)
+    found = settle(found) if len(kinds) > 1 else found
+    out = left.withColumn("__axis", clock.axis(time))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__r_{k}") for k in keys], F.col("__axis") == F.col("__r_axis"))
+    for i in range(len(kinds)):
+        mine = found.filter(F.col("__kind") == i).select(*[f"__r_{k}" for k in keys], "__r_axis", f"__in{i}")
+        out = out.join(mine, same, "left").drop(*[f"__r_{k}" for k in keys], "__r_axis")
+    return out.select(*left.columns, *taken)
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -65,49 +155,9 @@ def interval_join(
     right_columns: Sequence[str],
     closed: str = "both",
     how: str = "left",
-    bucket_minutes: float = 1440,
-    cover_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of ``left`` with the intervals of ``right`` that contain their time.
-
-    ``closed`` is "left" for [start, end) or "both" for [start, end]. The join runs on
-    (key, time bucket): an interval is copied to the buckets it touches, a left row has exactly one,
-    so a hot key spreads over its buckets and a left join needs no second pass. Intervals are cut to the
-    time that the key's rows cover, so an open end, whatever far date stands for it, makes no more buckets than there are days
-    of data, and a key without rows none. ``cover_of`` is a frame with the same keys and times, or more, that is
-    cheaper to read than ``left``: the log that it was made from.
-    """
-    if cover_of is None:
-        cover_of = left = once(left)  # read for its rows and for what they cover
-    clock = Clock.of(left, time)
-    right_clock = Clock.of(right, start)
-    at = clock.axis(time)
-    cover = cover_of.groupBy(*[F.col(k).alias(f"__c_{k}") for k in keys]).agg(F.min(at).alias("__from"), F.max(at).alias("__to"))
-    known = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__c_{k}") for k in keys])
-    begins, ends = right_clock.axis(start), right_clock.axis(end)
-    first = clock.bucket(F.greatest(begins, F.col("__from")), bucket_minutes)
-    last = clock.bucket(F.least(ends, F.col("__to")), bucket_minutes)
-    spans = (
-        right.filter(F.col(start) <= F.col(end))
-        .join(cover, known & (begins <= F.col("__to")) & (ends >= F.col("__from")))
-        .select(
-            *[F.col(k).alias(f"__r_{k}") for k in keys],
-            F.col(start).alias("__start"),
-            F.col(end).alias("__end"),
-            F.struct(*right_columns).alias("__in"),
-            F.explode(F.sequence(first, last)).alias("__r_bucket"),
-        )
-    )
-    rows = left.withColumn("__bucket", clock.bucket(clock.axis(time), bucket_minutes))
-    inside = (F.col(time) >= F.col("__start")) & (
-        F.col(time) < F.col("__end") if closed == "left" else F.col(time) <= F.col("__end")
-    )
-    on = inside & (F.col("__bucket") == F.col("__r_bucket"))
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"__r_{k}"))
-    return rows.join(spans, on, how).select(
-        *left.columns, *[F.col(f"__in.{c}").alias(c) for c in right_columns]
-    )
+    """Rows of ``left`` with the intervals of ``right`` that contain their time; see ``attach_intervals``."""
+    return attach_intervals(left, [Spans(right, start, end, right_columns, closed)], keys=keys, time=time, how=how)
 
 
 def split_by_interval(

@@ -17,6 +17,19 @@ def bands(value: Column, steps: Sequence[tuple[str, float, int]], otherwise: int
     return out.when(value.isNull(), F.lit(None).cast("int")).otherwise(F.lit(otherwise))
 
 
+def first_match(text: Column, patterns: Sequence[tuple[str, str]]) -> Column:
+    """The tag of the first LIKE pattern of ``(pattern, tag)`` that the text matches, null if there is none."""
+    return F.coalesce(*[F.when(text.like(p), F.lit(tag)) for p, tag in patterns]) if patterns else F.lit(None).cast("string")
+
+
+def every_match(text: Column, patterns: Sequence[tuple[str, str]]) -> Column:
+    """The tags of all patterns that the text matches, each once, in the order of the table: one reading for all of them."""
+    by_tag: dict[str, Column] = {}
+    for p, tag in patterns:
+        by_tag[tag] = by_tag[tag] | text.like(p) if tag in by_tag else text.like(p)
+    return F.filter(F.array(*[F.when(hit, F.lit(tag)) for tag, hit in by_tag.items()]), lambda x: x.isNotNull())
+
+
 def weighted_flags(
     people: DataFrame,
     facts: DataFrame,

@@ -6,157 +6,144 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from curata.operators.rules import total, weighted_flags
 
-_ROOT = "notes/Progress Notes/Past History/Organ Systems/"
-_ONCOLOGY = _ROOT + "Hematology/Oncology (R)/"
-_METASTASES = _ONCOLOGY + "Cancer/Metastases/"
-_SITE = _ONCOLOGY + "Cancer/Cancer-Primary Site/"
-_BLOOD = _ONCOLOGY + "Cancer/Hematologic Malignancy/"
-_CHEMO = _ONCOLOGY + "Cancer Therapy/Chemotherapy/"
-_RADIATION = _ONCOLOGY + "Cancer Therapy/Radiation Therapy within past 6 months/"
-_GASTRO = _ROOT + "Gastrointestinal (R)/"
-_NEURO = _ROOT + "Neurologic/"
-_RENAL = _ROOT + "Renal  (R)/"
-_HEART = _ROOT + "Cardiovascular (R)/"
-_RHEUMATIC = _ROOT + "Rheumatic/"
-
 # Category, points and the history paths that count for it.
 CATEGORIES = {
     "mets6": (6, [
-        _METASTASES + "other",
-        _METASTASES + "brain",
-        _METASTASES + "carcinomatosis",
-        _METASTASES + "nodes",
-        _METASTASES + "lung",
-        _METASTASES + "intra-abdominal",
-        _METASTASES + "bone",
-        _METASTASES + "liver",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/other",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/brain",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/carcinomatosis",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/nodes",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/lung",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/intra-abdominal",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/bone",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Metastases/liver",
     ]),
-    "aids6": (6, [_ROOT + "Infectious Disease (R)/AIDS/AIDS"]),
+    "aids6": (6, ["notes/Progress Notes/Past History/Organ Systems/Infectious Disease (R)/AIDS/AIDS"]),
     "liver3": (3, [
-        _GASTRO + "Cirrhosis/UGI bleeding",
-        _GASTRO + "Cirrhosis/varices",
-        _GASTRO + "Cirrhosis/coma",
-        _GASTRO + "Cirrhosis/jaundice",
-        _GASTRO + "Cirrhosis/ascites",
-        _GASTRO + "Cirrhosis/encephalopathy",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/UGI bleeding",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/varices",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/coma",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/jaundice",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/ascites",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/encephalopathy",
     ]),
     "stroke2": (2, [
-        _NEURO + "Strokes/multiple/multiple",
-        _NEURO + "Strokes/stroke - remote",
-        _NEURO + "Strokes/stroke - within 5 years",
-        _NEURO + "Strokes/stroke - within 2 years",
-        _NEURO + "Strokes/stroke - date unknown",
-        _NEURO + "Strokes/stroke - within 6 months",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/Strokes/multiple/multiple",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/Strokes/stroke - remote",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/Strokes/stroke - within 5 years",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/Strokes/stroke - within 2 years",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/Strokes/stroke - date unknown",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/Strokes/stroke - within 6 months",
     ]),
     "renal2": (2, [
-        _RENAL + "Renal Insufficiency/renal insufficiency - creatinine 1-2",
-        _RENAL + "Renal Insufficiency/renal insufficiency - creatinine 3-4",
-        _RENAL + "Renal Insufficiency/renal insufficiency - creatinine > 5",
-        _RENAL + "Renal Insufficiency/renal insufficiency - baseline creatinine unknown",
-        _RENAL + "Renal Insufficiency/renal insufficiency - creatinine 4-5",
-        _RENAL + "Renal Insufficiency/renal insufficiency - creatinine 2-3",
-        _RENAL + "Renal Failure/renal failure - peritoneal dialysis",
-        _RENAL + "Renal Failure/renal failure- not currently dialyzed",
-        _RENAL + "Renal Failure/renal failure - hemodialysis",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Insufficiency/renal insufficiency - creatinine 1-2",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Insufficiency/renal insufficiency - creatinine 3-4",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Insufficiency/renal insufficiency - creatinine > 5",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Insufficiency/renal insufficiency - baseline creatinine unknown",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Insufficiency/renal insufficiency - creatinine 4-5",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Insufficiency/renal insufficiency - creatinine 2-3",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Failure/renal failure - peritoneal dialysis",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Failure/renal failure- not currently dialyzed",
+        "notes/Progress Notes/Past History/Organ Systems/Renal  (R)/Renal Failure/renal failure - hemodialysis",
     ]),
     "dm": (1, [
-        _ROOT + "Endocrine (R)/Insulin Dependent Diabetes/insulin dependent diabetes",
-        _ROOT + "Endocrine (R)/Non-Insulin Dependent Diabetes/non-medication dependent",
-        _ROOT + "Endocrine (R)/Non-Insulin Dependent Diabetes/medication dependent",
+        "notes/Progress Notes/Past History/Organ Systems/Endocrine (R)/Insulin Dependent Diabetes/insulin dependent diabetes",
+        "notes/Progress Notes/Past History/Organ Systems/Endocrine (R)/Non-Insulin Dependent Diabetes/non-medication dependent",
+        "notes/Progress Notes/Past History/Organ Systems/Endocrine (R)/Non-Insulin Dependent Diabetes/medication dependent",
     ]),
     "cancer2": (2, [
-        _CHEMO + "Anthracyclines (adriamycin, daunorubicin)",
-        _SITE + "bone",
-        _SITE + "stomach",
-        _SITE + "bile duct",
-        _SITE + "kidney",
-        _SITE + "unknown",
-        _RADIATION + "primary site",
-        _SITE + "breast",
-        _SITE + "uterus",
-        _RADIATION + "bone",
-        _SITE + "prostate",
-        _SITE + "liver",
-        _SITE + "pancreas - adenocarcinoma",
-        _SITE + "ovary",
-        _RADIATION + "other",
-        _SITE + "sarcoma",
-        _CHEMO + "chemotherapy within past mo.",
-        _SITE + "other",
-        _CHEMO + "Alkylating agents (bleomycin, cytoxan, cyclophos.)",
-        _SITE + "testes",
-        _SITE + "lung",
-        _SITE + "melanoma",
-        _RADIATION + "nodes",
-        _CHEMO + "BMT within past 12 mos.",
-        _CHEMO + "Cis-platinum",
-        _RADIATION + "liver",
-        _SITE + "head and neck",
-        _SITE + "esophagus",
-        _SITE + "bladder",
-        _CHEMO + "chemotherapy within past 6 mos.",
-        _RADIATION + "lung",
-        _SITE + "none",
-        _SITE + "pancreas - islet cell",
-        _SITE + "colon",
-        _RADIATION + "brain",
-        _CHEMO + "Vincristine",
-        _SITE + "brain",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/Anthracyclines (adriamycin, daunorubicin)",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/bone",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/stomach",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/bile duct",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/kidney",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/unknown",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/primary site",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/breast",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/uterus",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/bone",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/prostate",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/liver",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/pancreas - adenocarcinoma",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/ovary",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/other",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/sarcoma",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/chemotherapy within past mo.",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/other",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/Alkylating agents (bleomycin, cytoxan, cyclophos.)",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/testes",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/lung",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/melanoma",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/nodes",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/BMT within past 12 mos.",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/Cis-platinum",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/liver",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/head and neck",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/esophagus",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/bladder",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/chemotherapy within past 6 mos.",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/lung",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/none",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/pancreas - islet cell",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/colon",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Radiation Therapy within past 6 months/brain",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer Therapy/Chemotherapy/Vincristine",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Cancer-Primary Site/brain",
     ]),
     "leukemia2": (2, [
-        _BLOOD + "AML",
-        _BLOOD + "ALL",
-        _BLOOD + "CLL",
-        _BLOOD + "CML",
-        _BLOOD + "leukemia - other",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/AML",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/ALL",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/CLL",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/CML",
+        "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/leukemia - other",
     ]),
-    "lymphoma2": (2, [_BLOOD + "non-Hodgkins lymphoma", _BLOOD + "Hodgkins disease"]),
+    "lymphoma2": (2, ["notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/non-Hodgkins lymphoma", "notes/Progress Notes/Past History/Organ Systems/Hematology/Oncology (R)/Cancer/Hematologic Malignancy/Hodgkins disease"]),
     "mi1": (1, [
-        _HEART + "Myocardial Infarction/MI - within 5 years",
-        _HEART + "Myocardial Infarction/MI - remote",
-        _HEART + "Myocardial Infarction/MI - within 6 months",
-        _HEART + "Myocardial Infarction/MI - date unknown",
-        _HEART + "Myocardial Infarction/MI - within 2 years",
-        _HEART + "Myocardial Infarction/multiple/multiple",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Myocardial Infarction/MI - within 5 years",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Myocardial Infarction/MI - remote",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Myocardial Infarction/MI - within 6 months",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Myocardial Infarction/MI - date unknown",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Myocardial Infarction/MI - within 2 years",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Myocardial Infarction/multiple/multiple",
     ]),
     "chf1": (1, [
-        _HEART + "Congestive Heart Failure/CHF - class I",
-        _HEART + "Congestive Heart Failure/CHF - class II",
-        _HEART + "Congestive Heart Failure/CHF - severity unknown",
-        _HEART + "Congestive Heart Failure/CHF - class III",
-        _HEART + "Congestive Heart Failure/CHF",
-        _HEART + "Congestive Heart Failure/CHF - class IV",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Congestive Heart Failure/CHF - class I",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Congestive Heart Failure/CHF - class II",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Congestive Heart Failure/CHF - severity unknown",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Congestive Heart Failure/CHF - class III",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Congestive Heart Failure/CHF",
+        "notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Congestive Heart Failure/CHF - class IV",
     ]),
-    "pvd1": (1, [_HEART + "Peripheral Vascular Disease/peripheral vascular disease"]),
+    "pvd1": (1, ["notes/Progress Notes/Past History/Organ Systems/Cardiovascular (R)/Peripheral Vascular Disease/peripheral vascular disease"]),
     "tia1": (1, [
-        _NEURO + "TIA(s)/TIA(s) - within 6 months",
-        _NEURO + "TIA(s)/TIA(s) - within 2 years",
-        _NEURO + "TIA(s)/TIA(s) - remote",
-        _NEURO + "TIA(s)/TIA(s) - within 5 years",
-        _NEURO + "TIA(s)/multiple/multiple",
-        _NEURO + "TIA(s)/TIA(s) - date unknown",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/TIA(s)/TIA(s) - within 6 months",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/TIA(s)/TIA(s) - within 2 years",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/TIA(s)/TIA(s) - remote",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/TIA(s)/TIA(s) - within 5 years",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/TIA(s)/multiple/multiple",
+        "notes/Progress Notes/Past History/Organ Systems/Neurologic/TIA(s)/TIA(s) - date unknown",
     ]),
-    "dementia1": (1, [_NEURO + "Dementia/dementia"]),
+    "dementia1": (1, ["notes/Progress Notes/Past History/Organ Systems/Neurologic/Dementia/dementia"]),
     "copd1": (1, [
-        _ROOT + "Pulmonary/COPD/COPD  - no limitations",
-        _ROOT + "Pulmonary/COPD/COPD  - moderate",
-        _ROOT + "Pulmonary/COPD/COPD  - severe",
+        "notes/Progress Notes/Past History/Organ Systems/Pulmonary/COPD/COPD  - no limitations",
+        "notes/Progress Notes/Past History/Organ Systems/Pulmonary/COPD/COPD  - moderate",
+        "notes/Progress Notes/Past History/Organ Systems/Pulmonary/COPD/COPD  - severe",
     ]),
     "ctd1": (1, [
-        _RHEUMATIC + "SLE/SLE",
-        _RHEUMATIC + "Rheumatoid Arthritis/rheumatoid arthritis",
-        _RHEUMATIC + "Scleroderma/scleroderma",
-        _RHEUMATIC + "Vasculitis/vasculitis",
-        _RHEUMATIC + "Dermato/Polymyositis/dermatomyositis",
+        "notes/Progress Notes/Past History/Organ Systems/Rheumatic/SLE/SLE",
+        "notes/Progress Notes/Past History/Organ Systems/Rheumatic/Rheumatoid Arthritis/rheumatoid arthritis",
+        "notes/Progress Notes/Past History/Organ Systems/Rheumatic/Scleroderma/scleroderma",
+        "notes/Progress Notes/Past History/Organ Systems/Rheumatic/Vasculitis/vasculitis",
+        "notes/Progress Notes/Past History/Organ Systems/Rheumatic/Dermato/Polymyositis/dermatomyositis",
     ]),
     "pud1": (1, [
-        _GASTRO + "Peptic Ulcer Disease/peptic ulcer disease",
-        _GASTRO + "Peptic Ulcer Disease/peptic ulcer disease with h/o GI bleeding",
-        _GASTRO + "Peptic Ulcer Disease/hx GI bleeding/no",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Peptic Ulcer Disease/peptic ulcer disease",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Peptic Ulcer Disease/peptic ulcer disease with h/o GI bleeding",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Peptic Ulcer Disease/hx GI bleeding/no",
     ]),
     "liver1": (1, [
-        _GASTRO + "Cirrhosis/clinical diagnosis",
-        _GASTRO + "Cirrhosis/biopsy proven",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/clinical diagnosis",
+        "notes/Progress Notes/Past History/Organ Systems/Gastrointestinal (R)/Cirrhosis/biopsy proven",
     ]),
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from curata.operators.fills import carry_fill
 from curata.operators.intervals import interval_join
+from curata.operators.rules import every_match, first_match
 from curata.plans.weights import dosing_weight
 from curata.session import settle
 
@@ -83,24 +84,24 @@ class Drug:
     name last known before, else the next known one; other patients keep their names if these
     match ``plain_like``. ``units`` lists the names whose unit is certain; ``volume_names`` are in
     ml/hr and need an order (``orders``, found by ``order_like``) or have one strength
-    (``volume_rule``). ``never_fires`` names a unit that stands in the conversion rules but is selected by none.
+    (``volume_rule``). With ``any_unit`` every rate counts as it is charted, whatever its name says.
     """
 
     rate: str
     names_like: tuple[str, ...]
     not_rates: tuple[str, ...]
     not_rates_like: tuple[str, ...]
-    blank: str
-    known: Mapping[str, str]
-    known_like: Mapping[str, str]
-    imputed_like: tuple[str, ...]
     plain_like: tuple[str, ...]
-    units: Mapping[str, UnitRule]
-    volume_names: tuple[str, ...]
+    blank: str | None = None
+    known: Mapping[str, str] = field(default_factory=dict)
+    known_like: Mapping[str, str] = field(default_factory=dict)
+    imputed_like: tuple[str, ...] = ()
+    units: Mapping[str, UnitRule] = field(default_factory=dict)
+    volume_names: tuple[str, ...] = ()
     order_like: str | None = None
     orders: Sequence[Order] = field(default_factory=tuple)
     volume_rule: UnitRule | None = None
-    never_fires: Mapping[str, UnitRule] = field(default_factory=dict)
+    any_unit: bool = False
 
 
 # Drug names, texts that are no rate, units and order strengths as charted.
@@ -196,7 +197,6 @@ EPINEPHRINE = Drug(
         Order(ml_per_hour(8, 250), names=("EPINEPHrine 8 MG in 250 mL NS",)),
         Order(ml_per_hour(4, 250), pattern="%"),
     ),
-    never_fires={"EPINEPHrine(Adrenalin)STD 4 mg Sodium Chloride 0.9% 250 ml (mcg/min)": MCG_MIN},
 )
 
 DOPAMINE = Drug(
@@ -231,13 +231,23 @@ DOPAMINE = Drug(
     volume_rule=ml_per_hour(4, 250),
 )
 
-DOBUTAMINE_LIKE = ("%Dobutamine%", "%DOBUTamine%")
+DOBUTAMINE = Drug(
+    rate="rate_dobutamine",
+    names_like=("%Dobutamine%", "%DOBUTamine%"),
+    not_rates=("",),
+    not_rates_like=(),
+    plain_like=("%",),
+    any_unit=True,
+)
+VASOACTIVE = (NOREPINEPHRINE, EPINEPHRINE, DOPAMINE, DOBUTAMINE)
+
 PAYLOAD = ("infusionrate", "drugamount", "volumeoffluid", "patientweight")
 KEYS = ("infusiondrugid", "patientunitstayid", "infusionoffset", "drugname")
+STAY_DRUG = ("patientunitstayid", "drug")
 
 
 def like_any(column: Column, patterns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [column.like(p) for p in patterns])
+    return reduce(lambda a, b: a | b, [column.like(p) for p in patterns], F.lit(False))
 
 
 def four_digits(rate: Column) -> Column:
@@ -245,38 +255,49 @@ def four_digits(rate: Column) -> Column:
     return F.round(rate.cast("decimal(38, 9)"), 4).cast("double")
 
 
-def numeric_rates(infusions: DataFrame, drug: Drug) -> DataFrame:
-    """The drug's rows with a charted rate; the text is read after its sentinels are out."""
-    rate = F.col("drugrate")
-    kept = like_any(F.col("drugname"), drug.names_like) & ~rate.isin(*drug.not_rates)
-    for pattern in drug.not_rates_like:
-        kept = kept & ~rate.like(pattern)
-    return infusions.filter(kept).select(*KEYS, rate.try_cast("double").alias("drugrate"), *PAYLOAD)
+def by_drug(drugs: Sequence[Drug], rule: Callable[[Drug], Column]) -> Column:
+    """What the rule says for the row's drug."""
+    return F.coalesce(*[F.when(F.col("drug") == d.rate, rule(d)) for d in drugs])
 
 
-def named_units(rates: DataFrame, drug: Drug, chunk_minutes: float = 1440) -> DataFrame:
+def numeric_rates(infusions: DataFrame, drugs: Sequence[Drug]) -> DataFrame:
+    """Rows of the drugs with a charted rate, tagged with their ``drug``; the text is read after its sentinels are out.
+
+    The log is read once for all drugs: one expression tags a row, another tells whether its rate is one for that drug.
+    """
+    name, rate = F.col("drugname"), F.col("drugrate")
+    patterns = [(p, d.rate) for d in drugs for p in d.names_like]
+    tagged = infusions.withColumn("drug", F.explode(every_match(name, patterns)))
+
+    def charted(d: Drug) -> Column:
+        return reduce(lambda a, p: a & ~rate.like(p), d.not_rates_like, ~rate.isin(*d.not_rates))
+
+    return tagged.filter(by_drug(drugs, charted)).select("drug", *KEYS, rate.try_cast("double").alias("drugrate"), *PAYLOAD)
+
+
+def named_units(rates: DataFrame, drugs: Sequence[Drug], chunk_minutes: float = 1440) -> DataFrame:
     """Rows with the name whose unit applies, blanks filled from their neighbours in time."""
     name = F.col("drugname")
-    blank_stays = rates.filter(name == drug.blank).select(
-        F.col("patientunitstayid").alias("__stay"), F.lit(True).alias("__blank")
-    ).distinct()
-
-    code = F.lit(None).cast("string")
-    for pattern, decoded in drug.known_like.items():
-        code = F.when(name.like(pattern), F.lit(decoded)).otherwise(code)
-    for text, decoded in drug.known.items():
-        code = F.when(name == text, F.lit(decoded)).otherwise(code)
+    is_blank = by_drug(drugs, lambda d: F.lit(False) if d.blank is None else name == d.blank)
+    blanks = rates.filter(is_blank).select(*[F.col(c).alias(f"__{c}") for c in STAY_DRUG], F.lit(True).alias("__blank")).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__{c}") for c in STAY_DRUG])
+
+    def code(d: Drug) -> Column:
+        listed = [F.when(name == text, F.lit(unit)) for text, unit in d.known.items()]
+        return F.coalesce(*listed, first_match(name, list(d.known_like.items())))
+
     blank = F.col("__blank").isNotNull()
+    wanted = by_drug(drugs, lambda d: (blank & like_any(name, d.imputed_like)) | (~blank & like_any(name, d.plain_like)))
     coded = (
-        rates.join(blank_stays, F.col("patientunitstayid") == F.col("__stay"), "left")
-        .filter((blank & like_any(name, drug.imputed_like)) | (~blank & like_any(name, drug.plain_like)))
-        .withColumn("__code", F.when(blank, code))
+        rates.join(blanks, same, "left")
+        .filter(wanted)
+        .withColumn("__code", F.when(blank, by_drug(drugs, code)))
         .withColumn("__unknown", F.when(F.col("__code").isNull(), 1).otherwise(0))
     )
     # At one instant the known rows come first, so an unknown one sees them.
     filled = carry_fill(
         coded,
-        keys=["patientunitstayid"],
+        keys=list(STAY_DRUG),
         order=["infusionoffset", "__unknown", "infusiondrugid"],
         chunk=F.floor(F.col("infusionoffset") / F.lit(chunk_minutes)).cast("long"),
         columns={"__code": "__name"},
@@ -284,51 +305,61 @@ def named_units(rates: DataFrame, drug: Drug, chunk_minutes: float = 1440) -> Da
     return filled.withColumn("drugname", F.when(blank, F.col("__name")).otherwise(name)).select(*rates.columns)
 
 
-def infusion_rates(
-    infusions: DataFrame, weights: DataFrame, drug: Drug, orders: DataFrame | None = None, chunk_minutes: float = 1440
+def rates_of(
+    infusions: DataFrame, weights: DataFrame, drugs: Sequence[Drug], orders: DataFrame | None = None, chunk_minutes: float = 1440
 ) -> DataFrame:
-    """One drug's infusions with their rate in mcg/kg/min, rounded to 4 digits."""
-    given = named_units(settle(numeric_rates(infusions, drug)), drug, chunk_minutes)
+    """Distinct infusions of the drugs, tagged, with ``rate`` in mcg/kg/min rounded to 4 digits, from one reading of the log.
+
+    ``orders`` is needed if a drug has volumes whose strength an order tells.
+    """
+    given = named_units(settle(numeric_rates(infusions, drugs)), drugs, chunk_minutes)
     weighed = given.join(
         weights.select("patientunitstayid", dosing_weight().alias("__w")), "patientunitstayid", "left"
     ).withColumn("__w", F.coalesce("__w", F.lit(80)))
     name, rate, weight = F.col("drugname"), F.col("drugrate"), F.col("__w")
 
-    certain = convert_rates(name, rate, weight, drug.units)
-    out = [*KEYS, drug.rate, *PAYLOAD]
-    is_volume = name.isin(*drug.volume_names)
-    listed = weighed.filter(name.isin(*drug.units) | is_volume)
-    if drug.volume_rule is not None:
-        value = F.when(is_volume, drug.volume_rule.convert(rate, weight)).otherwise(certain)
-        rated = listed.withColumn(drug.rate, value)
-    else:
+    is_volume = by_drug(drugs, lambda d: name.isin(*d.volume_names) if d.volume_names else F.lit(False))
+    listed = weighed.filter(by_drug(drugs, lambda d: F.lit(True) if d.any_unit else name.isin(*d.units)) | is_volume)
+    ordered = [d for d in drugs if d.orders]
+    by_order = is_volume & F.col("drug").isin(*[d.rate for d in ordered])
+    if ordered:
         # Only rows in ml/hr look for an order: the others have no time to match on.
-        active = orders.filter(
-            (F.col("drugordercancelled") == "No") & F.col("drugname").like(drug.order_like)
-        ).select(
-            "patientunitstayid", "drugstartoffset", "drugstopoffset", F.col("drugname").alias("__order"), "dosage",
-            F.lit(True).alias("__active"),
+        active = orders.filter(F.col("drugordercancelled") == "No")
+        active = active.withColumn("drug", F.explode(every_match(F.col("drugname"), [(d.order_like, d.rate) for d in ordered])))
+        active = active.select(
+            *STAY_DRUG, "drugstartoffset", "drugstopoffset", F.col("drugname").alias("__order"), "dosage", F.lit(True).alias("__active")
         )
-        running = interval_join(
-            listed.withColumn("__at", F.when(is_volume, F.col("infusionoffset"))),
+        listed = interval_join(
+            listed.withColumn("__at", F.when(by_order, F.col("infusionoffset"))),
             active,
-            keys=["patientunitstayid"],
+            keys=list(STAY_DRUG),
             time="__at",
             start="drugstartoffset",
             end="drugstopoffset",
             right_columns=["__order", "dosage", "__active"],
             how="left",
-            cover_of=infusions.withColumn("__at", F.col("infusionoffset")),
-        ).filter(~is_volume | F.col("__active"))
-        strength = F.lit(None).cast("double")
-        for o in reversed(drug.orders):
-            strength = F.when(o.matches(F.col("__order"), F.col("dosage")), o.value(rate, weight)).otherwise(strength)
-        rated = running.withColumn(drug.rate, F.when(is_volume, strength).otherwise(certain))
-    return rated.withColumn(drug.rate, four_digits(F.col(drug.rate))).select(*out).distinct()
+        ).filter(~by_order | F.col("__active"))
+
+    def strength(d: Drug) -> Column:
+        if d.volume_rule is not None:
+            return d.volume_rule.convert(rate, weight)
+        return F.coalesce(*[F.when(o.matches(F.col("__order"), F.col("dosage")), o.value(rate, weight)) for o in d.orders])
+
+    certain = by_drug(drugs, lambda d: rate if d.any_unit else convert_rates(name, rate, weight, d.units))
+    with_volumes = [d for d in drugs if d.volume_names]
+    value = F.when(is_volume, by_drug(with_volumes, strength)).otherwise(certain) if with_volumes else certain
+    return listed.withColumn("rate", four_digits(value)).select("drug", *KEYS, "rate", *PAYLOAD).distinct()
+
+
+def infusion_rates(
+    infusions: DataFrame, weights: DataFrame, drug: Drug, orders: DataFrame | None = None, chunk_minutes: float = 1440
+) -> DataFrame:
+    """One drug's infusions with their rate in a column of its name."""
+    rates = rates_of(infusions, weights, [drug], orders, chunk_minutes)
+    return rates.select(*KEYS, F.col("rate").alias(drug.rate), *PAYLOAD)
 
 
 def dobutamine_rates(infusions: DataFrame) -> DataFrame:
-    """Dobutamine counts at any rate, so units are not looked at."""
-    given = infusions.filter(like_any(F.col("drugname"), DOBUTAMINE_LIKE) & (F.col("drugrate") != ""))
-    rate = four_digits(F.col("drugrate").try_cast("double"))
-    return given.select(*KEYS, rate.alias("rate_dobutamine"), *PAYLOAD)
+    """Dobutamine counts at any rate, so neither weights nor orders are looked at; rows stay as they are charted."""
+    given = numeric_rates(infusions, [DOBUTAMINE])
+    return given.select(*KEYS, four_digits(F.col("drugrate")).alias(DOBUTAMINE.rate), *PAYLOAD)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from curata.operators import pick
-from curata.operators.intervals import fuzzy_bounds, interval_join
+from curata.operators.intervals import Spans, attach_intervals, fuzzy_bounds
 from curata.operators.pivot import Measure, Range, known_items, pivot_measures, valid_rows
 
 # Item ids of the timestamped source, the column each feeds and its upper bound.
@@ -103,11 +103,10 @@ def timed_labs(lab_events: DataFrame, icu_stays: DataFrame, admissions: DataFram
         "valuenum",
         TIMED_LABS,
     )
-    within = dict(keys=["subject_id"], time="charttime", start="data_start", end="data_end", closed="left", cover_of=lab_events)
     hospital = fuzzy_bounds(admissions, subject="subject_id", stay="hadm_id", start="admittime", end="dischtime")
     unit = fuzzy_bounds(icu_stays, subject="subject_id", stay="icustay_id", start="intime", end="outtime")
-    tagged = interval_join(wide, hospital, right_columns=["hadm_id"], **within)
-    tagged = interval_join(tagged, unit, right_columns=["icustay_id"], **within)
+    stays = [Spans(hospital, "data_start", "data_end", ["hadm_id"], "left"), Spans(unit, "data_start", "data_end", ["icustay_id"], "left")]
+    tagged = attach_intervals(wide, stays, keys=["subject_id"], time="charttime")
     return tagged.select("icustay_id", "hadm_id", *wide.columns)
 
 

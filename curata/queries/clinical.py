@@ -190,7 +190,7 @@ def _unit_sql(drug: infusions.Drug) -> str:
     return f"case drugname {' '.join(arms)} end"
 
 
-def _infusion_sql(name: str, drug: infusions.Drug) -> str:
+def _infusion_sql(drug: infusions.Drug) -> str:
     likes = " or ".join(f"drugname like {_text(p)}" for p in drug.names_like)
     not_in = ", ".join(_text(x) for x in drug.not_rates)
     not_like = " ".join(f"and drugrate not like {_text(p)}" for p in drug.not_rates_like)
@@ -199,7 +199,7 @@ def _infusion_sql(name: str, drug: infusions.Drug) -> str:
     imputed = " or ".join(f"drugname like {_text(p)}" for p in drug.imputed_like)
     plain = " or ".join(f"drugname like {_text(p)}" for p in drug.plain_like)
     volume = ", ".join(_text(v) for v in drug.volume_names)
-    tables = [f"{name}_infusions", "user_weights"] + ([f"{name}_orders"] if drug.order_like else [])
+    tables = ["infusion_log", "user_weights"] + (["drug_orders"] if drug.order_like else [])
     if drug.order_like:
         arms = []
         for o in drug.orders:
@@ -211,14 +211,14 @@ def _infusion_sql(name: str, drug: infusions.Drug) -> str:
             arms.append(f"when {test} then {o.constant if o.rule is None else f'{o.rule.factor} * r / (60 * w)'}")
         vol = f"""select distinct i.infusiondrugid, i.patientunitstayid, infusionoffset, i.drugname, case {' '.join(arms)} end as rate,
    infusionrate, drugamount, volumeoffluid, patientweight
- from g i join {name}_orders m on m.patientunitstayid = i.patientunitstayid and m.drugordercancelled = 'No'
+ from g i join drug_orders m on m.patientunitstayid = i.patientunitstayid and m.drugordercancelled = 'No'
   and m.drugname like {_text(drug.order_like)} and infusionoffset between drugstartoffset and drugstopoffset
  where i.drugname in ({volume})"""
     else:
         vol = f"""select infusiondrugid, patientunitstayid, infusionoffset, drugname, {drug.volume_rule.factor} * r / (60 * w),
    infusionrate, drugamount, volumeoffluid, patientweight from g where drugname in ({volume})"""
     return f"""with {ctes(*tables)},
-i0 as (select * exclude (drugrate), try_cast(drugrate as double) as r from {name}_infusions
+i0 as (select * exclude (drugrate), try_cast(drugrate as double) as r from infusion_log
        where ({likes}) and drugrate not in ({not_in}) {not_like}),
 bl as (select distinct patientunitstayid from i0 where drugname = {_text(drug.blank)}),
 c as (select i0.*, case {known} end as code from i0 semi join bl using (patientunitstayid) where {imputed}),
@@ -238,33 +238,48 @@ select distinct infusiondrugid, patientunitstayid, infusionoffset, drugname, cas
   infusionrate, drugamount, volumeoffluid, patientweight from u"""
 
 
-def _infusions(t: Tables, name: str, drug: infusions.Drug) -> DataFrame:
+def _infusions(t: Tables, drug: infusions.Drug) -> DataFrame:
     cleaned = weights.clean_weights(derived(t, "user_weights"))
-    orders = derived(t, f"{name}_orders") if drug.order_like else None
-    return infusions.infusion_rates(derived(t, f"{name}_infusions"), cleaned, drug, orders)
+    orders = derived(t, "drug_orders") if drug.order_like else None
+    return infusions.infusion_rates(derived(t, "infusion_log"), cleaned, drug, orders)
 
 
-@query(_infusion_sql("norepinephrine", infusions.NOREPINEPHRINE))
+@query(_infusion_sql(infusions.NOREPINEPHRINE))
 def norepinephrine_rates(t: Tables) -> DataFrame:
-    return _infusions(t, "norepinephrine", infusions.NOREPINEPHRINE)
+    return _infusions(t, infusions.NOREPINEPHRINE)
 
 
-@query(_infusion_sql("epinephrine", infusions.EPINEPHRINE))
+@query(_infusion_sql(infusions.EPINEPHRINE))
 def epinephrine_rates(t: Tables) -> DataFrame:
-    return _infusions(t, "epinephrine", infusions.EPINEPHRINE)
+    return _infusions(t, infusions.EPINEPHRINE)
 
 
-@query(_infusion_sql("dopamine", infusions.DOPAMINE))
+@query(_infusion_sql(infusions.DOPAMINE))
 def dopamine_rates(t: Tables) -> DataFrame:
-    return _infusions(t, "dopamine", infusions.DOPAMINE)
+    return _infusions(t, infusions.DOPAMINE)
 
 
-@query(f"""with {ctes('dobutamine_infusions')}
+@query(f"""with {ctes('infusion_log')}
 select infusiondrugid, patientunitstayid, infusionoffset, drugname, cast(round(cast(try_cast(drugrate as double) as decimal(38, 9)), 4) as double) as rate_dobutamine,
-  infusionrate, drugamount, volumeoffluid, patientweight from dobutamine_infusions
+  infusionrate, drugamount, volumeoffluid, patientweight from infusion_log
 where (drugname like '%Dobutamine%' or drugname like '%DOBUTamine%') and drugrate <> ''""")
 def dobutamine_rates(t: Tables) -> DataFrame:
-    return infusions.dobutamine_rates(derived(t, "dobutamine_infusions"))
+    return infusions.dobutamine_rates(derived(t, "infusion_log"))
+
+
+def _nested(name: str) -> str:
+    from curata.queries.registry import SQL
+
+    return SQL[name]
+
+
+@query(" union all ".join(
+    f"""select '{d.rate}' as drug, infusiondrugid, patientunitstayid, infusionoffset, drugname, {d.rate} as rate, infusionrate, drugamount, volumeoffluid,
+  patientweight from ({_nested(d.rate.removeprefix('rate_') + '_rates')})""" for d in infusions.VASOACTIVE))
+def vasoactive_rates(t: Tables) -> DataFrame:
+    """The rates of all drugs from one reading of the log."""
+    cleaned = weights.clean_weights(derived(t, "user_weights"))
+    return infusions.rates_of(derived(t, "infusion_log"), cleaned, infusions.VASOACTIVE, derived(t, "drug_orders"))
 
 
 _ON = """cplitemvalue like 'Intubated%' or cplitemvalue in ('Ventilated - chronic dependency',
@@ -302,6 +317,15 @@ def ventilation_endpoints(t: Tables) -> DataFrame:
     return ventilation.ventilation_episodes(derived(t, "careplan"), derived(t, "unit_stays"), pairing="endpoints")
 
 
+@query(f"""with {ctes('careplan', 'unit_stays')}, {_VENT_STATES},
+n as (select *, lag(flag) over w as was, lead(flag) over w as next_flag from al window w as (partition by k order by at0, 1 - flag)),
+g as (select k, flag, at0 from n where (flag = 1 and was is distinct from 1) or (flag = 0 and next_flag is distinct from 0)),
+r as (select *, row_number() over (partition by k, flag order by at0 desc) as rn from g)
+select a.k as patientunitstayid, a.at0 as starttime, b.at0 as endtime from r a join r b on b.k = a.k and b.rn = a.rn and a.flag = 1 and b.flag = 0""")
+def ventilation_ranked(t: Tables) -> DataFrame:
+    return ventilation.ventilation_episodes(derived(t, "careplan"), derived(t, "unit_stays"), pairing="ranks")
+
+
 def _severity_inputs(t: Tables) -> dict:
     return {
         "stays": derived(t, "unit_stays"),
@@ -311,21 +335,10 @@ def _severity_inputs(t: Tables) -> dict:
         "scores": derived(t, "coma_scores"),
         "labs": derived(t, "narrow_labs"),
         "urine": derived(t, "urine"),
-        "infusions": {
-            "rate_norepinephrine": norepinephrine_rates(t),
-            "rate_epinephrine": epinephrine_rates(t),
-            "rate_dopamine": dopamine_rates(t),
-            "rate_dobutamine": dobutamine_rates(t),
-        },
+        "infusions": vasoactive_rates(t),
     }
 
 
-def _nested(name: str) -> str:
-    from curata.queries.registry import SQL
-
-    return SQL[name]
-
-
 _SIGNALS = f"""
 sg as (select patientunitstayid as k, cast(ceil(observationoffset / 60.0) as bigint) as hr, min(map) as meanbp_min from bp0
        where map > 0 and map < 300 group by 1, 2),

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from curata.plans import comorbidity, infusions, labs, vitals
 from curata.queries.registry import Tables
+from curata.sources import tables
 
 BASE = ("events", "orders", "lineitem", "customer", "nation", "region", "part", "supplier")
 
@@ -88,30 +89,32 @@ select o_orderkey as patientunitstayid,
     else (o_custkey % 150) * 3.5e0 end as dischargeweight
 from {orders}"""
 
-_DRUGS = {
-    "norepinephrine": infusions.NOREPINEPHRINE,
-    "epinephrine": infusions.EPINEPHRINE,
-    "dopamine": infusions.DOPAMINE,
-}
-for _name, _drug in _DRUGS.items():
-    _names = [_drug.blank, *_drug.known, *_drug.units, *_drug.volume_names, "Saline"]
-    TABLES[f"{_name}_infusions"] = f"""
-select event_id as infusiondrugid, user_id as patientunitstayid, {MINUTES} - {MINUTES} % 30 as infusionoffset,
-  case when user_id % 3 > 0 and event_id % {len(_names)} = 0 then 'Saline'
-       else {choose('event_id', _names, text=True)} end as drugname,
+def _names(drug: infusions.Drug) -> str:
+    names = [drug.blank, *drug.known, *drug.units, *drug.volume_names, "Saline"]
+    return f"case when user_id % 3 > 0 and event_id % {len(names)} = 0 then 'Saline' else {choose('event_id', names, text=True)} end"
+
+
+# One log for all drugs: every event charts one row of each.
+TABLES["infusion_log"] = f"""
+select event_id * 8 + item as infusiondrugid, user_id as patientunitstayid, {MINUTES} - {MINUTES} % 30 as infusionoffset,
+  case item when 1 then {_names(infusions.NOREPINEPHRINE)} when 2 then {_names(infusions.EPINEPHRINE)} when 3 then {_names(infusions.DOPAMINE)}
+    else {choose('event_id', ['DOBUTamine STD 500 mg', 'Dobutamine (mcg/kg/min)', 'Saline'], text=True)} end as drugname,
   case event_id % 19 when 0 then 'OFF' when 1 then 'ERROR' when 2 then '' when 3 then 'UD' when 4 then '12,5'
        else cast(value as string) end as drugrate,
   cast(event_id % 7 as string) as infusionrate, cast(event_id % 5 as string) as drugamount,
   '250' as volumeoffluid, cast(user_id % 90 as string) as patientweight
-from {{events}}"""
-    _orders = [n for o in _drug.orders for n in o.names] + ["Norepinephrine drip", "Epinephrine drip"]
-    TABLES[f"{_name}_orders"] = f"""
-select user_id as patientunitstayid, {choose('event_id', _orders, text=True)} as drugname,
+from {{events}} {{per_item}} where item <= 4"""
+_ORDERED = {
+    d.rate: [n for o in d.orders for n in o.names] + ["Norepinephrine drip", "Epinephrine drip"]
+    for d in (infusions.NOREPINEPHRINE, infusions.EPINEPHRINE)
+}
+TABLES["drug_orders"] = f"""
+select user_id as patientunitstayid,
+  case item when 1 then {choose('event_id', _ORDERED['rate_norepinephrine'], text=True)} else {choose('event_id', _ORDERED['rate_epinephrine'], text=True)} end as drugname,
   {choose('event_id', ['4 MG', '8 MG', '16 MG', '2 MG'], text=True)} as dosage,
   case when event_id % 5 = 0 then 'Yes' else 'No' end as drugordercancelled,
   {MINUTES} as drugstartoffset, {MINUTES} + 2880 as drugstopoffset
-from {{events}} where event_type = 'signup'"""
-TABLES["dobutamine_infusions"] = TABLES["dopamine_infusions"].replace("'Saline'", "'DOBUTamine STD 500 mg'")
+from {{events}} {{per_item}} where event_type = 'signup' and item <= 2"""
 TABLES["user_weights"] = """
 select user_id as patientunitstayid, case when user_id % 5 = 0 then null else 50.0e0 + user_id % 60 end as admissionweight,
   case when user_id % 7 = 0 then null else 52.0e0 + user_id % 50 end as dischargeweight
@@ -268,7 +271,7 @@ def derived(t: Tables, name: str) -> DataFrame:
     text = TABLES[name]
     used = {b: getattr(t, b) for b in BASE if "{" + b + "}" in text}
     text = text.format(**SPARK_WORDS, **{b: "{" + b + "}" for b in BASE})
-    return t.spark.sql(text, **used)
+    return tables.query(t.spark, text, **used)
 
 
 def ctes(*names: str) -> str:

@@ -233,7 +233,6 @@ def assign_to_stay(t: Tables) -> DataFrame:
         end="data_end",
         closed="left",
         right_columns=["stay"],
-        bucket_minutes=10 * DAY,
     )
 
 
@@ -302,6 +301,18 @@ def episodes_endpoint_pairing(t: Tables) -> DataFrame:
     return episodes.paired_endpoints(s, ["user_id"], "ts", ["ts", "event_id"], event_chunk(s), "flag")
 
 
+RANK_SQL = """n as (select *, lag(flag) over w as was, lead(flag) over w as next_flag from s window w as (partition by user_id order by ts, event_id)),
+g as (select user_id, flag, ts, event_id from n where (flag = 1 and was is distinct from 1) or (flag = 0 and next_flag is distinct from 0)),
+k as (select *, row_number() over (partition by user_id, flag order by ts desc, event_id desc) as rn from g)
+select a.user_id, a.ts as start, b.ts as "end" from k a join k b on b.user_id = a.user_id and b.rn = a.rn and a.flag = 1 and b.flag = 0"""
+
+
+@query(f"with {STATE_SQL}, {RANK_SQL}")
+def episodes_rank_pairing(t: Tables) -> DataFrame:
+    s = states(t)
+    return episodes.ranked_endpoints(s, ["user_id"], "ts", ["ts", "event_id"], event_chunk(s), "flag")
+
+
 @query(f"""with {STATE_SQL}
 select user_id, ts, event_id, flag, flag - lag(flag) over (partition by user_id order by ts, event_id) as change from s""")
 def state_change_detection(t: Tables) -> DataFrame:

@@ -68,15 +68,32 @@ def report_sink(t: Tables) -> DataFrame:
 
 
 @query("""
-select 'same' as pair, true as equal union all select 'reordered', false union all select 'other', false
+select 'customer' as source, c_custkey as key, c_name as name, c_acctbal as balance, c_nationkey as nation from customer
+union all select 'supplier', s_suppkey, s_name, s_acctbal, s_nationkey from supplier
 """)
-def schema_equality(t: Tables) -> DataFrame:
-    """Column lists that must be equal before a strict union, checked on given tables."""
-    pairs = {
-        "same": [t.orders, t.orders.filter("o_orderkey > 5")],
-        "reordered": [t.orders, t.orders.select(*reversed(t.orders.columns))],
-        "other": [t.orders, t.customer],
-    }
-    n = t.orders.groupBy().agg(F.count("*").alias("n"))
-    rows = [F.struct(F.lit(k).alias("pair"), F.lit(harmonise.same_schema(v)).alias("equal")) for k, v in pairs.items()]
-    return n.where("n >= 0").select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+def strict_union(t: Tables) -> DataFrame:
+    """Two tables whose column lists must be equal before they are stacked."""
+    names = ["key", "name", "balance", "nation"]
+    parts = [
+        harmonise.rename_by_lists(t.customer, ["c_custkey", "c_name", "c_acctbal", "c_nationkey"], names).select(F.lit("customer").alias("source"), *names),
+        harmonise.rename_by_lists(t.supplier, ["s_suppkey", "s_name", "s_acctbal", "s_nationkey"], names).select(F.lit("supplier").alias("source"), *names),
+    ]
+    return harmonise.harmonised_union(parts, strict=True)
+
+
+@query("""
+select o_orderstatus as first, cast(o_orderdate as date) as second, o_orderkey as third, o_totalprice as last from orders
+""")
+def moved_columns(t: Tables) -> DataFrame:
+    """Columns moved to their places, written, and read back by place: the names do not come along."""
+    slim = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderstatus")
+    moved = harmonise.move_columns(slim, {"o_totalprice": 3, "o_orderstatus": 0, "o_orderdate": 1})
+    path = f"{_folder(t)}/moved"
+    tables.write_csv(moved, path)
+    return tables.read_csv(t.spark, path, "first string, second date, third long, last double")
+
+
+@query("select o_orderkey, o_orderdate, o_totalprice from orders order by o_orderdate, o_orderkey limit 20")
+def first_rows(t: Tables) -> DataFrame:
+    """The head of a sorted table."""
+    return t.orders.select("o_orderkey", "o_orderdate", "o_totalprice").orderBy("o_orderdate", "o_orderkey").limit(20)

@@ -84,7 +84,7 @@ def stages() -> Iterator[None]:
     try:
         yield
     finally:
-        _tracked.remove(block)
+        _tracked[:] = [b for b in _tracked if b is not block]  # blocks of equal content are not the same block
         for spark, path in block:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -72,3 +72,31 @@ def test_aggregates_combine_before_their_shuffle(spark):
 
 def test_anti_join_is_not_null_aware(spark):
     assert "isNullAwareAntiJoin=true" not in plan(spark, "anti_filter")
+
+
+def test_the_rates_of_all_drugs_come_from_one_scan(spark):
+    from curata.plans import infusions
+    from curata.queries.derived import derived
+    from curata.queries.registry import Tables
+
+    log = derived(Tables(spark, FOLDER), "infusion_log")
+    rates = infusions.numeric_rates(log, infusions.VASOACTIVE)
+    assert rates._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+def test_covariate_values_move_once_per_key(spark):
+    """Of the exchanges of a wide attach, the one by key and chunk alone carries values."""
+    from curata.operators.nearest import attach_covariates
+    from curata.queries import final
+    from curata.queries.derived import derived
+    from curata.queries.registry import Tables
+
+    t = Tables(spark, FOLDER)
+    pairs = spark.createDataFrame([(1, 10, None)], "subject_id long, stay_id long, at timestamp_ntz")
+    members = [c for c in final.covariates("timed_a") if c.source != "severity"]
+    tables = {"vitals": derived(t, "cov_vitals"), "labs": derived(t, "cov_labs")}
+    wide = attach_covariates(pairs, "at", members, tables)
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "__chunk" in line]
+    assert len(members) == 41 and len(moved) == len({c.key for c in members}) == 2
+    assert text.count("FileScan parquet") == 2

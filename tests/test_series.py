@@ -156,15 +156,14 @@ def test_fuzzy_bounds(spark):
         }
 
 
-@pytest.mark.parametrize("bucket", [1, 45, 10000])
-def test_interval_join(spark, bucket):
+def test_interval_join(spark):
     rows = [(1, t, t) for t in range(0, 100, 5)] + [(2, 10, 10), (1, None, 999)]
     spans = [(1, 10, 30, "a"), (1, 30, 50, "b"), (1, 25, 35, "c"), (1, 60, 60, "d"), (1, 90, 80, "bad")]
     left = spark.createDataFrame(rows, "k long, t long, id long")
     right = spark.createDataFrame(spans, "k long, s long, e long, name string")
     for closed in ("both", "left"):
         got = intervals.interval_join(
-            left, right, keys=["k"], time="t", start="s", end="e", right_columns=["name"], closed=closed, bucket_minutes=bucket
+            left, right, keys=["k"], time="t", start="s", end="e", right_columns=["name"], closed=closed
         )
         want = []
         for k, t, i in rows:
@@ -173,6 +172,43 @@ def test_interval_join(spark, bucket):
         assert sorted(map(tuple, got.select("id", "name").collect()), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("wall", [False, True])
+@pytest.mark.parametrize("seed", range(3))
+def test_intervals_of_all_lengths_and_kinds(spark, wall, seed):
+    rng = random.Random(seed)
+
+    def moment(m):
+        return None if m is None else at(m) if wall else m
+
+    rows = [(rng.choice([1, 2, None]), rng.choice([None, *range(-50, 3000, 7)]), i) for i in range(150)]
+    a = [(rng.choice([1, 2, 3]), b, b + rng.choice([-1, 0, 1, 2, 60, 64, 1500, 10**7]), f"a{n}") for n, b in enumerate(rng.sample(range(-60, 3000), 12))]
+    b = [(rng.choice([1, 2]), s, s + rng.choice([0, 3, 300]), f"b{n}") for n, s in enumerate(rng.sample(range(0, 3000), 9))]
+    b += b[:1]
+    kind = "timestamp_ntz" if wall else "long"
+    left = spark.createDataFrame([(k, moment(t), i) for k, t, i in rows], f"k long, t {kind}, id long")
+    frames = [spark.createDataFrame([(k, moment(s), moment(e), n) for k, s, e, n in spans], f"k long, s {kind}, e {kind}, name{i} string") for i, spans in enumerate((a, b))]
+
+    def hits(k, t, spans, half):
+        found = [n for sk, s, e, n in spans if k is not None and t is not None and sk == k and s <= t and (t < e if half else t <= e)]
+        return found
+
+    kinds = [intervals.Spans(frames[0], "s", "e", ["name0"], "left"), intervals.Spans(frames[1], "s", "e", ["name1"])]
+    got = intervals.attach_intervals(left, kinds, keys=["k"], time="t").select("id", "name0", "name1")
+    want = [(i, x, y) for k, t, i in rows for x in hits(k, t, a, True) or [None] for y in hits(k, t, b, False) or [None]]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    inner = intervals.interval_join(left, frames[0], keys=["k"], time="t", start="s", end="e", right_columns=["name0"], closed="left", how="inner")
+    assert sorted((r.id, r.name0) for r in inner.collect()) == sorted((i, x) for k, t, i in rows for x in hits(k, t, a, True))
+    none = intervals.interval_join(left, frames[0].limit(0), keys=["k"], time="t", start="s", end="e", right_columns=["name0"])
+    assert none.where("name0 is not null").count() == 0 and none.count() == len(rows)
+
+
+def test_long_intervals_are_copied_twice_at_most(spark):
+    rows = [(1, 0, 5_000_000_000, "open"), (1, 7, 7, "point"), (1, 10, 20, "short"), (2, 63, 128, "x")]
+    spans = intervals.Spans(spark.createDataFrame(rows, "k long, s long, e long, name string"), "s", "e", ["name"])
+    copies = intervals._levelled([spans], ["k"], Clock(1, False)).groupBy("__in0.name").count().collect()
+    assert len(copies) == len(rows) and all(r["count"] <= 2 for r in copies)
+
+
 STATES = [
     ("p", 10, 1), ("p", 20, 1), ("p", 30, 0),
     ("q", 5, 0), ("q", 10, 1), ("q", 20, 0), ("q", 30, 1),
@@ -193,6 +229,9 @@ def test_runs_and_endpoints(spark, width):
     ]
     paired = episodes.paired_endpoints(states(spark), ["k"], "t", ["t"], chunk, "f")
     assert sorted(map(tuple, paired.collect())) == [("p", 10, 20), ("q", 10, 20)]
+    ranked = episodes.ranked_endpoints(states(spark), ["k"], "t", ["t"], chunk, "f")
+    # q: starts 10 and 30, ends 5 and 20, paired from the last
+    assert sorted(map(tuple, ranked.collect())) == [("p", 10, 30), ("q", 10, 5), ("q", 30, 20)]
     kept = episodes.from_first_on(states(spark), ["k"], ["t"], chunk, "f")
     assert sorted(r.t for r in kept.filter("k = 'q'").collect()) == [10, 20, 30]
     assert kept.filter("k = 'r'").count() == 0
