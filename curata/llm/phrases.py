@@ -36,6 +36,8 @@ TOP = 2000
 GROUP = 1 << 18
 #: Counters of a sketch, in ranges that are summed by themselves.
 SLOTS, RANGES = 1 << 23, 256
+#: Words of the corpus for which there is a range of suffixes, and suffixes a task counts before it sends them.
+PER_RANGE, HELD_LEAVES = 1 << 20, 1 << 20
 #: Bytes of text whose words are held at a time (a longer text is held alone), and distinct words a task remembers.
 HELD, REMEMBERED = 1 << 22, 1 << 18
 
@@ -71,8 +73,8 @@ class Words:
         return self.hashes
 
 
-def runs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[str, np.ndarray]]:
-    """Language and word numbers of portions of texts of that language; between portions ``words`` may be forgotten."""
+def runs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[str | None, np.ndarray | None]]:
+    """Language and word numbers of portions of texts of that language, and a pair of nothing before ``words`` are forgotten."""
     for batch in batches:
         for start, end in portions(pc.binary_length(batch.column(1)).to_pylist(), HELD):
             held: dict[str, list[int]] = {}
@@ -84,6 +86,7 @@ def runs(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[str,
                 if numbers:
                     yield lang, np.array(numbers, np.int64)
             if len(words.places) > REMEMBERED:
+                yield None, None  # what is numbered must be spelled now
                 words.forget()
 
 
@@ -146,6 +149,8 @@ def sketched(texts: DataFrame, known: Filter, lengths: range, least: int, slots:
         words, n = Words(), Counter()
         counters = np.zeros(slots, np.int32)
         for lang, numbers in runs(batches, words):
+            if numbers is None:
+                continue
             n[lang] += int((numbers != NO_WORD).sum())
             for k, (hashed, fits) in enumerate(known.runs(lang, numbers, words.hashed(), lengths.stop - 1), 1):
                 if k in lengths:
@@ -182,36 +187,76 @@ def summed(sketches: DataFrame, least: int, slots: int, ranges: int) -> np.ndarr
     return out
 
 
-def suffixes(texts: DataFrame, known: Filter, longest: int) -> DataFrame:
-    """``lang, leaf, n``: the suffix that begins at each word, cut where ``known`` rules it out, words joined by spaces; every one once."""
+def suffixes(texts: DataFrame, known: Filter, longest: int, ranges: int) -> DataFrame:
+    """``lang, leaf, n``: the suffix that begins at each word, cut where ``known`` rules it out, words joined by spaces; every one once.
+
+    A task counts its suffixes in arrays and sends them in blocks, one for each range of their hashes; a range is summed from its blocks.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, held = Words(), {}
+
+        def spelled() -> Iterator[pa.RecordBatch]:
+            spelling = pa.array(list(words.places), pa.large_binary()).cast(pa.large_string())
+            for lang, parts in held.items():
+                leaf, n, first = distinct_rows(*(np.concatenate(x) for x in list(zip(*parts))[:2]))
+                where = (np.concatenate([p[2] for p in parts])[first] % np.uint64(ranges)).astype(np.int64)
+                order = np.argsort(where, kind="stable")
+                block, at = np.unique(where[order], return_index=True)
+                ends = pa.array(np.append(at, len(order)), pa.int32())
+                leaves = joined_words(leaf[order], spelling).cast(pa.string())
+                columns = [pa.array([lang] * len(block), pa.string()), pa.array(block, pa.int64()), pa.ListArray.from_arrays(ends, leaves), pa.ListArray.from_arrays(ends, pa.array(n[order]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "range", "leaves", "counts"])
+            held.clear()
+
         for lang, numbers in runs(batches, words):
+            if numbers is None or sum(len(p[1]) for parts in held.values() for p in parts) > HELD_LEAVES:
+                yield from spelled()
+            if numbers is None:
+                continue
             found = known.runs(lang, numbers, words.hashed(), longest)
-            _, begins = next(found)
+            hashed, begins = next(found)
             at = np.flatnonzero(begins)
             leaf = np.full((len(at), longest), NO_WORD, np.int32)
-            leaf[:, 0] = numbers[at]
-            for k, (_, fits) in enumerate(found, 1):
+            leaf[:, 0], last = numbers[at], hashed[at]
+            for k, (hashed, fits) in enumerate(found, 1):
                 on = fits[at]
                 leaf[on, k] = numbers[at[on] + k]
-            leaf, n = distinct_rows(leaf, np.ones(len(leaf), np.int64))
-            spelled = joined_words(leaf, pa.array(list(words.places), pa.large_binary()).cast(pa.large_string()))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(leaf), pa.string()), spelled.cast(pa.string()), pa.array(n)], names=["lang", "leaf", "n"])
+                last[on] = hashed[at[on]]
+            leaf, n, first = distinct_rows(leaf, np.ones(len(leaf), np.int64))
+            held.setdefault(lang, []).append((leaf, n, last[first]))
+        yield from spelled()
 
-    counted = texts.mapInArrow(work, "lang string, leaf string, n long")
-    return counted.groupBy("lang", "leaf").agg(F.sum("n").alias("n"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total = None, Counter()
 
+        def summed_up() -> pa.RecordBatch:
+            columns = [pa.array([x[0] for x in total], pa.string()), pa.array([x[1] for x in total], pa.string()), pa.array(list(total.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "leaf", "n"])
 
-def distinct_rows(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order, each once, with the sums of ``n``."""
+        for batch in batches:
+            for i, r in enumerate(batch.column(1).to_pylist()):
+                if r != current and total:
+                    yield summed_up()
+                    total.clear()
+                current, lang = r, batch.column(0)[i].as_py()
+                for leaf, n in zip(batch.column(2)[i].values.to_pylist(), batch.column(3)[i].values.to_pylist()):
+                    total[lang, leaf] += n
+        yield summed_up()
+
+    blocks = texts.mapInArrow(work, "lang string, range long, leaves array<string>, counts array<long>")
+    dealt = blocks.repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(add, "lang string, leaf string, n long")
+
+
+def distinct_rows(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in order, each once, with the sums of ``n`` and where a row was first."""
     if not len(rows):
-        return rows, n
+        return rows, n, np.zeros(0, np.int64)
     order = np.lexsort(rows.T[::-1])
     rows, n = rows[order], n[order]
     first = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])
-    return rows[first], np.add.reduceat(n, np.flatnonzero(first))
+    return rows[first], np.add.reduceat(n, np.flatnonzero(first)), order[first]
 
 
 def joined_words(rows: np.ndarray, words: pa.Array) -> pa.Array:
@@ -264,7 +309,7 @@ def subtree(table: pa.Table, least: int) -> pa.Table:
     rows = np.full((len(sizes), 1 + longest), NO_WORD, np.int64)
     rows[:, 0] = langs.indices.to_numpy()
     rows[:, 1:][np.arange(longest) < sizes[:, None]] = words.indices.to_numpy()
-    rows, n = distinct_rows(rows, table.column("n").to_numpy())
+    rows, n, _ = distinct_rows(rows, table.column("n").to_numpy())
     out, changed = [], np.zeros(len(rows), bool)
     changed[0] = True
     changed[1:] = rows[1:, 0] != rows[:-1, 0]
@@ -304,7 +349,8 @@ def frequent(
     if longest > 2:
         second = settle(sketched(texts, known, range(3, longest + 1), stop, slots, ranges))
         known = Filter(known.allowed[0], summed(second, stop, slots, ranges))
-    leaves = settle(suffixes(texts, known, longest))
+    n_words = sizes.agg(F.sum("n")).first()[0] or 0
+    leaves = settle(suffixes(texts, known, longest, max(RANGES, n_words // PER_RANGE)))
     grouped, above = partitioned(leaves, longest, group)
     nodes = grouped.groupBy("group").applyInArrow(lambda t: subtree(t, least), "lang string, phrase string, words int, n long")
     return settle(nodes.unionByName(above.where(F.col("n") >= least))), sizes

@@ -90,10 +90,27 @@ def test_all_nodes(spark):
     assert {r.lang: r.n for r in sizes.collect()} == {k: v for k, v in n.items() if v}
 
 
+def test_words_may_be_forgotten_and_leaves_sent_early(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "REMEMBERED", 3)
+    monkeypatch.setattr(phrases, "HELD", 200)
+    monkeypatch.setattr(phrases, "HELD_LEAVES", 20)
+    rows = made(80, 12)
+    docs = frame(spark, rows)
+    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    everything = phrases.Filter(np.ones(64, bool), np.ones(8, bool))
+    leaves = phrases.suffixes(texts, everything, 3, 4).collect()
+    f, n = brute_nodes(rows, 3)
+    assert len({(r.lang, r.leaf) for r in leaves}) == len(leaves)
+    for lang in n:
+        assert sum(r.n for r in leaves if r.lang == lang) == n[lang]
+    for (lang, *words), count in list(f.items())[:200]:
+        assert sum(r.n for r in leaves if r.lang == lang and r.leaf.split(" ")[: len(words)] == words) == count
+
+
 def test_groups_hold_twice_their_size_at_most(spark):
     rows = made(150, 6)
     texts = spark.createDataFrame([(x or "und", t or "") for x, t in rows], "lang string, text string")
-    leaves = phrases.settle(phrases.suffixes(texts, phrases.Filter(np.ones(64, bool), np.ones(8, bool)), 5))
+    leaves = phrases.settle(phrases.suffixes(texts, phrases.Filter(np.ones(64, bool), np.ones(8, bool)), 5, 3))
     grouped, above = phrases.partitioned(leaves, 5, 20)
     sizes = [r["count"] for r in grouped.groupBy("group").count().collect()]
     assert max(sizes) <= 40 and sum(sizes) == leaves.count()
