@@ -289,6 +289,32 @@ def group_test_p_values(t: Tables) -> DataFrame:
     return both.withColumn("p_value", rounded("p_value", 9))
 
 
+_RARE = {"rare": "c_custkey % 400 = 7", "rarer": "c_custkey % 700 = 3", "common": "c_custkey % 3 = 1", "debt": "c_acctbal < -990"}
+
+
+@query("""with r as (select * from customer where c_mktsegment in ('BUILDING', 'MACHINERY')),
+l as (""" + " union all ".join(f"select '{n}' as variable, c_mktsegment as g, {e} as v from r" for n, e in _RARE.items()) + """),
+c as (select variable, count(*) filter (not v and g = 'BUILDING')::double as a, count(*) filter (not v)::double as r,
+        count(*) filter (g = 'BUILDING')::double as c, count(*)::double as n, count(distinct v) as levels, count(distinct g) as strata from l group by 1),
+e as (select *, least(r, n - r) * least(c, n - c) / n as small, (levels - 1) * (strata - 1) as dof,
+        n * power(a * (n - r - c + a) - (r - a) * (c - a), 2) / nullif(r * (n - r) * c * (n - c), 0) as chi2 from c),
+h as (select variable, k, lgamma(r + 1) + lgamma(n - r + 1) + lgamma(c + 1) + lgamma(n - c + 1) - lgamma(n + 1)
+        - lgamma(k + 1) - lgamma(r - k + 1) - lgamma(c - k + 1) - lgamma(n - r - c + k + 1) as p, a
+      from (select *, unnest(range(greatest(0, r + c - n)::bigint, least(r, c)::bigint + 1)) as k from e where dof = 1)),
+f as (select variable, sum(exp(p)) filter (p <= own + 1e-7) as p from (select *, max(p) filter (k = a) over (partition by variable) as own from h) group by 1)
+select variable, case when dof = 1 and small < 5 then 'Fisher''s exact' else 'Chi-squared' end as test,
+  case when dof = 1 and small < 5 then round(least(f.p, 1), 6)
+    when dof = 1 then round(1 - erf_, 6) end as p_value
+from e left join f using (variable), lateral (select 2 / sqrt(pi()) * (select sum(power(-1, i) * exp((2 * i + 1) * ln(greatest(sqrt(chi2 / 2), 1e-300)) - lgamma(i + 1)) / (2 * i + 1))
+  from range(80) as t(i)) as erf_)
+""")
+def small_table_tests(t: Tables) -> DataFrame:
+    """Flags of customers against two market segments: rare ones get the exact test, and the name of the test stands in the row."""
+    two = t.customer.filter("c_mktsegment in ('BUILDING', 'MACHINERY')")
+    rows = two.select("c_mktsegment", *[F.expr(e).alias(n) for n, e in _RARE.items()])
+    return tableone.association(rows, "c_mktsegment", list(_RARE)).withColumn("p_value", rounded("p_value", 6))
+
+
 @query("""
 select 'o_orderkey' as variable, count(*) as "count", round(quantile_cont((1000000000 + o_orderkey)::double, 0.5), 4) as median,
   round(quantile_cont((1000000000 + o_orderkey)::double, 0.25), 4) as q1 from orders

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from curata.reports.quantiles import exact_quantiles, value_counts_in_order
 
+#: Expected rows in a cell of a two by two table below which it gets the exact test.
+SMALL = 5
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -65,7 +67,7 @@ def table_one(
         return out
     tested = []
     if categorical:
-        tested.append(chi_square(df, stratum, categorical).withColumn("test", F.lit("Chi-squared")))
+        tested.append(association(df, stratum, categorical))
     if numbers:
         tested.append(kruskal_wallis(df, stratum, numbers).withColumn("test", F.lit("Kruskal-Wallis")))
     values = [t.select("variable", "p_value", "test") for t in tested]
@@ -86,29 +88,87 @@ def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.join(exact_quantiles(long, ["variable"], "value", QUARTILES).drop("n"), "variable", "left")
 
 
+def _cells(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame:
+    """Counted cells with the totals of their row and column; the windows run over as many rows as there are levels and strata."""
+    long = unpivot(df.dropna(subset=[stratum]), [stratum], columns, "string").filter(F.col("value").isNotNull())
+    cells = long.groupBy("variable", stratum, "value").agg(F.count(F.lit(1)).alias("n"))
+    by_row, by_column = Window.partitionBy("variable", "value"), Window.partitionBy("variable", stratum)
+    n = F.col("n").cast("double")
+    return cells.select(
+        "variable", stratum, "value", n.alias("n"), F.sum(n).over(by_row).alias("__row"), F.sum(n).over(by_column).alias("__column")
+    )
+
+
+def _chi_square_of(cells: DataFrame, stratum: str, *more: Column) -> DataFrame:
+    return cells.groupBy("variable").agg(
+        (F.sum("n") * (F.sum(F.col("n") * F.col("n") / (F.col("__row") * F.col("__column"))) - F.lit(1.0))).alias("chi2"),
+        ((F.countDistinct("value") - 1) * (F.countDistinct(stratum) - 1)).alias("dof"),
+        *more,
+    )
+
+
 def chi_square(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame:
     """Pearson's chi-square of each categorical variable against the strata.
 
     Empty cells count with their expectation: the statistic is N (sum of n^2 / (row * column) - 1),
     which needs only the cells that occur.
     """
-    long = unpivot(df.dropna(subset=[stratum]), [stratum], columns, "string").filter(F.col("value").isNotNull())
-    cells = long.groupBy("variable", stratum, "value").agg(F.count(F.lit(1)).alias("n"))
-    # The windows run over counted cells, as many as there are levels and strata.
-    by_row, by_column = Window.partitionBy("variable", "value"), Window.partitionBy("variable", stratum)
-    n = F.col("n").cast("double")
-    parts = cells.select(
-        "variable",
-        stratum,
-        "value",
-        n.alias("n"),
-        (n * n / (F.sum(n).over(by_row) * F.sum(n).over(by_column))).alias("__part"),
+    return _chi_square_of(_cells(df, stratum, columns), stratum).withColumn("p_value", chi2_tail("chi2", "dof"))
+
+
+def association(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame:
+    """``variable, p_value, test`` of each categorical variable against the strata, the test chosen by the counts.
+
+    Two levels in two strata with fewer than ``SMALL`` rows expected in a cell get the exact test, all others chi-square.
+    """
+    cells = _cells(df, stratum, columns)
+    variable = Window.partitionBy("variable")
+    first = (F.col("value") == F.min("value").over(variable)) & (F.col(stratum) == F.min(stratum).over(variable))
+    marked = cells.withColumns(
+        {
+            "__a": F.when(first, F.col("n")).otherwise(0.0),
+            "__r": F.when(F.col("value") == F.min("value").over(variable), F.col("n")).otherwise(0.0),
+            "__c": F.when(F.col(stratum) == F.min(stratum).over(variable), F.col("n")).otherwise(0.0),
+        }
     )
-    tested = parts.groupBy("variable").agg(
-        (F.sum("n") * (F.sum("__part") - F.lit(1.0))).alias("chi2"),
-        ((F.countDistinct("value") - 1) * (F.countDistinct(stratum) - 1)).alias("dof"),
+    sums = [F.sum(f"__{x}").alias(x) for x in "arc"] + [F.sum("n").alias("all")]
+    least = (F.min("__row") * F.min("__column") / F.sum("n")).alias("least")
+    found = _chi_square_of(marked, stratum, *sums, least)
+    exact = (F.col("dof") == 1) & (F.col("least") < SMALL)
+    return found.select(
+        "variable",
+        F.when(exact, fisher_exact(*[F.col(x) for x in ("a", "r", "c", "all")])).otherwise(chi2_tail("chi2", "dof")).alias("p_value"),
+        F.when(exact, "Fisher's exact").otherwise("Chi-squared").alias("test"),
     )
-    return tested.withColumn("p_value", chi2_tail("chi2", "dof"))
+
+
+def fisher_exact(a: Column, row: Column, column: Column, everything: Column) -> Column:
+    """Two-sided exact probability of a two by two table with ``a`` in a cell of these totals: of all tables with the totals those
+    that are no likelier. Hypergeometric terms in logarithms, as many as the smaller total allows."""
+    rest = everything - row - column
+    fixed = sum((log_factorial(x) for x in (row, everything - row, column, everything - column)), -log_factorial(everything))
+
+    def of(k: Column, totals: Column) -> Column:
+        parts = (log_factorial(x) for x in (k, totals["row"] - k, totals["column"] - k, totals["rest"] + k))
+        return sum((-x for x in parts), totals["fixed"])
+
+    totals = F.struct(a.alias("a"), row.alias("row"), column.alias("column"), rest.alias("rest"), fixed.alias("fixed"))
+    tables = F.sequence(F.greatest(F.lit(0.0), -rest).cast("long"), F.least(row, column).cast("long"))
+
+    def summed(t: Column) -> Column:
+        limit = of(t["a"], t) + 1e-7
+        add = lambda total, k: total + F.when(of(k.cast("double"), t) <= limit, F.exp(of(k.cast("double"), t))).otherwise(0.0)
+        return F.least(F.aggregate(tables, F.lit(0.0), add), F.lit(1.0))
+
+    return F.transform(F.array(totals), summed)[0]  # the detour computes the totals once
+
+
+def log_factorial(n: Column) -> Column:
+    """Of whole numbers: exact up to 20, Stirling's series beyond."""
+    series = n * F.log(n) - n + 0.5 * F.log(2 * math.pi * n)
+    for power, factor in ((1, 1 / 12), (3, -1 / 360), (5, 1 / 1260), (7, -1 / 1680)):
+        series = series + factor / F.pow(n, F.lit(power))
+    return F.when(n <= 20, F.log(F.factorial(n.cast("int")))).otherwise(series)
 
 
 def kruskal_wallis(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame:

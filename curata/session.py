@@ -52,6 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _tracked: list[list[tuple[SparkSession, str]]] = []
 
 
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """The path of a new folder in the shared checkpoint folder; it goes at the end of the ``stages`` block it was named in."""
+    path = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    for block in _tracked:
+        block.append((spark, path))
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and go on from it.
 
@@ -60,10 +68,8 @@ def settle(df: DataFrame) -> DataFrame:
     until the folder is cleared, or until the end of the ``stages`` block it was written in.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    path = own_folder(spark, "settled")
     df.write.parquet(path)
-    for block in _tracked:
-        block.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -78,7 +84,7 @@ def once(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def stages() -> Iterator[None]:
-    """Drop the tables settled inside the block at its end; results must be written by then."""
+    """Drop the tables settled and the folders named inside the block at its end; results must be written by then."""
     block: list[tuple[SparkSession, str]] = []
     _tracked.append(block)
     try:

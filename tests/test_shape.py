@@ -196,3 +196,22 @@ def test_table_one_with_tests(spark):
     assert (n.n, n.missing, n.median, n.test) == (1, 1, 3.0, "Kruskal-Wallis") and 0 < n.p_value < 1
     c = got["c", "x", "g"]
     assert (c.n, c.missing, c.pct, c.test) == (1, 1, 100.0, "Chi-squared")
+
+
+def test_config_is_checked_as_data(spark):
+    from curata.operators import config, nearest
+
+    a = spark.createDataFrame([], "k long, t timestamp_ntz, m int, v double")
+    lines = [
+        ("x", "v", "good", -1.0, 1.0, "a", "k", "t"), ("x", "v", "point", 0.0, 0.0, "a", "k", "t"), ("x", "w", "a", -1.0, 1.0, "a", "k", "t"),
+        ("x", "v", "b", 2.0, 1.0, "a", "kk", "m"), (None, "v", None, None, None, None, None, None), ("y", "v", "c", 0.0, 1.0, "a", "k", "tt"),
+    ]
+    df = spark.createDataFrame(lines, nearest.CONFIG_SCHEMA)
+    found = config.checked(df, {"a": a}, a.schema["t"].dataType)
+    assert [c.name for c in config.covariates(found)] == ["x_good", "x_point"]
+    got = {(r.name, r.reason) for r in config.findings(found).collect()}
+    assert got == {
+        ("x_a", "unknown column"), ("x_b", "reversed window"), ("x_b", "unknown key"), ("x_b", "time on another clock"),
+        ("", "unknown source"), ("", "no window"), ("", "no name"), ("y_c", "unknown time"),
+    }
+    assert config.covariates(config.checked(df.limit(0), {"a": a}, a.schema["t"].dataType)) == []

@@ -67,3 +67,33 @@ def test_stages_leave_nothing_behind(spark):
         assert settle(spark.range(5)).count() == 5
         assert set(os.listdir(folder)) - before
     assert set(os.listdir(folder)) == before
+
+
+def exact_by_fractions(a, row, column, everything):
+    """Two-sided, with whole numbers."""
+    ways = {k: math.comb(column, k) * math.comb(everything - column, row - k) for k in range(max(0, row + column - everything), min(row, column) + 1)}
+    return sum(w for w in ways.values() if w <= ways[a]) / sum(ways.values())
+
+
+def test_exact_test(spark):
+    cases = [(3, 5, 4, 20), (0, 1, 3, 9), (1, 9, 11, 24), (0, 0, 3, 9), (2, 2, 2, 2), (0, 40, 30, 900), (30, 60, 31, 3000), (5, 10, 10, 20), (1, 3, 50_000, 100_000)]
+    df = spark.createDataFrame([tuple(map(float, c)) for c in cases], "a double, r double, c double, n double")
+    got = df.select("*", tableone.fisher_exact(*[F.col(x) for x in "arcn"]).alias("p")).collect()
+    for r in got:
+        assert r.p == pytest.approx(exact_by_fractions(int(r.a), int(r.r), int(r.c), int(r.n)), rel=1e-7), r
+
+
+def test_log_factorials(spark):
+    ns = [0, 1, 2, 20, 21, 50, 171, 10**4, 10**9]
+    got = spark.createDataFrame([(float(n),) for n in ns], "n double").select("n", tableone.log_factorial(F.col("n")).alias("f")).collect()
+    for r in got:
+        assert r.f == pytest.approx(math.lgamma(r.n + 1), rel=1e-13, abs=1e-12)
+
+
+def test_the_counts_choose_the_test(spark):
+    rows = [("x", i % 10 == 0, i % 2) for i in range(20)] + [("y", None, 1)] + [("y", i % 7 == 0, i % 2) for i in range(18)]
+    rows += [(None, True, 0)]
+    df = spark.createDataFrame(rows, "g string, rare boolean, half int").withColumn("same", F.lit("all"))
+    got = {r.variable: r for r in tableone.association(df, "g", ["rare", "half", "same"]).collect()}
+    assert got["rare"].test == "Fisher's exact" and got["half"].test == got["same"].test == "Chi-squared"
+    assert got["rare"].p_value == pytest.approx(exact_by_fractions(15, 33, 18, 38)) and got["same"].p_value is None
