@@ -210,7 +210,7 @@ def near_duplicates(
 
     Runs jobs while it is built. A row whose vector, label or key is null, or whose vector is empty, zero or holds null or non-finite components links with
     nothing and is its own component. Equal vectors of a label are linked and meet others as one class. Rows that
-    repeat a key count as vectors of their own with that key. Vectors of different lengths are not linked. An empty
+    repeat a key count as vectors of their own with that key, also if their vectors are unlike. Vectors of different lengths are not linked. An empty
     table gives an empty result; other columns are not looked at.
     """
     need(vectors, key, vector, label)
@@ -219,24 +219,26 @@ def near_duplicates(
     able = rows.withColumn("able", usable("vector", "label", "key")).select("*", *c)
     known = settle(able.select("key", "able", "c1", "c2"))
     classes = able.where("able").groupBy("c1", "c2").agg(
-        F.min("key").alias("rep"), F.count("*").alias("size"), F.first("label").alias("label"), F.first("vector").alias("vector")
+        F.min("key").alias("least"), F.count("*").alias("size"), F.first("label").alias("label"), F.first("vector").alias("vector")
     )
-    classes = settle(classes)
+    # A key may repeat with unlike vectors, so classes have numbers of their own, fixed by being written.
+    classes = settle(classes.withColumn("rep", F.monotonically_increasing_id()))
     found = settle(links(classes, learned(classes, sample), cosine=cosine))
     counts = found.where("n is not null").groupBy(F.col("a").alias("counted")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null").select("a", "b"))
-    summed = classes.select("c1", "c2", "rep", "size").join(counts, F.col("rep") == F.col("counted"), "left")
-    summed = summed.join(roots, F.col("rep") == F.col("node"), "left")
+    summed = classes.select("c1", "c2", "rep", "size", "least").join(counts, F.col("rep") == F.col("counted"), "left")
+    summed = settle(summed.join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep")))
+    least = settle(summed.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component")))  # written, so that a large component can be split
     summed = settle(
-        summed.select(
+        summed.join(least, F.col("root") == F.col("of")).select(
             F.col("c1").alias("d1"),
             F.col("c2").alias("d2"),
             (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("links"),
-            F.coalesce("root", "rep").alias("root"),
+            "component",
         )
     )
     out = known.join(summed, F.col("able") & (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")), "left")
-    component = F.coalesce("root", "key")
+    component = F.coalesce("component", "key")
     return out.select(
         F.col("key").alias(key),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),

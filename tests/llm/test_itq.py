@@ -85,6 +85,14 @@ def test_odd_rows(spark):
     assert itq.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_one_key_on_unlike_vectors(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(5, a, 0), (5, b, 0), (100, [1.0, 0.01, 0.0, 0.0], 0), (101, [0.01, 1.0, 0.0, 0.0], 0), (7, [0.0, 0.0, 1.0, 0.0], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(r) for r in itq.near_duplicates(frame).collect())
+    assert got == [(5, 1, 5, True), (5, 1, 5, True), (7, 0, 7, True), (100, 1, 5, False), (101, 1, 5, False)]
+
+
 def test_query_recall(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
