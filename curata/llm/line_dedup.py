@@ -14,15 +14,13 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from curata.llm.texts import free_name, need, whole_text
 from curata.session import settle
 
 LEAST = 50
 DIGEST = 16
-#: A null key sorts last.
-LAST = (1 << 63) - 1
 
 
 def sketch(text: str) -> tuple[bytes, list[int]]:
@@ -94,10 +92,12 @@ def merged(runs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
 def later_runs(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = LEAST) -> DataFrame:
     """``k, d, runs``: the runs of lines to delete, ``array<struct<first, last>>``, for documents that have any.
 
-    ``k`` is the key, null as the largest number, ``d`` a hash of the text. Documents are in the order of ``k, d``; rows equal in both are one document.
+    ``k`` is the place of the key: whether it is null, and the key, of any type that can be ordered; ``d`` is a hash of the text. Documents are in the
+    order of ``k, d``; rows equal in both are one document.
     """
     need(docs, text, key)
-    place, digest = _place(key).alias("k"), F.xxhash64(whole_text(text)).alias("d")
+    place, digest = _place(docs, key).alias("k"), F.xxhash64(whole_text(text)).alias("d")
+    kind = docs.select(place).schema["k"].dataType.simpleString()
     rows = docs.select(place, digest, whole_text(text).alias("t"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +112,7 @@ def later_runs(docs: DataFrame, *, text: str = "text", key: str = "doc_id", leas
             columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate([pa.binary(), ints, ints, pa.list_(pa.int64())])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["k", "d", "digests", "words", "at", "hashes"])
 
-    known = rows.mapInArrow(lines, "k long, d long, digests binary, words array<int>, at array<int>, hashes array<long>")
+    known = rows.mapInArrow(lines, f"k {kind}, d long, digests binary, words array<int>, at array<int>, hashes array<long>")
     known = settle(known.where(F.size("at") > 0).dropDuplicates(["k", "d"]))
     picked = known.select("k", "d", F.explode(F.arrays_zip("at", "hashes")).alias("p")).select("k", "d", "p.at", F.col("p.hashes").alias("hash"))
     shared = settle(picked.groupBy("hash").count().where("count > 1").select("hash"))
@@ -122,12 +122,12 @@ def later_runs(docs: DataFrame, *, text: str = "text", key: str = "doc_id", leas
         for batch in batches:
             for k, d, digests, words, at in zip(*(batch.column(i) for i in range(5))):
                 found = matched_windows(digests.as_py(), words.as_py(), at.as_py(), least)
-                columns = [pa.array([x.as_py()] * len(found), pa.int64()) for x in (k, d)]
+                columns = [pa.repeat(x, len(found)) for x in (k, d)]
                 columns += [pa.array([w[i] for w in found], kind) for i, kind in enumerate([pa.binary(), pa.int32(), pa.int32()])]
                 yield pa.RecordBatch.from_arrays(columns, names=["k", "d", "window", "first", "last"])
 
     near = known.join(places, ["k", "d"]).select("k", "d", "digests", "words", "places")
-    found = settle(near.mapInArrow(around, "k long, d long, window binary, first int, last int").distinct())
+    found = settle(near.mapInArrow(around, f"k {kind}, d long, window binary, first int, last int").distinct())
     firsts = found.groupBy("window").agg(F.min(F.struct("k", "d", "first", "last")).alias("source"), F.count("*").alias("n"))
     firsts = settle(firsts.where("n > 1").select("window", "source"))  # so that the join below can split a frequent window
     mine = F.struct("k", "d", "first", "last")
@@ -143,35 +143,38 @@ def later_runs(docs: DataFrame, *, text: str = "text", key: str = "doc_id", leas
             kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, kind)], names=["k", "d", "runs"])
 
-    return gathered.mapInArrow(joined, "k long, d long, runs array<struct<first: int, last: int>>")
+    return gathered.mapInArrow(joined, f"k {kind}, d long, runs array<struct<first: int, last: int>>")
 
 
-def _place(key: str) -> Column:
-    return F.coalesce(F.col(key).cast("long"), F.lit(LAST))
+def _place(docs: DataFrame, key: str) -> Column:
+    """Null keys are equal and come last, also in a join."""
+    kind = docs.schema[key].dataType
+    blank = {T.StringType(): F.lit(""), T.BinaryType(): F.lit(b"")}.get(kind, F.lit(0)).cast(kind)
+    return F.struct(F.col(key).isNull().alias("none"), F.coalesce(F.col(key), blank).alias("key"))
 
 
 def deduplicated(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = LEAST) -> DataFrame:
     """``docs`` with ``text`` rewritten, and ``n_lines, n_removed, removed`` (the deleted runs, as line numbers from 0).
 
-    Columns of ``docs`` that have one of the three names are replaced. Key and text hash order the documents: a null key comes last,
+    Columns of ``docs`` that have one of the three names, in whatever case, are replaced. Key and text hash order the documents: a null key comes last,
     rows equal in both are one document and lose nothing to each other. A null text stays null and has 0 lines; an empty one has one
     line; a document without ``least`` words keeps all lines, however often they occur. What repeats within one document, also
     overlapping itself, keeps its first occurrence. An empty table stays empty. Runs jobs while it is built. Texts move once, to
     meet the runs.
     """
     need(docs, text, key)
-    k, d = free_name("__k", docs), free_name("__d", docs)
-    runs = settle(later_runs(docs, text=text, key=key, least=least)).toDF(k, d, "__runs")
+    k, d, r = (free_name(x, docs) for x in ("__k", "__d", "__runs"))
+    runs = settle(later_runs(docs, text=text, key=key, least=least)).toDF(k, d, r)
     # said to Spark, because the runs grow with the texts: broadcast on small tables, they would not be on large ones
-    met = docs.join(runs.hint("merge"), (_place(key) == F.col(k)) & (F.xxhash64(whole_text(text)) == F.col(d)), "left")
+    met = docs.join(runs.hint("merge"), (_place(docs, key) == F.col(k)) & (F.xxhash64(whole_text(text)) == F.col(d)), "left")
     lines = F.split(docs[text], "\n", -1)
-    inside = lambda i: F.exists("__runs", lambda r: (r["first"] <= i) & (r["last"] >= i))
+    inside = lambda i: F.exists(r, lambda x: (x["first"] <= i) & (x["last"] >= i))
     rest = F.array_join(F.filter(lines, lambda _, i: ~inside(i)), "\n")
-    length = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    length = F.aggregate(r, F.lit(0), lambda n, x: n + x["last"] - x["first"] + 1)
     new = {
         "n_lines": F.when(docs[text].isNull(), 0).otherwise(F.char_length(docs[text]) - F.char_length(F.replace(docs[text], F.lit("\n"), F.lit(""))) + 1),
-        "n_removed": F.when(F.col("__runs").isNotNull(), length).otherwise(0),
-        "removed": F.coalesce(F.col("__runs"), F.array().cast("array<struct<first: int, last: int>>")),
+        "n_removed": F.when(F.col(r).isNotNull(), length).otherwise(0),
+        "removed": F.coalesce(F.col(r), F.array().cast("array<struct<first: int, last: int>>")),
     }
-    kept = [F.when(F.col("__runs").isNotNull(), rest).otherwise(docs[c]).alias(c) if c == text else docs[c] for c in docs.columns if c not in new]
+    kept = [F.when(F.col(r).isNotNull(), rest).otherwise(docs[c]).alias(c) if c == text else docs[c] for c in docs.columns if c.lower() not in new]
     return met.select(*kept, *[c.alias(n) for n, c in new.items()])

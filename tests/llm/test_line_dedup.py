@@ -80,6 +80,15 @@ def test_odd_rows(spark):
     assert line_dedup.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_text_keys_and_clashing_names(spark):
+    long = "a b c d e f\ng h"
+    docs = spark.createDataFrame([("b2", long), ("a1", long + "\nmore"), (None, long), ("", "x")], "doc_id string, text string")
+    docs = docs.withColumns({"__runs": F.lit(1), "Removed": F.lit("old"), "__d": F.lit(2)})
+    out = line_dedup.deduplicated(docs, least=6)
+    assert out.columns == ["doc_id", "text", "__runs", "__d", "n_lines", "n_removed", "removed"]
+    assert {(r.doc_id, r.text) for r in out.collect()} == {("a1", long + "\nmore"), ("b2", ""), (None, ""), ("", "x")}
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
