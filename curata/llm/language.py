@@ -337,10 +337,10 @@ def predicted(docs: DataFrame, model: Model, *, text: str = "text", pred: str =
 
     Only the text counts, all of it, and each row by itself: nothing moves. ``und`` with score 0 stands for a null or empty text, for
     one without a letter, and for all if the model knows no language; of equally likely languages the first by name is taken.
-    Columns of ``docs`` named like the two are replaced; an empty table stays empty.
+    Columns of ``docs`` named like the two, in whatever case, are replaced; an empty table stays empty.
     """
     need(docs, text)
-    kept = [f for f in docs.schema.fields if f.name not in (pred, score)]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in (pred.lower(), score.lower())]
     names = [f.name for f in kept]
     at = names.index(text)
     sent = docs.sparkSession.sparkContext.broadcast(model)
