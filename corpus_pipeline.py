@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curata.llm import language, line_dedup, mixing, pieces, simhash
 from curata.llm.contracts import piece_model_path
+from curata.llm.texts import free_name
 from curata.session import settle
 from curata.sources.tables import read_table
 
@@ -23,7 +24,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.learned(docs, piece_model_path())
     if not model.languages:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    pred, score = "lang_pred_", "lang_score_"
+    pred, score = free_name("lang_pred", docs), free_name("lang_score", docs)
     rows = language.predicted(docs, model, pred=pred, score=score)
     kept = rows.where((F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_SURE))
     return kept.withColumn("lang", F.coalesce("lang", pred)).select(*docs.columns)
@@ -37,17 +38,27 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, the one with the smallest key (a null key last); of rows equal in key and text one.
+
+    Null and empty texts have no shingle and so one fingerprint, and are copies of each other. An empty table stays empty.
+    """
     return simhash.representatives(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's rate takes them."""
+    """Documents as often as their source's rate takes them; a null source is a source.
+
+    Null and empty texts add no words, but are taken at their source's rate like any others; a source without words is left out. Rows
+    that repeat a key are drawn alike, very long texts as often as short ones. An empty table stays empty.
+    """
     return mixing.mixed(docs)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every document, with its digests; decoding gives the text back."""
+    """The ids of every document, with its digests; decoding gives the text back.
+
+    A null or empty text has no ids. Rows are taken as they come, repeated ones and very long texts too; an empty table stays empty.
+    """
     rows = pieces.encoded(docs, piece_model_path(), keep=["doc_id", "lang", "source"])
     digests = [c.alias(n) for n, c in pieces.digests(rows).items()]
     return rows.select("doc_id", "lang", "source", "ids", *digests)
