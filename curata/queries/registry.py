@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from curata.sources.tables import read_table
 
@@ -15,13 +16,16 @@ SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The tables of one folder, read on first use."""
+    """The tables of one folder; the files of a table are asked for its schema once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.schemas: dict[str, StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        rows = read_table(self.spark, self.folder, name, self.schemas.get(name))
+        self.schemas.setdefault(name, rows.schema)
+        return rows
 
 
 def query(sql: str | None = None):
