@@ -49,8 +49,9 @@ def table_one(
 
     One row per variable, level (null for numbers) and stratum with ``n`` known values (numbers) or rows of
     the level, ``missing`` values, ``pct`` or ``median`` [``q1``, ``q3``]; with ``tests`` also the p-value
-    of the variable and the test's name.
+    of the variable and the test's name. Rows without a stratum are in none.
     """
+    df = df.dropna(subset=[stratum])
     parts = []
     if numbers:
         described = describe_continuous(df, stratum, numbers).withColumn("n", F.col("rows") - F.col("missing")).drop("rows")

@@ -2,12 +2,13 @@
 
 import math
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from curata.operators.scan import numbered, ordered_scan
-from curata.reports import tableone
+from curata.reports import quantiles, tableone
 from curata.reports.quantiles import exact_quantiles
 from curata.session import ensure_checkpoint_dir, settle, stages
 
@@ -45,6 +46,35 @@ def test_quantiles_leave_nan_out(spark):
     assert tableone.describe_numbers(df, ["v"]).first().median == 3.0
 
 
+@pytest.mark.parametrize("cells,few", [(1 << 10, 10_000), (16, 10_000), (64, 0)])
+def test_selection_by_narrowing(spark, monkeypatch, cells, few):
+    monkeypatch.setattr(quantiles, "CELLS", cells)
+    monkeypatch.setattr(quantiles, "FEW", few)
+    rng = random.Random(cells)
+    columns = {
+        "even": [float(i) for i in range(200)], "ties": [float(rng.randrange(4)) for _ in range(99)], "one": [7.5], "same": [1.0] * 30,
+        "wide": [1e308, -1e308, 5e-324, 0.0, -0.0, 1e-300, 3.0, 3.0], "skewed": [2.0**-i for i in range(20)], None: [rng.gauss(0, 1) for _ in range(150)],
+    }
+    rows = [(k, x) for k, values in columns.items() for x in [*values, None, float("nan")]] + [("none", None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", {"low": 0.1, "median": 0.5, "top": 1.0}).collect()}
+    assert got.keys() == columns.keys()
+    for k, values in columns.items():
+        values = sorted(values)
+        for name, p in (("low", 0.1), ("median", 0.5), ("top", 1.0)):
+            at = p * (len(values) - 1)
+            a, b = values[math.floor(at)], values[math.ceil(at)]
+            assert got[k][name] == pytest.approx(a + (b - a) * (at - math.floor(at))), (k, name)
+        assert got[k].n == len(values)
+
+
+def test_order_statistics_keep_their_type(spark):
+    df = spark.createDataFrame([(2**53 + i,) for i in range(9)], "v long")
+    rows = quantiles.order_statistics(df, [], "v", lambda n: [F.lit(0), n - 1, F.lit(4)]).collect()
+    assert {(r["rank"], r["value"]) for r in rows} == {(0, 2**53), (4, 2**53 + 4), (8, 2**53 + 8)}
+
+
 @pytest.mark.parametrize("width", [1, 1440, 100_000])
 def test_nulls_do_not_depend_on_the_chunk(spark, width):
     rows = [(None, 5, 3.0, 1), (None, 2000, None, 2), (1, None, 7.0, 3), (1, 10, None, 4), (1, 5000, None, 5), (2, 3, None, 6)]
