@@ -129,6 +129,31 @@ def test_nearest_against_brute_force(spark, wall, chunk):
             assert (row[f"delta_w{i}"], row[f"w{i}"]) == (best[1:] if best else (None, None))
 
 
+def test_values_of_several_tables_keys_and_types_share_a_scan(spark):
+    rng = random.Random(13)
+    anchors = sorted({(rng.randint(0, 2), rng.randint(0, 4000)) for _ in range(25)})
+    a = [(rng.randint(0, 2), rng.randint(0, 4000), rng.choice([None, rng.random()]), rng.choice([None, "x", "y"])) for _ in range(90)]
+    b = [(rng.randint(0, 2), rng.randint(0, 4000), rng.choice([None, rng.randrange(5)])) for _ in range(60)]
+    left = spark.createDataFrame([(k, k * 10, t) for k, t in anchors], "k long, k10 long, t long")
+    sources = {
+        "a": spark.createDataFrame(a, "k long, o long, v double, s string"),
+        "b": spark.createDataFrame([(k * 10, t, n) for k, t, n in b], "k10 long, at long, n int"),
+        "c": spark.createDataFrame(b, "k long, at int, n int"),
+    }
+    want = [
+        nearest.Covariate("n10", "n", "b", "k10", "at", -10, 10), nearest.Covariate("s", "s", "a", "k", "o", -20, 0),
+        nearest.Covariate("v", "v", "a", "k", "o", -6, 30), nearest.Covariate("n", "n", "c", "k", "at", 1, 24),
+    ]
+    got = nearest.attach_covariates(left, "t", want, sources)
+    assert dict(got.dtypes) == {"k": "bigint", "k10": "bigint", "t": "bigint"} | {f"delta_{c.name}": "bigint" for c in want} | {"n10": "int", "s": "string", "v": "double", "n": "int"}
+    values = {"n10": b, "n": b, "v": [(k, t, v) for k, t, v, _ in a], "s": [(k, t, s) for k, t, _, s in a]}
+    for r in got.collect():
+        for c in want:
+            near = [(abs(t - r.t), t, x) for k, t, x in values[c.name] if k == r.k and x is not None and c.low_hours * 60 <= t - r.t <= c.high_hours * 60]
+            best = min(near) if near else None
+            assert (r[f"delta_{c.name}"], r[c.name]) == ((best[1] - r.t, best[2]) if best else (None, None)), (r, c)
+
+
 def test_nearest_keeps_unmatched_rows(spark):
     left = spark.createDataFrame([(1, at(0)), (None, at(0)), (2, None)], "k long, t timestamp_ntz")
     source = spark.createDataFrame([(9, at(0), 1.0)], "k long, o timestamp_ntz, v double")

@@ -53,6 +53,14 @@ def test_bands(spark):
     assert got == [4, 3, 1, 0, None]
 
 
+def test_patterns_tag_a_row_in_one_reading(spark):
+    table = [("%epi%", "e"), ("Nor%", "n"), ("dopa_", "d"), ("%rine", "e")]
+    df = spark.createDataFrame([("Norepinephrine",), ("dopax",), ("Dopa",), ("epi",), ("",), (None,)], "t string")
+    got = {r.t: (r.one, r.all) for r in df.select("t", rules.first_match(F.col("t"), table).alias("one"), rules.every_match(F.col("t"), table).alias("all")).collect()}
+    assert got == {"Norepinephrine": ("e", ["e", "n"]), "dopax": ("d", ["d"]), "Dopa": (None, []), "epi": ("e", ["e"]), "": (None, []), None: (None, [])}
+    assert df.select(rules.first_match(F.col("t"), []).alias("x")).where("x is not null").count() == 0
+
+
 def test_weighted_flags_keep_people_without_facts(spark):
     people = spark.createDataFrame([(1,), (2,), (3,)], "p long")
     facts = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "z")], "p long, f string")
