@@ -43,13 +43,13 @@ def describe_categorical(df: DataFrame, stratum: str, columns: Sequence[str]) ->
 
 
 def table_one(
-    df: DataFrame, stratum: str, categorical: Sequence[str], numbers: Sequence[str], tests: bool = False
+    df: DataFrame, stratum: str, categorical: Sequence[str], numbers: Sequence[str], tests: bool = False, exact: bool = False
 ) -> DataFrame:
     """The whole descriptive table as tidy rows.
 
     One row per variable, level (null for numbers) and stratum with ``n`` known values (numbers) or rows of
     the level, ``missing`` values, ``pct`` or ``median`` [``q1``, ``q3``]; with ``tests`` also the p-value
-    of the variable and the test's name. Rows without a stratum are in none.
+    of the variable and the test's name; with ``exact`` the counts choose between chi-square and the exact test. Rows without a stratum are in none.
     """
     df = df.dropna(subset=[stratum])
     parts = []
@@ -68,7 +68,7 @@ def table_one(
         return out
     tested = []
     if categorical:
-        tested.append(association(df, stratum, categorical))
+        tested.append(association(df, stratum, categorical, SMALL if exact else 0))
     if numbers:
         tested.append(kruskal_wallis(df, stratum, numbers).withColumn("test", F.lit("Kruskal-Wallis")))
     values = [t.select("variable", "p_value", "test") for t in tested]
@@ -117,10 +117,10 @@ def chi_square(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame
     return _chi_square_of(_cells(df, stratum, columns), stratum).withColumn("p_value", chi2_tail("chi2", "dof"))
 
 
-def association(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFrame:
+def association(df: DataFrame, stratum: str, columns: Sequence[str], small: float = SMALL) -> DataFrame:
     """``variable, p_value, test`` of each categorical variable against the strata, the test chosen by the counts.
 
-    Two levels in two strata with fewer than ``SMALL`` rows expected in a cell get the exact test, all others chi-square.
+    Two levels in two strata with fewer than ``small`` rows expected in a cell get the exact test, all others chi-square.
     """
     cells = _cells(df, stratum, columns)
     variable = Window.partitionBy("variable")
@@ -135,7 +135,7 @@ def association(df: DataFrame, stratum: str, columns: Sequence[str]) -> DataFram
     sums = [F.sum(f"__{x}").alias(x) for x in "arc"] + [F.sum("n").alias("all")]
     least = (F.min("__row") * F.min("__column") / F.sum("n")).alias("least")
     found = _chi_square_of(marked, stratum, *sums, least)
-    exact = (F.col("dof") == 1) & (F.col("least") < SMALL)
+    exact = (F.col("dof") == 1) & (F.col("least") < F.lit(small))
     return found.select(
         "variable",
         F.when(exact, fisher_exact(*[F.col(x) for x in ("a", "r", "c", "all")])).otherwise(chi2_tail("chi2", "dof")).alias("p_value"),
