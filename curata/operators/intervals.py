@@ -14,6 +14,8 @@ from curata.session import once, settle
 
 #: Intervals of 2 ** 36 minutes or more share a level, where they may touch more cells than two.
 MOST_LEVEL = 36
+#: Neighbouring levels that share the highest of them: a row looks once for all, in cells up to 2 ** SHARED times as long as an interval.
+SHARED = 4
 
 
 def fuzzy_bounds(
@@ -73,11 +75,7 @@ class Spans:
 
 
 def _levelled(kinds: Sequence[Spans], keys: Sequence[str], clock: Clock) -> DataFrame:
-    """All intervals in the cells of their level.
-
-    The level of an interval is the smallest power of two of minutes above its length, so it touches two cells of that width at
-    most, also if its end is a far date that stands for an open one.
-    """
+    """All intervals with their level, the smallest power of two of minutes above their length."""
     parts = []
     for i, kind in enumerate(kinds):
         at = Clock.of(kind.frame, kind.start)
@@ -90,10 +88,18 @@ def _levelled(kinds: Sequence[Spans], keys: Sequence[str], clock: Clock) -> Data
         )
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     minutes = F.floor((F.col("__high") - F.col("__low")) / F.lit(clock.units_per_minute)).cast("long")
-    level = F.least(F.length(F.bin(minutes)), F.lit(MOST_LEVEL))
-    levelled = stacked.withColumn("__level", level)
-    cells = F.sequence(_cell(clock, F.col("__low"), F.col("__level")), _cell(clock, F.col("__high"), F.col("__level")))
-    return levelled.withColumn("__r_cell", F.explode(cells)).withColumnRenamed("__level", "__r_level")
+    return stacked.withColumn("__r_level", F.least(F.length(F.bin(minutes)), F.lit(MOST_LEVEL)))
+
+
+def _in_cells(levelled: DataFrame, clock: Clock, top: int) -> DataFrame:
+    """Intervals in the cells of their level, of which ``SHARED`` share the highest, counted from the top level.
+
+    Cells are longer than an interval, so it touches two at most, also if its end is a far date that stands for an open one.
+    """
+    shared = F.lit(top) - F.lit(SHARED) * F.floor((F.lit(top) - F.col("__r_level")) / F.lit(SHARED)).cast("int")
+    levelled = levelled.withColumn("__r_level", shared.cast("int"))
+    cells = F.sequence(_cell(clock, F.col("__low"), F.col("__r_level")), _cell(clock, F.col("__high"), F.col("__r_level")))
+    return levelled.withColumn("__r_cell", F.explode(cells))
 
 
 def _cell(clock: Clock, axis: Column, level: Column) -> Column:
@@ -121,7 +127,9 @@ def attach_intervals(left: DataFrame, kinds: Sequence[Spans], *, keys: Sequence[
         raise ValueError("an inner join takes one kind of intervals")
     clock = Clock.of(left, time)
     spans = settle(_levelled(kinds, keys, clock))
-    levels = sorted(r[0] for r in spans.select("__r_level").distinct().collect()) or [1]
+    occur = [r[0] for r in spans.select("__r_level").distinct().collect()] or [1]
+    spans = _in_cells(spans, clock, max(occur))
+    levels = sorted({max(occur) - SHARED * ((max(occur) - n) // SHARED) for n in occur})
     inside = F.col("__axis").between(F.col("__low"), F.col("__high"))
     match = inside & (F.col("__p.level") == F.col("__r_level")) & (F.col("__p.cell") == F.col("__r_cell"))
     match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__r_{k}") for k in keys], match)

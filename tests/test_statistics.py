@@ -50,6 +50,7 @@ def test_quantiles_leave_nan_out(spark):
 def test_selection_by_narrowing(spark, monkeypatch, cells, few):
     monkeypatch.setattr(quantiles, "CELLS", cells)
     monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "PLAIN", 40 if cells == 16 else 0)
     rng = random.Random(cells)
     columns = {
         "even": [float(i) for i in range(200)], "ties": [float(rng.randrange(4)) for _ in range(99)], "one": [7.5], "same": [1.0] * 30,
