@@ -1,11 +1,13 @@
 """Ordered scans and the joins on them, against brute force in Python."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import Window, functions as F
 
+from curata import session
 from curata.functions.clock import Clock
 from curata.operators import asof, episodes, fills, grid, intervals, nearest
 from curata.operators.scan import ordered_scan
@@ -331,3 +333,39 @@ def test_chained_windows_see_far_enough(spark):
     out = grid.own_rows(grid.rolled(sums, ["k"], "p", {"b": ("s", "max", "back"), "a": ("s", "max", "ahead")}, 4)).collect()
     s = {p: sum(v for _, q, v in rows if p - 4 < q <= p) for _, p, _ in rows}
     assert {(r.p, r.b, r.a) for r in out} == {(p, max(s[q] for q in s if p - 4 < q <= p), max(s[q] for q in s if p <= q < p + 4)) for p in s}
+
+
+def _most_rows(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_hours_of_stays_are_dealt_by_their_number(spark, monkeypatch):
+    """Few short rows that become many: neither all stays nor a long one may lie in one task."""
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    stays = spark.createDataFrame([*[(i, 700.0) for i in range(30)], (99, 20_000.0), (99, 20_000.0), (7, 3.0)], "s long, h double").coalesce(1)
+    hours = grid.hour_grid(stays, "s", "h")
+    assert hours.count() == 30 * 725 + 2 * 20_025 + 28
+    assert _most_rows(hours) < 15 * 500
+    assert hours.filter("s = 99").agg(F.min("hr"), F.max("hr"), F.countDistinct("hr")).first()[:] == (-24, 20_000, 20_025)
+    empty = grid.hour_grid(stays.filter("s < 0"), "s", "h")
+    assert empty.count() == 0
+
+
+def test_chunks_of_a_grid_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    hours = spark.range(100).select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(299))).alias("p")).coalesce(1)
+    dealt = grid.in_chunks(hours, ["k"], "p", 4, looks=1, chunk_blocks=10)
+    assert dealt.filter("__chunk = __home").count() == 30_000
+    assert _most_rows(dealt) < 2_000
+
+
+def test_covariates_are_dealt_by_their_rows(spark, monkeypatch):
+    """An anchor counts for each of its variables."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    anchors = spark.range(1_000).select((F.col("id") % 50).alias("k"), (F.col("id") * 60).alias("a"))
+    values = spark.range(2_000).select((F.col("id") % 50).alias("k"), (F.col("id") * 30).alias("t"), F.col("id").cast("double").alias("v"))
+    wanted = [nearest.Covariate(f"v{i}", "v", "x", "k", "t", -1.0 - i, 1.0) for i in range(4)]
+    out = nearest.attach_covariates(anchors, "a", wanted, {"x": values})
+    rule = re.search(r"hashpartitioning\(__k#\d+L, __chunk#\d+L, (\d+)\), REPARTITION_BY_NUM", out._jdf.queryExecution().executedPlan().toString())
+    assert rule and int(rule[1]) >= (1_000 * 4 + 2_000) // 100
+    assert out.count() == 1_000
