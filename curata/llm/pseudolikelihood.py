@@ -14,7 +14,6 @@ Spark, so the driver gets as many numbers as there are weights, byte pairs and w
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -30,8 +29,8 @@ from curata.session import settle
 
 #: Words with units of their own, at most; the unit after theirs stands for a spelled word.
 OWN = 1 << 14
-#: Distinct words a task counts before it sends them on.
-COUNTED = 1 << 18
+#: Bytes of text whose words are counted together before they are sent on.
+COUNTED = 1 << 23
 CLASSES = 128
 ALONE = CLASSES // 2
 #: The class of spelled words, and the mark before and after their bytes.
@@ -42,7 +41,7 @@ HIDDEN = 32
 ROUNDS = 2
 STEP = 512
 RATE = 0.05
-AT_ONCE = 2_048
+AT_ONCE = 512
 HELD = 1 << 20
 
 SHAPES = {
@@ -53,25 +52,27 @@ SHAPES = {
     "outer_bias": (CLASSES,),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+CELLS = np.arange(SHAPES["embedding"][0] * WIDTH).reshape(-1, WIDTH)
 OFFSETS = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
 
 
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts after one another, as bytes, and how many each text has; as ``bytes.split`` has them."""
+    lists = pa.compute.ascii_split_whitespace(texts.cast(pa.large_string()))
+    flat, ends = lists.flatten(), np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+    real = pa.compute.greater(pa.compute.binary_length(flat), 0)  # a space at either end of a text leaves an empty one
+    upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.concatenate([[0], ends]).astype(np.int64)]
+    return flat.filter(real).cast(pa.large_binary()), np.diff(upto)
+
+
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """``word, n`` of every distinct word of all texts, exact; tasks count before anything moves."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number: Counter = Counter()
-
-        def sent() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(number), pa.binary()), pa.array(list(number.values()), pa.int64())], names=["word", "n"])
-
         for batch in batches:
-            for t in batch.column(0):
-                number.update(t.as_py().encode().split())
-                if len(number) > COUNTED:
-                    yield sent()
-                    number.clear()
-        yield sent()
+            for start, end in portions(pa.compute.binary_length(batch.column(0)).to_pylist(), COUNTED):
+                number = words_in(batch.column(0).slice(start, end - start))[0].value_counts()
+                yield pa.RecordBatch.from_arrays([number.field(0).cast(pa.binary()), number.field(1)], names=["word", "n"])
 
     counted = docs.select(whole_text(text).alias("text")).mapInArrow(work, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -120,10 +121,10 @@ class Vocabulary:
     def spelled(self) -> int:
         return len(self.words)
 
-    def log_spelled(self, words: list[bytes]) -> np.ndarray:
-        if not words:
+    def log_spelled(self, words: list[bytes] | pa.Array) -> np.ndarray:
+        if not len(words):
             return np.zeros(0)
-        pairs, owner = byte_pairs_of(pa.array(words, pa.binary()))
+        pairs, owner = byte_pairs_of(words if isinstance(words, pa.Array) else pa.array(words, pa.binary()))
         return np.bincount(owner, self.pairs[pairs], len(words))
 
 
@@ -138,33 +139,26 @@ def vocabulary(docs: DataFrame, text: str, own: int = OWN) -> Vocabulary:
     return Vocabulary([w for _, w in rows], np.array([*(-n for n, _ in rows), spelled], np.int64), spelling(rest))
 
 
-class Places(dict):
-    """Word to its place among the words seen."""
-
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self)
-        return place
-
-
 def in_units(docs: DataFrame, words: Vocabulary, text: str, key: str) -> DataFrame:
     """``key, ids, spelled`` of every text: its words' units, two bytes each, and the log-probability of the spelling of those without."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        unit_of = dict(zip(known.words, range(len(known.words))))
+        units_of = pa.array(known.words, pa.large_binary())
         for batch in batches:
             for start, end in portions(pa.compute.binary_length(batch.column(1)).to_pylist(), HELD):
-                part, places, line = batch.slice(start, end - start), Places(), []
-                for t in part.column(1):
-                    split = t.as_py().encode().split()
-                    line.append(np.fromiter(map(places.__getitem__, split), np.int32, len(split)))
-                distinct = list(places)
-                units = np.fromiter((unit_of.get(w, known.spelled) for w in distinct), "<u2", len(distinct))
-                logs, rare = np.zeros(len(distinct)), np.flatnonzero(units == known.spelled)
-                logs[rare] = known.log_spelled([distinct[i] for i in rare.tolist()])
-                ids = pa.array([units[x].tobytes() for x in line], pa.binary())
-                spelled = pa.array([logs[x].sum() for x in line], pa.float64())
+                part = batch.slice(start, end - start)
+                split, sizes = words_in(part.column(1))
+                coded = split.dictionary_encode()
+                distinct, line = coded.dictionary, coded.indices.to_numpy()
+                places = pa.compute.index_in(distinct, value_set=units_of)
+                units = places.fill_null(known.spelled).to_numpy(zero_copy_only=False).astype("<u2")
+                logs = np.zeros(len(distinct))
+                logs[units == known.spelled] = known.log_spelled(distinct.filter(places.is_null()))
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                ids = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((ends * 2).astype(np.int32)), pa.py_buffer(units[line])])
+                spelled = pa.array(np.bincount(np.repeat(np.arange(len(part)), sizes), logs[line], len(part)), pa.float64())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, spelled], names=["key", "ids", "spelled"])
 
     rows = docs.select(F.col(key).alias("key"), whole_text(text).alias("__text"))
@@ -212,11 +206,18 @@ def log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
+def log_softmax_at(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """``log_softmax`` at one place of each row; the logits are used up."""
+    logits -= logits.max(1, keepdims=True)
+    picked = logits[np.arange(len(target)), target]
+    return picked - np.log(np.exp(logits, out=logits).sum(1))
+
+
 def laid_out(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Documents' classes after one another with ``REACH`` outside marks around each; places and documents of the real ones."""
     sizes = np.array([len(x) for x in lists])
     starts = np.cumsum(sizes + REACH) - sizes
-    line = np.full(int(sizes.sum() + REACH * (len(lists) + 1)), CLASSES, np.int64)
+    line = np.full(int(sizes.sum() + REACH * (len(lists) + 1)), CLASSES, np.int16)
     owner = np.repeat(np.arange(len(lists)), sizes)
     places = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
     if len(places):
@@ -225,45 +226,58 @@ def laid_out(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 class Trainer:
-    """Adagrad on mini-batches, from given weights."""
+    """Adagrad on mini-batches, from given weights. Its arrays are made once, because making them costs as much as filling them."""
 
     def __init__(self, weights: np.ndarray):
         self.weights, self.squares, self.seen = weights.copy(), np.full(SIZE, 1e-6, np.float32), 0
         self.gradient = np.zeros(SIZE, np.float32)
         self.parts, self.parts_of_gradient = views(self.weights), views(self.gradient)
+        near = 2 * REACH
+        self.x, self.hidden = np.empty((STEP * near, WIDTH), np.float32), np.empty((STEP, HIDDEN), np.float32)
+        self.error, self.back = np.empty((STEP, CLASSES), np.float32), np.empty((STEP, HIDDEN), np.float32)
+        self.rows = np.arange(STEP) * CLASSES
+        self.cells, self.wide = np.empty((STEP * near, WIDTH), np.int64), np.empty((STEP, near * WIDTH))
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
+        """Learns from at most ``STEP`` positions."""
         w, g, n = self.parts, self.parts_of_gradient, len(target)
-        x = w["embedding"][context].reshape(n, -1)
-        hidden = np.tanh(x @ w["inner"] + w["inner_bias"])
-        error = hidden @ w["outer"] + w["outer_bias"]
+        hidden, error, back, cells, wide = self.hidden[:n], self.error[:n], self.back[:n], self.cells[: context.size], self.wide[:n]
+        x = np.take(w["embedding"], context.ravel(), 0, out=self.x[: context.size], mode="clip").reshape(n, -1)
+        np.matmul(x, w["inner"], out=hidden)
+        hidden += w["inner_bias"]
+        np.tanh(hidden, out=hidden)
+        np.matmul(hidden, w["outer"], out=error)
+        error += w["outer_bias"]
         error -= error.max(1, keepdims=True)
         np.exp(error, out=error)
         error /= error.sum(1, keepdims=True)
-        error[np.arange(n), target] -= 1
+        error.reshape(-1)[self.rows[:n] + target] -= 1
         error /= n
         np.matmul(hidden.T, error, out=g["outer"])
         error.sum(0, out=g["outer_bias"])
-        back = error @ w["outer"].T * (1 - hidden * hidden)
+        np.matmul(error, w["outer"].T, out=back)
+        back *= 1 - hidden * hidden
         np.matmul(x.T, back, out=g["inner"])
         back.sum(0, out=g["inner_bias"])
-        cells = (context.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-        g["embedding"][:] = np.bincount(cells, (back @ w["inner"].T).ravel(), (CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
+        np.take(CELLS, context.ravel(), 0, out=cells, mode="clip")
+        wide[:] = np.matmul(back, w["inner"].T, out=x)
+        g["embedding"][:] = np.bincount(cells.ravel(), wide.ravel(), (CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
         self.squares += self.gradient * self.gradient
         self.weights -= RATE * self.gradient / np.sqrt(self.squares)
         self.seen += n
 
     def learn(self, lists: list[np.ndarray], turn: int, rounds: int) -> None:
         """One pass over every ``rounds``-th position of each document, others in each ``turn``; a step takes them from all over the lists."""
-        line, places, owner = laid_out(lists)
+        line, places, _ = laid_out(lists)
         sizes = np.array([len(x) for x in lists])
         first = np.array([(int(x[:64].sum()) + turn) % rounds for x in lists])
-        within = np.arange(len(places)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        chosen = places[within % rounds == np.repeat(first, sizes)]
+        number = np.maximum(-(-(sizes - first) // rounds), 0)
+        begins = np.cumsum(sizes) - sizes + first - (np.cumsum(number) - number) * rounds
+        chosen = places[np.repeat(begins, number) + np.arange(number.sum()) * rounds]
         steps = -(-len(chosen) // STEP)
         for at in range(steps):
             some = chosen[at::steps]
-            self.step(line[some[:, None] + OFFSETS], line[some])
+            self.step(line.take(some[:, None] + OFFSETS), line.take(some))
 
 
 @dataclass(frozen=True)
@@ -283,14 +297,18 @@ def conditional_sums(lists: list[np.ndarray], model: Model, tables: list[np.ndar
     """For documents as units: the sum of log p(word | words around it) over all words."""
     w = views(model.weights)
     line, places, owner = laid_out([model.classes[x] for x in lists])
-    sums = np.zeros(len(lists))
+    logs = np.empty(len(places))
+    room = [np.empty((AT_ONCE, width), np.float32) for width in (HIDDEN, HIDDEN, CLASSES)]
     for at in range(0, len(places), AT_ONCE):
         some = places[at : at + AT_ONCE]
-        hidden = np.broadcast_to(w["inner_bias"], (len(some), HIDDEN)).copy()
+        hidden, taken, logits = (x[: len(some)] for x in room)
+        hidden[:] = w["inner_bias"]
         for table, offset in zip(tables, OFFSETS):
-            hidden += table[line[some + offset]]
-        logs = log_softmax(np.tanh(hidden, out=hidden) @ w["outer"] + w["outer_bias"])
-        sums += np.bincount(owner[at : at + AT_ONCE], logs[np.arange(len(some)), line[some]], len(lists))
+            hidden += np.take(table, line.take(some + offset), 0, out=taken, mode="clip")
+        np.matmul(np.tanh(hidden, out=hidden), w["outer"], out=logits)
+        logits += w["outer_bias"]
+        logs[at : at + AT_ONCE] = log_softmax_at(logits, line.take(some))
+    sums = np.bincount(owner, logs, len(lists))
     return sums + [model.inside[x].sum(dtype=np.float64) for x in lists]
 
 
@@ -321,7 +339,7 @@ def descended(texts: DataFrame, words: Vocabulary, rounds: int) -> Model:
             trainer = Trainer(start)
             for batch in batches:
                 for _, lists in _lists(batch):
-                    trainer.learn([of[x].astype(np.int64) for x in lists], turn, rounds)
+                    trainer.learn([of[x] for x in lists], turn, rounds)
             if trainer.seen:
                 share = trainer.weights.astype(np.float64) * trainer.seen
                 columns = [pa.array(np.arange(SIZE, dtype=np.int32)), pa.array(share), pa.array(np.full(SIZE, trainer.seen))]

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,23 @@ def test_words_are_counted_one_by_one(spark, monkeypatch):
     assert len(few.words) == len(number) and few.counts[-1] == 0
 
 
+def test_words_of_many_texts_at_once_are_those_of_split():
+    odd = ["", " a", "b ", "a  b\t\n c\x0b\x0cd\r", "\x1c a\x1f\x85 b c\xa0d\x00e", " ", "é ü", "\u2003x y"]
+    for some, texts in ((pa.array(odd), odd), (pa.array(odd).slice(2, 4), odd[2:6]), (pa.array([], pa.string()), [])):
+        words, sizes = P.words_in(some)
+        split = [t.encode().split() for t in texts]
+        assert words.to_pylist() == [w for x in split for w in x] and sizes.tolist() == [len(x) for x in split]
+
+
+def test_every_word_has_its_place_in_a_class():
+    """Neither classes nor the words in them end at a number: counts tell any two words of a class apart, and nothing is left out."""
+    counts = np.arange(1, P.OWN + 2)[::-1] ** 2
+    classes, inside = P.classed(counts)
+    assert len(classes) == len(inside) == P.OWN + 1 and set(classes.tolist()) == set(range(P.CLASSES))
+    totals = np.bincount(classes, counts + 1.0, P.CLASSES)
+    assert np.allclose(np.exp(inside.astype(float)), (counts + 1) / totals[classes], rtol=1e-5)
+
+
 def test_the_query_gives_the_likelihood(spark):
     """Trained by the operator, scored by the definition."""
     rng = random.Random(8)
