@@ -369,3 +369,26 @@ def test_covariates_are_dealt_by_their_rows(spark, monkeypatch):
     rule = re.search(r"hashpartitioning\(__k#\d+L, __chunk#\d+L, (\d+)\), REPARTITION_BY_NUM", out._jdf.queryExecution().executedPlan().toString())
     assert rule and int(rule[1]) >= (1_000 * 4 + 2_000) // 100
     assert out.count() == 1_000
+
+
+def test_rows_of_a_scan_are_dealt_by_their_number(spark, monkeypatch):
+    """Neither the windows over rows nor those over chunk summaries take what Spark merges by bytes, and the join leaves rows as dealt."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    df = spark.range(5_000).select(F.when(F.col("id") % 50 > 0, F.col("id") % 50).alias("k"), F.col("id").alias("t"))
+    out = ordered_scan(df, ["k"], ["t"], F.floor(F.col("t") / 10), before={"last": F.col("t")}, after={"next": F.col("t")})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\((__spot|k)#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert {k for k, _ in dealt} == {"__spot", "k"} and all(int(n) >= 50 for _, n in dealt)
+    assert _most_rows(out) < 1_000
+    for r in out.collect():
+        assert (r.last, r.next) == (r.t - 50 if r.t >= 50 else None, r.t + 50 if r.t < 4_950 else None)
+
+
+def test_aggregates_of_a_grid_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    hours = spark.range(100).select(F.col("id").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(299))).alias("hr")).coalesce(1)
+    signal = grid.hourly_signal(hours.select("s", (F.col("hr") * 60).alias("m"), F.lit(2).alias("v")), "s", "m", {"v": "v"})
+    out = grid.on_grid(hours, "s", [signal, signal], {"v": "sum"})
+    assert _most_rows(out) < 2_000
+    assert out.agg(F.count("v"), F.min("v"), F.max("v")).first()[:] == (30_000, 4, 4)
+    assert grid.on_grid(hours, "s", [], {}).count() == 30_000
