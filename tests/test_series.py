@@ -392,3 +392,15 @@ def test_aggregates_of_a_grid_are_dealt_by_their_rows(spark, monkeypatch):
     assert _most_rows(out) < 2_000
     assert out.agg(F.count("v"), F.min("v"), F.max("v")).first()[:] == (30_000, 4, 4)
     assert grid.on_grid(hours, "s", [], {}).count() == 30_000
+
+
+def test_settled_rows_lie_in_files_of_few_rows(spark, monkeypatch):
+    """However few bytes they are, so that a task that reads some files and sends their rows on does not hold thousands for every byte."""
+    monkeypatch.setattr(session, "FILE_ROWS", 1_000)
+    same = spark.range(20_000).select((F.col("id") % 7).alias("k"), "id").repartition(1)
+    with session.stages():
+        kept = session.once(same)
+        assert len(kept.inputFiles()) == 20
+        most = kept.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert most <= 1_000
+        assert kept.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (20_000, 20_000, 20_000 * 19_999 // 2)
