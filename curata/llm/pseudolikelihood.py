@@ -43,6 +43,8 @@ STEP = 512
 RATE = 0.05
 AT_ONCE = 512
 HELD = 1 << 20
+#: Logits within this need no shift before they become exponentials: neither these nor their sums leave a float.
+MILD = 60
 
 SHAPES = {
     "embedding": (CLASSES + 1, WIDTH),  # the last row stands for what lies outside a document
@@ -54,6 +56,7 @@ SHAPES = {
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 CELLS = np.arange(SHAPES["embedding"][0] * WIDTH).reshape(-1, WIDTH)
 OFFSETS = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
+ONES = np.ones(max(CLASSES, STEP), np.float32)
 
 
 def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -206,11 +209,17 @@ def log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def log_softmax_at(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """``log_softmax`` at one place of each row; the logits are used up."""
-    logits -= logits.max(1, keepdims=True)
+def mild(parts: dict[str, np.ndarray]) -> bool:
+    """Whether no logit of these weights can leave ``MILD``, whatever the context, because no hidden value leaves 1."""
+    return bool((np.abs(parts["outer"]).sum(0) + np.abs(parts["outer_bias"])).max() < MILD)
+
+
+def log_softmax_at(logits: np.ndarray, target: np.ndarray, shifted: bool = True) -> np.ndarray:
+    """``log_softmax`` at one place of each row; the logits are used up. ``shifted`` first takes each row's largest from it."""
+    if shifted:
+        logits -= logits.max(1, keepdims=True)
     picked = logits[np.arange(len(target)), target]
-    return picked - np.log(np.exp(logits, out=logits).sum(1))
+    return picked - np.log(np.exp(logits, out=logits) @ ONES[: logits.shape[1]])
 
 
 def laid_out(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,13 +257,13 @@ class Trainer:
         np.tanh(hidden, out=hidden)
         np.matmul(hidden, w["outer"], out=error)
         error += w["outer_bias"]
-        error -= error.max(1, keepdims=True)
+        if not mild(w):
+            error -= error.max(1, keepdims=True)
         np.exp(error, out=error)
-        error /= error.sum(1, keepdims=True)
-        error.reshape(-1)[self.rows[:n] + target] -= 1
-        error /= n
+        error *= (1 / (error @ ONES[:CLASSES]) / n)[:, None]
+        error.reshape(-1)[self.rows[:n] + target] -= 1 / n
         np.matmul(hidden.T, error, out=g["outer"])
-        error.sum(0, out=g["outer_bias"])
+        np.matmul(ONES[:n], error, out=g["outer_bias"])
         np.matmul(error, w["outer"].T, out=back)
         back *= 1 - hidden * hidden
         np.matmul(x.T, back, out=g["inner"])
@@ -297,7 +306,7 @@ def conditional_sums(lists: list[np.ndarray], model: Model, tables: list[np.ndar
     """For documents as units: the sum of log p(word | words around it) over all words."""
     w = views(model.weights)
     line, places, owner = laid_out([model.classes[x] for x in lists])
-    logs = np.empty(len(places))
+    logs, shifted = np.empty(len(places)), not mild(w)
     room = [np.empty((AT_ONCE, width), np.float32) for width in (HIDDEN, HIDDEN, CLASSES)]
     for at in range(0, len(places), AT_ONCE):
         some = places[at : at + AT_ONCE]
@@ -307,7 +316,7 @@ def conditional_sums(lists: list[np.ndarray], model: Model, tables: list[np.ndar
             hidden += np.take(table, line.take(some + offset), 0, out=taken, mode="clip")
         np.matmul(np.tanh(hidden, out=hidden), w["outer"], out=logits)
         logits += w["outer_bias"]
-        logs[at : at + AT_ONCE] = log_softmax_at(logits, line.take(some))
+        logs[at : at + AT_ONCE] = log_softmax_at(logits, line.take(some), shifted)
     sums = np.bincount(owner, logs, len(lists))
     return sums + [model.inside[x].sum(dtype=np.float64) for x in lists]
 

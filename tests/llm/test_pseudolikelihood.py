@@ -40,6 +40,22 @@ def test_scores_equal_the_definition(monkeypatch):
     assert np.allclose(got, [brute(x, m) for x in lists], rtol=1e-4)
 
 
+@pytest.mark.parametrize("size", [0.1, 20.0])
+def test_exponentials_need_a_shift_only_for_large_weights(size):
+    """Both ways give the same step and scores, and weights whose exponentials leave a float are still shifted."""
+    rng = np.random.default_rng(4)
+    weights = P.initial() + (size * rng.standard_normal(P.SIZE)).astype(np.float32)
+    parts = P.views(weights)
+    assert P.mild(parts) == (size < 1)
+    logits = (np.tanh(rng.standard_normal((50, P.HIDDEN))) @ parts["outer"] + parts["outer_bias"]).astype(np.float32)
+    target = rng.integers(0, P.CLASSES, 50)
+    want = P.log_softmax(logits.astype(float))[np.arange(50), target]
+    assert np.allclose(P.log_softmax_at(logits.copy(), target, not P.mild(parts)), want, rtol=1e-4, atol=1e-4)
+    trainer = P.Trainer(weights)
+    trainer.step(rng.integers(0, P.CLASSES + 1, (50, 4)).astype(np.int16), target.astype(np.int16))
+    assert np.isfinite(trainer.weights).all() and not (trainer.weights == weights).all()
+
+
 def test_probabilities_sum_to_one():
     for n in (3000, 40, 2, 1):
         m = model(1, n)
