@@ -9,7 +9,7 @@ to the tasks has a fixed size.
 
 Counting, training and scoring run in tasks. The network is trained by rounds of local descent on every partition; the rounds
 share out the positions of every document, so that each position is learned from once. The partitions' weights are averaged by
-Spark, so the driver gets as many numbers as there are weights, byte pairs and words with units.
+Spark, so the driver gets as many numbers as there are weights, byte pairs, words with units and different counts of words.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from curata.llm.pieces import portions
 from curata.llm.texts import need, whole_text
-from curata.reports.quantiles import order_statistics
 from curata.session import settle
 
 #: Words with units of their own, at most; the unit after theirs stands for a spelled word.
@@ -62,8 +61,11 @@ ONES = np.ones(max(CLASSES, STEP), np.float32)
 def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of texts after one another, as bytes, and how many each text has; as ``bytes.split`` has them."""
     lists = pa.compute.ascii_split_whitespace(texts.cast(pa.large_string()))
-    flat, ends = lists.flatten(), np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+    flat, sizes = lists.flatten(), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
     real = pa.compute.greater(pa.compute.binary_length(flat), 0)  # a space at either end of a text leaves an empty one
+    if real.true_count == len(flat):
+        return flat.cast(pa.large_binary()), sizes
+    ends = np.cumsum(sizes)
     upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[np.concatenate([[0], ends]).astype(np.int64)]
     return flat.filter(real).cast(pa.large_binary()), np.diff(upto)
 
@@ -83,13 +85,18 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
 def byte_pairs_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of neighbouring bytes of every word, with a mark on either side, as one number each, and the word each pair is in."""
-    sizes = pa.compute.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    begins = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    sizes = np.diff(begins)
     ends = np.cumsum(sizes + 1)
-    line = np.full(int(ends[-1]) + 1 if len(ends) else 1, EDGE, np.int64)
+    line = np.full(int(ends[-1]) + 1, EDGE, np.int64)
     inside = np.ones(len(line), bool)
     inside[0] = False
     inside[ends] = False
-    line[inside] = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+    line[inside] = np.frombuffer(data, np.uint8)[begins[0] : begins[-1]]
     return line[:-1] * (EDGE + 1) + line[1:], np.repeat(np.arange(len(sizes)), sizes + 1)
 
 
@@ -132,14 +139,18 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, text: str, own: int = OWN) -> Vocabulary:
-    """The words more frequent than the one at place ``own`` + 1, so that words of equal counts are all in or all out; the driver gets these."""
+    """The words more frequent than the one at place ``own`` + 1, so that words of equal counts are all in or all out.
+
+    The driver gets these, and how many words have each count: words of k different counts occur k * (k + 1) / 2 times at least, so that are few.
+    """
     counts = settle(word_counts(docs, text))
-    limit = order_statistics(counts, [], "n", lambda n: [F.greatest(n - F.lit(own + 1), F.lit(0))]).collect()
-    least = limit[0]["value"] if limit and limit[0]["n"] > own else 0
+    alike = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).toArrow().sort_by([("n", "descending")])
+    times, words = (alike.column(x).to_numpy() for x in ("n", "words"))
+    place = np.searchsorted(np.cumsum(words), own, side="right")  # of the count of the word at place own + 1
+    least = int(times[place]) if place < len(times) else 0
+    spelled = int(times[place:] @ words[place:])
     rows = sorted((-r.n, bytes(r.word)) for r in counts.where(F.col("n") > least).collect())
-    rest = counts.where(F.col("n") <= least)
-    spelled = rest.agg(F.sum("n")).first()[0] or 0
-    return Vocabulary([w for _, w in rows], np.array([*(-n for n, _ in rows), spelled], np.int64), spelling(rest))
+    return Vocabulary([w for _, w in rows], np.array([*(-n for n, _ in rows), spelled], np.int64), spelling(counts.where(F.col("n") <= least)))
 
 
 def in_units(docs: DataFrame, words: Vocabulary, text: str, key: str) -> DataFrame:

@@ -133,6 +133,37 @@ def test_words_are_counted_one_by_one(spark, monkeypatch):
     assert len(few.words) == len(number) and few.counts[-1] == 0
 
 
+@pytest.mark.parametrize("kind", [pa.binary(), pa.large_binary()])
+def test_pairs_of_bytes_are_read_from_any_array(kind):
+    """Also from parts of one, whose bytes begin elsewhere, from filtered ones and empty words."""
+    rng = random.Random(9)
+    whole = pa.array([rng.randbytes(rng.randrange(0, 9)) for _ in range(300)], kind)
+    part = whole.slice(50, 100)
+    for words in (whole, part, part.filter(pa.array([i % 3 == 0 for i in range(100)])), whole.slice(7, 0), pa.array([], kind)):
+        marked = [(i, [P.EDGE, *w, P.EDGE]) for i, w in enumerate(words.to_pylist())]
+        want = [(a * (P.EDGE + 1) + b, i) for i, marks in marked for a, b in zip(marks, marks[1:])]
+        pairs, owner = P.byte_pairs_of(words)
+        assert list(zip(pairs.tolist(), owner.tolist())) == want
+
+
+def test_words_of_equal_counts_are_all_in_or_all_out(spark):
+    """At either side of any place, and the table of words is read few times to find that out."""
+    number = {"a": 9, "b": 7, "c": 7, "d": 7, "e": 2, "f": 1, "g": 1}
+    docs = spark.createDataFrame([(" ".join(w for w, n in number.items() for _ in range(n)),), (None,), ("",)], "text string")
+    for own, first in enumerate(["", "a", "a", "a", "abcd", "abcde", "abcde", "abcdefg", "abcdefg"]):
+        words = P.vocabulary(docs, "text", own)
+        assert b"".join(words.words).decode() == first, own
+        assert words.counts.tolist() == [*(number[w] for w in first), sum(n for w, n in number.items() if w not in first)]
+    assert P.vocabulary(docs.limit(0), "text").counts.tolist() == [0]
+    context = spark.sparkContext
+    context.setJobGroup("vocabulary", "")
+    try:
+        P.vocabulary(docs, "text", 3)
+        assert len(context.statusTracker().getJobIdsForGroup("vocabulary")) <= 9
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_words_of_many_texts_at_once_are_those_of_split():
     odd = ["", " a", "b ", "a  b\t\n c\x0b\x0cd\r", "\x1c a\x1f\x85 b c\xa0d\x00e", " ", "é ü", "\u2003x y"]
     for some, texts in ((pa.array(odd), odd), (pa.array(odd).slice(2, 4), odd[2:6]), (pa.array([], pa.string()), [])):
