@@ -184,7 +184,8 @@ def links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     ``codes``: column ``bits``, distinct. Under a key with up to ``COMMON`` fingerprints every pair that meets is compared and
     kept if it is close, so a row gives a bounded number of pairs. The fingerprints under a more frequent key, as large groups of
-    near copies make them, are dealt to blocks, and each two blocks are compared in one task that gives only a spanning forest.
+    near copies make them, are dealt to blocks, and each two blocks are compared in one task that gives only a spanning forest. The join on keys is
+    said to be a merge: Spark takes the keys of a fingerprint, some eighty rows, for one row, and would send them all to the driver as a small table.
     """
     if distance > 3:
         raise ValueError("three segments with one error each guarantee a distance of 3 at most")
@@ -194,7 +195,7 @@ def links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     holders = holders.union(common.select("key", F.lit(None).cast("long")))  # a null stands for all under a frequent key
     close = F.bit_count(F.col("bits").bitwiseXOR(F.col("other"))) <= distance
     meets = (near["key"] == holders["key"]) & (F.col("other").isNull() | ((F.col("bits") > F.col("other")) & close))
-    met = settle(near.join(holders, meets).select(near["key"], "bits", "other"))
+    met = settle(near.join(holders.hint("merge"), meets).select(near["key"], "bits", "other"))
     found = met.where("other is not null").select(F.col("bits").alias("a"), F.col("other").alias("b"))
     if common.limit(1).count():
         found = found.union(_common_links(met.where("other is null").select("key", "bits"), distance))
@@ -217,7 +218,7 @@ def _common_links(members: DataFrame, distance: int) -> DataFrame:
 def _rooted(classes: DataFrame, distance: int) -> DataFrame:
     """``classes`` (distinct ``bits``) with ``root``, the smallest fingerprint that links reach."""
     roots = components(settle(links(classes, distance)))  # node, root: classes that have links
-    joined = classes.join(roots, classes["bits"] == roots["node"], "left")
+    joined = classes.join(roots.hint("merge"), classes["bits"] == roots["node"], "left")  # all three grow with the rows, as below
     return settle(joined.select(*classes.columns, F.coalesce("root", "bits").alias("root")))
 
 
@@ -237,8 +238,8 @@ def near_duplicates(
     classes = settle(known.groupBy("bits").agg(F.min("key").alias("first")))
     rooted = _rooted(classes, distance)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = settle(rooted.join(smallest, "root").select(F.col("bits").alias("of"), "component_id"))
-    met = known.join(ids, F.col("bits") == F.col("of"))
+    ids = settle(rooted.join(smallest.hint("merge"), "root").select(F.col("bits").alias("of"), "component_id"))
+    met = known.join(ids.hint("merge"), F.col("bits") == F.col("of"))
     return met.select(F.col("key").alias(key), F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -255,7 +256,7 @@ def representatives(
     known = settle(fingerprints(rows, keep=["last", "key", "mark"], shingle=shingle, seed=seed))
     rooted = _rooted(settle(known.select("bits").distinct()), distance)
     firsts = known.groupBy("bits").agg(F.min(F.struct("last", "key", "mark")).alias("first"))
-    chosen = firsts.join(rooted, "bits").groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.mark")
+    chosen = firsts.join(rooted.hint("merge"), "bits").groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.mark")
     chosen = settle(chosen)
     # merge said to Spark, because what is chosen grows with the rows
     same = docs[key].eqNullSafe(chosen["key"]) & (mark() == chosen["mark"])

@@ -1,11 +1,13 @@
 """The code's properties, fingerprints against their definition, links and components against brute force."""
 
+import itertools
 import random
 
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
+from curata import session
 from curata.llm import components, contracts, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -117,3 +119,25 @@ def test_query(spark):
     rows = contracts.QUERIES["op8_simhash"](spark, SF).collect()
     assert {r.doc_id: r.fingerprint for r in rows} == {i: f"{b:016x}" for i, b in docs}
     assert {r.doc_id: r.component_id for r in rows} == want
+
+
+def test_keys_of_fingerprints_are_never_broadcast(spark, monkeypatch):
+    """Spark takes the some eighty keys of a fingerprint for one row, so a table it thinks small would fill the driver."""
+    plans = []
+
+    def settled(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return session.settle(df, *args)
+
+    monkeypatch.setattr(simhash, "settle", settled)
+    docs = spark.createDataFrame([(i, f"a b c {i % 5}") for i in range(30)], "doc_id long, text string")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for made in (simhash.near_duplicates, simhash.representatives):
+        plans.clear()
+        made(docs)
+        keyed = [lines for lines in plans if sum("MapInArrow" in x for x in lines) > 1]
+        assert keyed and all(any("SortMergeJoin" in x for x in lines) for lines in keyed)
+        for lines in keyed:
+            for i in (i for i, x in enumerate(lines) if "BroadcastExchange" in x):
+                below = list(itertools.takewhile(lambda x: depth(x) > depth(lines[i]), lines[i + 1 :]))
+                assert not any("MapInArrow" in x for x in below)
