@@ -262,3 +262,13 @@ def test_settled_tables_live_in_the_shared_folder(spark):
     kept = settle(df)
     assert rows(kept) == rows(df)
     assert all(f.startswith("file:") and ensure_checkpoint_dir(spark).removeprefix("file:") in f for f in kept.inputFiles())
+
+
+def test_wide_rows_are_joined_once_for_their_ids(spark):
+    schema = "source_db string, subject_id string, hospital_admission_id long, icustay_id long, x double"
+    rows = [("b", "1", 5, 7, 1.0), ("a", "2", 6, 8, 2.0), ("a", "2", 6, 8, 3.0), ("a", None, 6, None, 4.0), ("a", "1", None, 9, 5.0)]
+    out = dataset.final_table([spark.createDataFrame(rows, schema)])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    got = {r.x: (r.unique_subject_id, r.unique_hospital_admission_id, r.unique_icustay_id) for r in out.collect()}
+    assert got == {4.0: (0, 0, 0), 5.0: (1, 1, 1), 2.0: (2, 0, 2), 3.0: (2, 0, 2), 1.0: (3, 2, 3)}
+    assert sum("Join" in line for line in text.splitlines()) == 1

@@ -1,5 +1,6 @@
 """Ordered scans and the joins on them, against brute force in Python."""
 
+import functools
 import random
 import re
 from datetime import datetime, timedelta
@@ -404,3 +405,29 @@ def test_settled_rows_lie_in_files_of_few_rows(spark, monkeypatch):
         most = kept.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
         assert most <= 1_000
         assert kept.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (20_000, 20_000, 20_000 * 19_999 // 2)
+
+
+def test_rows_that_no_anchor_looks_at_do_not_move(spark, monkeypatch):
+    """Of hourly rows those move that lie beside an anchor; keys of other types meet as before."""
+    moved = []
+    monkeypatch.setattr(nearest, "dealt", lambda df, rows, *keys: moved.append(df.count()) or session.dealt(df, rows, *keys))
+    anchors = spark.createDataFrame([(k, 60 * (100 + 7 * k) - 10) for k in range(20)] + [(None, 60)], "k int, a long")
+    hours = spark.range(20 * 1_000).select((F.col("id") % 20).alias("k"), (F.floor(F.col("id") / 20) * 60 - 1440).cast("long").alias("t"), "id")
+    out = nearest.attach_covariates(anchors, "a", [nearest.Covariate("v", "id", "x", "k", "t", 0.0, 1.0)], {"x": hours})
+    got = {r.k: (r.delta_v, r.v) for r in out.collect()}
+    assert got == {k: (10, (100 + 7 * k + 24) * 20 + k) for k in range(20)} | {None: (None, None)}
+    assert len(moved) == 1 and moved[0] < 200
+
+
+def test_bits_of_a_window_are_taken_together(spark):
+    rng = random.Random(31)
+    rows = [(k, p, rng.choice([None, 1, 2, 4, 8, 16])) for k in range(3) for p in range(-10, 90)]
+    hours = spark.createDataFrame(rows, "k long, p int, x int")
+    dealt = grid.in_chunks(hours, ["k"], "p", 4, looks=1, chunk_blocks=3)
+    out = grid.own_rows(grid.rolled(dealt, ["k"], "p", {"b": ("x", "or", "back"), "a": ("x", "or", "ahead")}, 4)).collect()
+    value = {(k, p): x for k, p, x in rows}
+    for r in out:
+        for name, places in (("b", range(r.p - 3, r.p + 1)), ("a", range(r.p, r.p + 4))):
+            seen = [x for x in (value.get((r.k, p)) for p in places) if x is not None]
+            assert r[name] == (functools.reduce(lambda m, n: m | n, seen) if seen else None)
+    assert len(out) == len(rows)
